@@ -154,7 +154,9 @@ def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: Dat
     """(dataflow_sources, quarantine). Only dataflows already stored are
     read; a failed page is quarantined with its reason and the rest go on."""
     keys = scan_keys(spark, dataflows_table, "objectId")
-    good, bad = split_failed(pages)
+    _, bad = split_failed(pages)
+    # a dataflow whose fetch failed on any page is skipped whole
+    good = without_failed_chains(pages)
     items = landed_items(good, ODATA, schema, {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")})
     items = restrict_to_keys(items, keys, {"dataflowId": "objectId"})
     if _has(items, "connectionDetails"):

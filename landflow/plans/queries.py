@@ -668,5 +668,10 @@ def q_infer_keys(spark, sf_dir):
     return keys.select("key", "rows", kind.alias("kind"))
 
 
+from landflow.plans import table_queries  # noqa: E402,F401  (registers TP queries)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["q_tp_activity_day"](spark, sf_dir).groupBy("LoadDate").count()
+    """Rows per day of the stored activity table after a full daily load."""
+    return QUERIES["q_tp_activity_day"](spark, sf_dir).groupBy("LoadDate").agg(
+        F.count(F.lit(1)).alias("rows"))
