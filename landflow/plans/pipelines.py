@@ -28,6 +28,7 @@ from landflow.operators.shape import (
     stamp_run,
 )
 from landflow.plans import contracts as C
+from landflow.session import materialize
 from landflow.sinks.tables import EmptyInput, replace_partition, sink_cast
 from landflow.sources.pages import (
     ACTIVITY,
@@ -35,11 +36,9 @@ from landflow.sources.pages import (
     SETTINGS,
     Dialect,
     items_as,
-    keep_until_terminal,
-    split_failed,
-    unnest_pages,
-    without_failed_chains,
     scan_keys,
+    split_failed,
+    usable_items,
 )
 
 
@@ -50,13 +49,12 @@ def parent_id(pattern: str, group: int = 1, col: str = "request_key") -> Column:
 
 def landed_items(pages: DataFrame, dialect: Dialect, schema: StructType,
                  extra: dict[str, Column] | None = None) -> DataFrame:
-    """Pages to typed item rows: unnest (one parse per page), cut each chain
-    at its terminal page, project onto the contract."""
+    """Pages to typed item rows: cut each chain at its terminal page, leave
+    out chains with a failed page, project items onto the contract."""
     extra = extra or {}
-    base = pages.select("request_key", "page_no", "raw", *[c.alias(n) for n, c in extra.items()])
-    items = unnest_pages(base, dialect, keep=tuple(extra), with_terminal=True)
-    items = keep_until_terminal(items).where(F.col("item").isNotNull())
-    return items_as(items, schema).drop("request_key", "page_no", "terminal")
+    base = pages.select("request_key", "page_no", "status", "raw", *[c.alias(n) for n, c in extra.items()])
+    items = usable_items(base, dialect, keep=tuple(extra))
+    return items_as(items, schema).drop("request_key", "page_no")
 
 
 def _has(df: DataFrame, col: str) -> bool:
@@ -81,7 +79,7 @@ def build_gateways(gateway_pages: DataFrame, datasource_pages: DataFrame, user_p
                       {"_gw": parent_id(r"^gateways/([^/]+)/datasources$")})
     # pair children with their parent by key, never by position
     ds = attach_children(with_id, ds, {"_gw": "id"}, {"id": "gatewayId"}).drop("_gw")
-    ds = clean_columns(ds)
+    ds = materialize(clean_columns(ds), "gateway_datasources")  # read by two tables
     ds_flat = ds
     for nested in ("credentialDetails", "details"):
         if _has(ds_flat, nested):
@@ -101,8 +99,13 @@ def build_gateways(gateway_pages: DataFrame, datasource_pages: DataFrame, user_p
 
 
 # TP3 ----------------------------------------------------------------------
-def build_workspaces(pages: DataFrame, schema: StructType, run_ts: str) -> dict[str, DataFrame]:
+def build_workspaces(pages: DataFrame, schema: StructType, run_ts: str,
+                     shared_parse: bool = True) -> dict[str, DataFrame]:
+    """Five tables from one parent; with ``shared_parse`` the parsed parents
+    are written once to the shared folder and every table reads them."""
     ws = where_active(landed_items(pages, ODATA, schema))
+    if shared_parse:
+        ws = materialize(ws, "workspaces")
     keys = {"workspace_id": "id", "workspace_name": "name"}
     children = explode_many(
         ws,
@@ -154,10 +157,9 @@ def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: Dat
     """(dataflow_sources, quarantine). Only dataflows already stored are
     read; a failed page is quarantined with its reason and the rest go on."""
     keys = scan_keys(spark, dataflows_table, "objectId")
-    _, bad = split_failed(pages)
     # a dataflow whose fetch failed on any page is skipped whole
-    good = without_failed_chains(pages)
-    items = landed_items(good, ODATA, schema, {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")})
+    _, bad = split_failed(pages)
+    items = landed_items(pages, ODATA, schema, {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")})
     items = restrict_to_keys(items, keys, {"dataflowId": "objectId"})
     if _has(items, "connectionDetails"):
         items = flatten_struct(items, "connectionDetails", "connectionDetails_")
@@ -166,8 +168,11 @@ def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: Dat
 
 
 # TP6 ----------------------------------------------------------------------
-def build_settings(pages: DataFrame, schema: StructType, run_ts: str) -> dict[str, DataFrame]:
+def build_settings(pages: DataFrame, schema: StructType, run_ts: str,
+                   shared_parse: bool = True) -> dict[str, DataFrame]:
     settings = landed_items(pages, SETTINGS, schema)
+    if shared_parse:
+        settings = materialize(settings, "settings")
     kids = explode_many(
         settings,
         {"enabledSecurityGroups": "enabled_security_groups", "properties": "properties"},
@@ -185,9 +190,7 @@ def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> Data
     replaces a stored day). ``day`` keeps one UTC day (half-open); without it
     every day present is loaded, each into its own partition.
     """
-    pages = without_failed_chains(pages)
-    items = unnest_pages(pages.select("request_key", "page_no", "raw"), ACTIVITY, with_terminal=True)
-    items = keep_until_terminal(items).where(F.col("item").isNotNull())
+    items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY)
     rows = conform(items, "item", C.ACTIVITY_READ_SCHEMA, keep=("item",))
     created = to_time_or_null(F.col("CreationTime"))
     rows = rows.withColumn("_created", created)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,15 +67,26 @@ def unique_name(prefix: str) -> str:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise a derived small side once, check its size, then hint it.
+    """Broadcast a derived small side only after its size is known.
 
-    The side is written with a reliable ``checkpoint()`` (shared folder, so a
-    lost executor does not lose it), counted, and broadcast only when the count
-    is within ``max_rows``. Above the bound it is returned unhinted and AQE
-    plans a shuffle join with skew splitting instead.
+    The side (a page-chain cut, a parent-key table) is persisted and counted
+    in one job; it is hinted for broadcast only when the count is within
+    ``max_rows``. Above the bound the cache is released and the frame is
+    returned unhinted, so AQE plans a shuffle join with skew splitting. A
+    lost executor only means the small side is recomputed from its lineage.
     """
-    checkpoint_root(df.sparkSession)
-    frozen = df.checkpoint(eager=True)
-    if frozen.count() <= max_rows:
-        return F.broadcast(frozen)
-    return frozen
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read
+    it back: later plans start from the files (lineage cut, one computation,
+    nothing lost with an executor)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

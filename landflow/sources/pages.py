@@ -189,6 +189,49 @@ def keep_until_terminal(df: DataFrame, flag_col: str = "terminal", key: str = "r
     )
 
 
+def chain_status(pages: DataFrame, dialect: Dialect | str, key: str = "request_key") -> DataFrame:
+    """One row per request chain: ``(request_key, failed, cut)``.
+
+    ``failed``: some page has a non-2xx status or a body that is not JSON.
+    ``cut``: the first terminal page (null when the chain never ends, so all
+    pages count). One parse per page and a partial aggregate: the result has
+    one small row per chain.
+    """
+    doc = _doc(F.col("raw"))
+    env = envelope_columns(F.col("_doc"), dialect)
+    per_page = pages.select(key, "page_no", "status", doc.alias("_doc")).select(
+        key,
+        "page_no",
+        (~F.col("status").between(200, 299) | F.col("_doc").isNull()).alias("_bad"),
+        env["terminal"].alias("_terminal"),
+    )
+    return per_page.groupBy(key).agg(
+        F.max("_bad").alias("failed"),
+        F.min(F.when(F.col("_terminal"), F.col("page_no"))).alias("cut"),
+    )
+
+
+def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = (),
+                 skip_failed_chains: bool = True) -> DataFrame:
+    """Items of the pages up to each chain's terminal page, leaving out
+    chains with a failed page (a partial chain never replaces good data).
+
+    Two passes over the bodies (chain status, then items) and a broadcast of
+    the size-checked chain table: the bodies themselves are never shuffled.
+    """
+    status = chain_status(pages, dialect)
+    if skip_failed_chains:
+        status = status.where(~F.col("failed"))
+    status = bounded_broadcast(status.select("request_key", "cut"))
+    items = unnest_pages(pages, dialect, keep=keep)
+    how = "inner" if skip_failed_chains else "left"
+    return (
+        items.join(status, "request_key", how)
+        .where(F.col("cut").isNull() | (F.col("page_no") <= F.col("cut")))
+        .drop("cut")
+    )
+
+
 # SC4 ----------------------------------------------------------------------
 def scan_keys(spark: SparkSession, table: str, col: str) -> DataFrame:
     """One key column of a stored table (the scan reads only that column)."""
