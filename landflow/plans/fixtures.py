@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.session import bounded_broadcast
-from landflow.sources.pages import ACTIVITY, ODATA, pack_pages
+from landflow.session import bounded_broadcast, scratch_path, spread
+from landflow.sources.pages import ACTIVITY, ODATA, pack_pages, read_pages, write_pages
 
 RUN_TS = "2024-06-01 12:00:00"     # fixed run stamp so results repeat
 DAY = "2024-01-15"                 # the day reloaded in partition tests
@@ -22,8 +22,13 @@ PAGE = 100                         # items per landed page
 CHUNK = 1000                       # child-list chunk per parent record
 
 
+# fixed-size dimensions: never worth spreading
+_DIMENSIONS = {"region", "nation"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if name in _DIMENSIONS else spread(df)
 
 
 def s(c: str | Column) -> Column:
@@ -31,6 +36,16 @@ def s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def land(pages: DataFrame, name: str = "landing") -> DataFrame:
+    """Write built pages once to the shared folder (compacted Parquet
+    landing) and read them back with ``read_pages``: every later pass reads
+    files instead of rebuilding the pages."""
+    spark = pages.sparkSession
+    path = scratch_path(spark, name)
+    write_pages(pages, path, fmt="parquet")
+    return read_pages(spark, path, fmt="parquet")
+
+
 def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted nation names per region (nation is a fixed 25-row dimension)."""
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(

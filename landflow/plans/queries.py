@@ -76,7 +76,7 @@ def q_unnest_pages(spark, sf_dir):
     empty = pages.select("request_key").distinct().select(
         "request_key", F.lit(-1).cast("long").alias("page_no"), F.lit(200).alias("status"),
         F.lit('{"@odata.count":0}').alias("raw"))
-    items = PG.unnest_pages(pages.unionByName(empty), PG.ODATA)
+    items = PG.unnest_pages(FX.land(pages.unionByName(empty)), PG.ODATA)
     return PG.items_as(items, "struct<c_custkey:bigint,c_name:string>")
 
 
@@ -92,7 +92,7 @@ from e left join cut on e.request_key = cut.request_key
 where cut.cut is null or e.page_no <= cut.cut
 """)
 def q_keep_until_terminal(spark, sf_dir):
-    items = PG.unnest_pages(FX.event_pages(spark, sf_dir), PG.ACTIVITY, with_terminal=True)
+    items = PG.unnest_pages(FX.land(FX.event_pages(spark, sf_dir)), PG.ACTIVITY, with_terminal=True)
     kept = PG.keep_until_terminal(items).where(F.col("item").isNotNull())
     return PG.items_as(kept, "struct<event_id:bigint>").drop("terminal")
 
@@ -105,7 +105,7 @@ select request_key, page_no, n_items,
 from p
 """)
 def q_page_audit(spark, sf_dir):
-    return PG.page_audit(FX.event_pages(spark, sf_dir), PG.ACTIVITY)
+    return PG.page_audit(FX.land(FX.event_pages(spark, sf_dir)), PG.ACTIVITY)
 
 
 @query("q_scan_keys", "select o_orderkey from orders")
@@ -124,7 +124,7 @@ select case when l_orderkey % 13 = 0 or l_orderkey % 11 = 0 then 'quarantine' el
 from p group by 1, 2
 """)
 def q_split_failed(spark, sf_dir):
-    good, bad = PG.split_failed(FX.line_pages(spark, sf_dir, failing=True))
+    good, bad = PG.split_failed(FX.land(FX.line_pages(spark, sf_dir, failing=True)))
     g = good.select(F.lit("good").alias("outcome"), F.lit(None).cast("string").alias("reason"))
     b = bad.select(F.lit("quarantine").alias("outcome"), "reason")
     return g.unionByName(b).groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("pages"))
@@ -615,7 +615,7 @@ from lineitem join orders on l_orderkey = o_orderkey
 """)
 def q_attach_children(spark, sf_dir):
     from landflow.plans.pipelines import parent_id
-    pages = FX.line_pages(spark, sf_dir)
+    pages = FX.land(FX.line_pages(spark, sf_dir))
     items = PG.unnest_pages(pages.select("request_key", "page_no", "raw",
                                          parent_id(r"^orders/(\d+)/lines$").cast("bigint").alias("_order")),
                             PG.ODATA, keep=("_order",))

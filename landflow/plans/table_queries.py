@@ -40,7 +40,7 @@ def q_tp_capacities(spark, sf_dir):
                  F.col("nations").alias("admins"), F.array(F.struct(F.col("r_name").alias("u"))).alias("users")
                  ).alias("item"))
     pages = pack_pages(rows, F.lit("capacities"), F.floor(F.col("r_regionkey") / PAGE), F.col("item"), ODATA)
-    return TP.build_capacities(pages, CAPACITY, RUN_TS)
+    return TP.build_capacities(FX.land(pages), CAPACITY, RUN_TS)
 
 
 # TP6 ----------------------------------------------------------------------
@@ -74,7 +74,7 @@ def q_tp_settings(spark, sf_dir):
         F.col("g").alias("enabledSecurityGroups"), props.alias("properties"))
     rows = r.join(groups, r.r_regionkey == groups.n_regionkey, "left").select("r_regionkey", item.alias("item"))
     pages = pack_pages(rows, F.concat(F.lit("tenantsettings/"), s("r_regionkey")), F.lit(0), F.col("item"), SETTINGS)
-    t = TP.build_settings(pages, SETTING, RUN_TS)
+    t = TP.build_settings(FX.land(pages), SETTING, RUN_TS)
     return (_labelled("tenant_settings", t["tenant_settings"], settingName="settingName", item_key="title",
                       item_value="enabled")
             .unionByName(_labelled("enabled_security_groups", t["enabled_security_groups"],
@@ -131,7 +131,7 @@ def q_tp_gateways(spark, sf_dir):
                        F.array(F.lit("x")).alias("users"))
     us = pack_pages(sn, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources/"), s("n_nationkey"),
                                  F.lit("/users")), F.floor(F.col("s_suppkey") / PAGE), us_item, ODATA)
-    t = TP.build_gateways(gw, ds, us, GATEWAY_SCHEMAS, RUN_TS)
+    t = TP.build_gateways(FX.land(gw), FX.land(ds), FX.land(us), GATEWAY_SCHEMAS, RUN_TS)
     d = t["gateway_datasources"]
     detail = F.concat_ws("|", "credentialDetails_credentialType",
                          F.col("credentialDetails_useEndUserOAuth2Credentials").cast("string"),
@@ -209,7 +209,7 @@ select 'dataflows', cast(o_orderkey as varchar), 'ws-' || o_orderkey, 'df-' || o
        'dataflow-' || o_orderkey || '-' || l_linenumber, null, {RUN_EPOCH_SQL} {_WS} and l_returnflag = 'N'
 """)
 def q_tp_workspaces(spark, sf_dir):
-    t = TP.build_workspaces(_workspace_pages(spark, sf_dir), WORKSPACE, RUN_TS)
+    t = TP.build_workspaces(FX.land(_workspace_pages(spark, sf_dir)), WORKSPACE, RUN_TS)
     return (_labelled("workspaces", t["workspaces"], workspace_id=None, workspace_name=None, id="id", name="name",
                       detail="capacityId")
             .unionByName(_labelled("workspaces_users", t["workspaces_users"], workspace_id="workspace_id",
@@ -268,7 +268,7 @@ def q_tp_access(spark, sf_dir):
                              F.lit("Viewer").alias("reportUserAccessRight"),
                              F.struct(F.col("l_returnflag").alias("flag")).alias("profile")), ODATA)
     reports = sp.select(s("s_nationkey").alias("workspace_id"), s("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    t = TP.build_access(apps, au, ru, reports, ACCESS_SCHEMAS, RUN_TS, include=True)
+    t = TP.build_access(FX.land(apps), FX.land(au), FX.land(ru), reports, ACCESS_SCHEMAS, RUN_TS, include=True)
     none_ts = F.lit(None).cast("timestamp_ntz")
     a = _labelled("apps", t["apps"], scope=None, parent_id=None, parent_name=None, id="id", detail="name")
     a = a.join(t["apps"].select(F.col("id").alias("_id"), F.col("lastUpdateDateTime").alias("updated")),
@@ -301,7 +301,7 @@ def q_tp_dataflow_sources(spark, sf_dir):
     item = F.struct(s("l_linenumber").alias("datasourceId"), F.lit("Sql").alias("datasourceType"),
                     F.struct(F.concat(F.lit("supp-"), s("l_suppkey")).alias("server"),
                              F.concat(F.lit("part-"), s("l_partkey")).alias("database")).alias("connectionDetails"))
-    pages = FX.line_pages(spark, sf_dir, "dataflows", "datasources", item, failing=True)
+    pages = FX.land(FX.line_pages(spark, sf_dir, "dataflows", "datasources", item, failing=True))
     out, _quarantine = TP.build_dataflow_sources(spark, f"{db}.dataflows", pages, DATAFLOW_SOURCE, RUN_TS)
     SK.write_full_refresh(out, f"{db}.dataflow_sources", "replace")
     return spark.read.table(f"{db}.dataflow_sources")
@@ -325,7 +325,7 @@ from events
 def q_tp_activity_day(spark, sf_dir):
     db = _scratch_schema(spark, "activity")
     t = f"{db}.activity_events"
-    pages = FX.activity_pages(spark, sf_dir)
+    pages = FX.land(FX.activity_pages(spark, sf_dir))
     TP.load_activity(pages, t, RUN_TS)
     return spark.read.table(t).select(
         "Id", "RecordType", "CreationTime", "Operation", "UserId", "IsSuccess", "HasFullReportAttachment",

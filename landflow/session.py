@@ -90,3 +90,15 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a frame over the cluster when its scan yields fewer
+    partitions than there are cores (one small file is one split). A large
+    input already has more splits than cores and is returned unchanged, so
+    this adds no shuffle at scale."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
