@@ -43,7 +43,7 @@ def land(pages: DataFrame, name: str = "landing") -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, name)
     write_pages(pages, path, fmt="parquet")
-    return read_pages(spark, path, fmt="parquet")
+    return spread(read_pages(spark, path, fmt="parquet"))
 
 
 def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from landflow.operators.shape import (
 )
 from landflow.plans import contracts as C
 from landflow.session import materialize
-from landflow.sinks.tables import EmptyInput, replace_partition, sink_cast
+from landflow.sinks.tables import EmptyInput, replace_partition, save_tables, sink_cast
 from landflow.sources.pages import (
     ACTIVITY,
     ODATA,
@@ -221,3 +221,25 @@ def load_activity(pages: DataFrame, table: str, run_ts: str, day: str | None = N
     if rows.isEmpty():
         raise EmptyInput(f"no activity events for {day or 'any day'}")
     return replace_partition(rows, table, C.PARTITION)
+
+
+# saving -------------------------------------------------------------------
+METADATA_SCHEMA = "powerbi_metadata"
+
+
+def save_metadata(tables: dict[str, DataFrame], schema: str = METADATA_SCHEMA) -> dict[str, int | None]:
+    """Metadata tables (TP1-TP4): an empty table is skipped (the stored one
+    stays); a changed schema is refused."""
+    return save_tables(tables, schema, policy="skip", schema_mode="strict")
+
+
+def save_settings(tables: dict[str, DataFrame], schema: str = METADATA_SCHEMA) -> dict[str, int | None]:
+    """Settings tables (TP6): an empty table replaces the stored one with an
+    empty table of the declared schema."""
+    return save_tables(tables, schema, policy="write_empty", schema_mode="replace")
+
+
+def save_dataflow_sources(df: DataFrame, schema: str = METADATA_SCHEMA) -> int:
+    """Dataflow sources (TP5): no rows ends the job; the schema is replaced."""
+    result = save_tables({"dataflow_sources": df}, schema, policy="stop", schema_mode="replace")
+    return int(result["dataflow_sources"] or 0)

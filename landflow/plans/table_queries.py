@@ -263,7 +263,7 @@ def q_tp_access(spark, sf_dir):
                                       F.col("c_mktsegment").alias("segment")).alias("profile")), ODATA)
     ls = li.join(sp.select("s_suppkey", "s_nationkey"), li.l_suppkey == sp.s_suppkey)
     ru = pack_pages(ls, F.concat(F.lit("groups/"), s("s_nationkey"), F.lit("/reports/"), s("l_suppkey"), F.lit("/users")),
-                    F.floor(F.col("l_orderkey") / PAGE),
+                    F.floor(F.col("l_orderkey") / (100 * PAGE)),
                     F.struct(F.concat(F.lit("line-"), s("l_orderkey"), F.lit("-"), s("l_linenumber")).alias("identifier"),
                              F.lit("Viewer").alias("reportUserAccessRight"),
                              F.struct(F.col("l_returnflag").alias("flag")).alias("profile")), ODATA)

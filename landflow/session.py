@@ -25,7 +25,7 @@ RUNTIME_DEFAULTS = {
 
 # Largest side we broadcast after counting it (rows). A page-chain cut or a
 # parent-key table has one row per chain or parent, a few dozen bytes each.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def configure(spark: SparkSession) -> SparkSession:

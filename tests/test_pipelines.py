@@ -73,3 +73,30 @@ def test_gateway_children_pair_by_key(spark):
     assert (d.gatewayId, d.credentialDetails_credentialType, d.details_server) == ("g1", "Basic", None)
     u = t["gateway_datasource_users"].first()
     assert (u.gatewayId, u.datasourceId, u.emailAddress) == ("g1", "d1", "e")
+
+
+def test_save_policies(spark):
+    from landflow.plans.pipelines import save_dataflow_sources, save_metadata, save_settings
+
+    db = unique_name("lf_save")
+    SK.ensure_schema(spark, db, scratch_path(spark, db))
+    full = spark.createDataFrame([("a",)], "k string")
+    empty = spark.createDataFrame([], "k string")
+    assert save_metadata({"t": full, "u": empty}, db) == {"t": 1, "u": None}
+    assert not spark.catalog.tableExists(f"{db}.u")
+    assert save_settings({"u": empty}, db) == {"u": 0}
+    assert spark.catalog.tableExists(f"{db}.u")
+    with pytest.raises(SK.EmptyInput):
+        save_dataflow_sources(empty, db)
+    assert save_dataflow_sources(full, db) == 1
+
+
+def test_infer_keys_and_schema(spark):
+    from landflow.operators.aggregates import infer_item_schema, infer_keys
+
+    df = spark.createDataFrame([('{"a":1,"b":"x"}',), ('{"a":2.5,"c":{"d":true}}',), ('{"b":null}',)], "raw string") \
+        .select(F.parse_json("raw").alias("item"))
+    keys = {r.key: (r.rows, r.type_name) for r in infer_keys(df).collect()}
+    assert keys["a"][0] == 2 and keys["b"][0] == 2 and keys["c"] == (1, "OBJECT<d: BOOLEAN>")
+    ddl = infer_item_schema(df)
+    assert ddl.startswith("OBJECT<") and "c: OBJECT<d: BOOLEAN>" in ddl

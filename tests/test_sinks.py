@@ -25,8 +25,8 @@ def test_replace_partition_idempotent(spark, db):
     assert sorted(tuple(r) for r in spark.read.table(t).collect()) == once
     assert spark.read.table(t).count() == 30
     day = spark.read.table(t).where("d = '2024-01-02'")
-    assert "PartitionFilters: [isnotnull(d" in day._jdf.queryExecution().executedPlan().toString() or \
-        "PartitionFilters" in day._jdf.queryExecution().executedPlan().toString()
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-02" in plan.split("PartitionFilters")[1]
 
 
 def test_full_refresh_strict_and_replace(spark, db):
