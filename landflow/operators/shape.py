@@ -126,6 +126,20 @@ def conform(df: DataFrame, doc_col: str, schema: StructType, keep: tuple[str, ..
                                                   for f in schema.fields])
 
 
+def type_violations(df: DataFrame, doc_col: str, schema: StructType) -> DataFrame:
+    """Rows where a declared field is present and not null in the record but
+    does not fit its declared type, with the list of such fields
+    (``bad_fields``); ``conform`` loads null there."""
+    checks = []
+    for f in schema.fields:
+        raw = F.try_variant_get(F.col(doc_col), f'$["{f.name}"]', "variant")
+        typed = F.try_variant_get(F.col(doc_col), f'$["{f.name}"]', f.dataType.simpleString())
+        bad = raw.isNotNull() & ~F.is_variant_null(raw) & typed.isNull()
+        checks.append(F.when(bad, F.lit(f.name)))
+    bad_fields = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    return df.select("*", bad_fields.alias("bad_fields")).where(F.size("bad_fields") > 0)
+
+
 def conform_text(raw: Column, schema: StructType) -> Column:
     """The same projection straight from JSON text (one parse)."""
     return F.from_json(raw, schema)

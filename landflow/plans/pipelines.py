@@ -26,6 +26,7 @@ from landflow.operators.shape import (
     keep_columns,
     rest_map,
     stamp_run,
+    type_violations,
 )
 from landflow.plans import contracts as C
 from landflow.session import materialize
@@ -125,11 +126,11 @@ def build_workspaces(pages: DataFrame, schema: StructType, run_ts: str,
 # TP4 ----------------------------------------------------------------------
 def build_access(app_pages: DataFrame, app_user_pages: DataFrame, report_user_pages: DataFrame,
                  reports: DataFrame, schemas: dict[str, StructType], run_ts: str,
-                 include: bool) -> dict[str, DataFrame]:
-    """apps, app_users, report_users; built only when ``include`` is set
-    (the flag is required: there is no silent default)."""
+                 include_access: bool) -> dict[str, DataFrame]:
+    """apps, app_users, report_users; built only when ``include_access`` is
+    set (the flag is required: there is no silent default)."""
     specs = {"apps": None, "app_users": None, "report_users": None}
-    if not choose(specs, {k: include for k in specs}):
+    if not choose(specs, {k: include_access for k in specs}):
         return {}
     apps = clean_columns(landed_items(app_pages, ODATA, schemas["apps"]))
     if _has(apps, "lastUpdateDateTime"):
@@ -214,6 +215,20 @@ def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> Data
     )
 
 
+def load_activity_day(pages: DataFrame, table: str, run_ts: str, day: str) -> int:
+    """The daily job: load one UTC day, replacing that day only."""
+    return load_activity(pages, table, run_ts, day)
+
+
+def activity_quarantine(pages: DataFrame) -> DataFrame:
+    """Records whose declared fields had a value of the wrong type (they are
+    loaded with null there): ``(Id, bad_fields)`` for review."""
+    items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY)
+    typed = C.ACTIVITY_READ_SCHEMA
+    return type_violations(items, "item", typed).select(
+        F.try_variant_get("item", "$.Id", "string").alias("Id"), "bad_fields")
+
+
 def load_activity(pages: DataFrame, table: str, run_ts: str, day: str | None = None) -> int:
     """Load activity rows into ``table`` partitioned by LoadDate, replacing
     the days present. No rows ends the load (``EmptyInput``)."""

@@ -268,7 +268,7 @@ def q_tp_access(spark, sf_dir):
                              F.lit("Viewer").alias("reportUserAccessRight"),
                              F.struct(F.col("l_returnflag").alias("flag")).alias("profile")), ODATA)
     reports = sp.select(s("s_nationkey").alias("workspace_id"), s("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    t = TP.build_access(FX.land(apps), FX.land(au), FX.land(ru), reports, ACCESS_SCHEMAS, RUN_TS, include=True)
+    t = TP.build_access(FX.land(apps), FX.land(au), FX.land(ru), reports, ACCESS_SCHEMAS, RUN_TS, include_access=True)
     none_ts = F.lit(None).cast("timestamp_ntz")
     a = _labelled("apps", t["apps"], scope=None, parent_id=None, parent_name=None, id="id", detail="name")
     a = a.join(t["apps"].select(F.col("id").alias("_id"), F.col("lastUpdateDateTime").alias("updated")),

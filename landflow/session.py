@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 # Settings the library relies on. AQE re-plans joins from runtime sizes (so a
 # small side becomes a broadcast only after its real size is known), splits
-# skewed partitions and coalesces small ones.
+# skewed partitions and coalesces small ones. Partition overwrite mode is not
+# here: ``replace_partition`` sets it around its own write.
 RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Largest side we broadcast after counting it (rows). A page-chain cut or a
@@ -31,11 +31,7 @@ BROADCAST_MAX_ROWS = 1_000_000
 def configure(spark: SparkSession) -> SparkSession:
     """Apply RUNTIME_DEFAULTS where the session has no value of its own."""
     for key, value in RUNTIME_DEFAULTS.items():
-        if key == "spark.sql.sources.partitionOverwriteMode":
-            # always dynamic: a static overwrite of a partitioned table would
-            # drop every day that is not in the batch
-            spark.conf.set(key, value)
-        elif spark.conf.get(key, None) is None:
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
 

@@ -92,16 +92,19 @@ def write_full_refresh(df: DataFrame, table: str, schema_mode: str = "strict",
 
 
 # SK2 ----------------------------------------------------------------------
-def replace_partition(df: DataFrame, table: str, part_col: str, fmt: str = "parquet") -> int:
-    """Idempotent load of the partitions present in ``df``.
+def replace_partition(df: DataFrame, table: str, part_col: str, value: str | None = None,
+                      fmt: str = "parquet") -> int:
+    """Idempotent load of the partitions present in ``df`` (or of the one
+    partition ``value``, keeping only its rows).
 
     First load creates the table partitioned by ``part_col``; later loads
     overwrite only the partitions that appear in ``df`` (dynamic overwrite):
-    one atomic step per partition instead of delete-then-append, so a failure
-    cannot leave a day empty. Empty input changes nothing. Returns rows
-    written.
+    one step per partition instead of delete-then-append, so a failure cannot
+    leave a day empty. Empty input changes nothing. Returns rows written.
     """
     spark = df.sparkSession
+    if value is not None:
+        df = df.where(F.col(part_col) == F.lit(value))
     db = _schema_of(table)
     if db:
         ensure_schema(spark, db)
@@ -110,10 +113,21 @@ def replace_partition(df: DataFrame, table: str, part_col: str, fmt: str = "parq
         cols = [c for c in df.columns if c != part_col] + [part_col]
         (df.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.format(fmt).partitionBy(part_col).saveAsTable(table))
-    else:
-        order = spark.read.table(table).columns  # insertInto is by position
+        return int(obs.get["rows"])
+    order = spark.read.table(table).columns  # insertInto is by position
+    # insertInto on a catalog table follows the session setting, not a write
+    # option; in static mode it would drop every partition not in ``df``
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
         (df.select(*order).observe(obs, F.count(F.lit(1)).alias("rows"))
-           .write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+           .write.insertInto(table, overwrite=True))
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     return int(obs.get["rows"])
 
 

@@ -45,7 +45,10 @@ DIALECTS = {"odata": ODATA, "activity": ACTIVITY, "settings": SETTINGS}
 
 
 def _dialect(d: Dialect | str) -> Dialect:
-    return DIALECTS[d] if isinstance(d, str) else d
+    """A dialect, a dialect name, or a bare payload key (no continuation)."""
+    if isinstance(d, Dialect):
+        return d
+    return DIALECTS.get(d) or Dialect(payload=d)
 
 
 def _path(key: str) -> str:

@@ -53,7 +53,7 @@ def test_failed_chain_does_not_replace_stored_day(spark):
 
 def test_access_tables_only_on_request(spark):
     empty = spark.createDataFrame([], PAGE_SCHEMA)
-    assert TP.build_access(empty, empty, empty, empty, {}, "2024-06-01 12:00:00", include=False) == {}
+    assert TP.build_access(empty, empty, empty, empty, {}, "2024-06-01 12:00:00", include_access=False) == {}
 
 
 def test_gateway_children_pair_by_key(spark):
@@ -100,3 +100,10 @@ def test_infer_keys_and_schema(spark):
     assert keys["a"][0] == 2 and keys["b"][0] == 2 and keys["c"] == (1, "OBJECT<d: BOOLEAN>")
     ddl = infer_item_schema(df)
     assert ddl.startswith("OBJECT<") and "c: OBJECT<d: BOOLEAN>" in ddl
+
+
+def test_quarantine_lists_wrong_types(spark):
+    recs = [{"Id": "1", "RecordType": "x", "IsSuccess": True}, {"Id": "2", "RecordType": 4, "CreationTime": None}]
+    pages = spark.createDataFrame([_page("d", 0, recs, True)], PAGE_SCHEMA)
+    got = [(r.Id, r.bad_fields) for r in TP.activity_quarantine(pages).collect()]
+    assert got == [("1", ["RecordType"])]

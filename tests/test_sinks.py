@@ -29,6 +29,21 @@ def test_replace_partition_idempotent(spark, db):
     assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-02" in plan.split("PartitionFilters")[1]
 
 
+def test_replace_partition_in_static_session(spark, db):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        t = f"{db}.st"
+        df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+        SK.replace_partition(df, t, "p")
+        SK.replace_partition(spark.createDataFrame([(9, "a"), (7, "b")], "v int, p string"), t, "p", value="a")
+        assert sorted(tuple(r) for r in spark.read.table(t).collect()) == [(2, "b"), (9, "a")]
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_full_refresh_strict_and_replace(spark, db):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     assert SK.write_full_refresh(a, f"{db}.t", "strict") == 1
