@@ -78,7 +78,11 @@ def to_time_or_null(c: ColumnOrName, fmt: str | None = None) -> Column:
     """Parse a time; text that is not a time gives null (never an error)."""
     if fmt is None:
         return _c(c).try_cast("timestamp_ntz")
-    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
+    # parse straight to a zone-free time (a detour through a zoned timestamp
+    # would move readings that fall in a daylight-saving gap); the zoned
+    # try-parse only guards against an error on bad text
+    ok = F.try_to_timestamp(_c(c), F.lit(fmt)).isNotNull()
+    return F.when(ok, F.to_timestamp_ntz(_c(c), F.lit(fmt)))
 
 
 # SF6 ----------------------------------------------------------------------

@@ -313,8 +313,12 @@ from orders join lineitem on o_orderkey = l_orderkey
 """)
 def q_explode_children(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    # the item carries a field named like a parent key: the parent's value wins
-    lines = li.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / FX.CHUNK).alias("chunk")).agg(
+    # chunks of consecutive rows: at most CHUNK items per parent row, even if
+    # one order held a third of all lines (the parent repeats per chunk; only
+    # child rows are output). The item carries a field named like a parent
+    # key: the parent's value wins.
+    chunk = F.floor(F.monotonically_increasing_id() / FX.CHUNK).alias("chunk")
+    lines = li.groupBy("l_orderkey", chunk).agg(
         F.collect_list(F.struct("l_linenumber", "l_quantity", F.col("l_partkey").alias("o_custkey"))).alias("lines"))
     orders = table(spark, sf_dir, "orders")
     parents = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")

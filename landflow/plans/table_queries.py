@@ -156,6 +156,11 @@ WORKSPACE = (
 
 
 def _workspace_pages(spark, sf_dir):
+    """Orders as workspaces with their lines inline (reports, datasets,
+    dataflows by return flag). The reference's record shape puts children
+    inside the parent record, so a record's lists are as long as the order's
+    lines: TPC-H bounds lines per order (at most 7 line numbers; 13 rows in
+    the supplied data), and the grouping also splits by line-number chunk."""
     li = table(spark, sf_dir, "lineitem")
     rid = F.concat(s("l_orderkey"), F.lit("-"), s("l_linenumber"))
     rf = F.col("l_returnflag")

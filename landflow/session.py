@@ -43,13 +43,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder of our own and register it as the checkpoint folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="landflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -93,8 +98,9 @@ def spread(df: DataFrame) -> DataFrame:
     partitions than there are cores (one small file is one split). A large
     input already has more splits than cores and is returned unchanged, so
     this adds no shuffle at scale."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view: leave partitioning to Spark
+        return df
+    return df.repartition(want) if have < want else df

@@ -100,3 +100,11 @@ def test_scan_keys_reads_one_column(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "other" not in plan.split("ReadSchema")[-1]
     assert df.count() == 10
+
+
+def test_page_bodies_join_by_broadcast(spark):
+    pages = _pages(spark, [(f"k{i % 7}", i, 200, '{"value":[{"id":"%d"}]}' % i) for i in range(50)])
+    items = PG.usable_items(pages, PG.ODATA)
+    plan = items._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert items.count() == 50

@@ -52,3 +52,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["LoadDate", "rows"] and len(rows) > 0
+
+
+TIME_QUERIES = ["q_strip_zone", "q_to_time_or_null", "q_sink_cast", "q_epoch_seconds", "q_stamp_run",
+                "q_run_day", "q_where_day", "q_replace_partition", "q_tp_access"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_time_queries_in_another_session_zone(spark, con, name):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        test_query_matches_sql(spark, con, name)
+    finally:
+        spark.conf.set(key, before)

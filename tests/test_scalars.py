@@ -71,3 +71,14 @@ def test_null_if_not_object(spark):
     sdf = spark.createDataFrame([((None, None),), ((1, None),), (None,)], "o struct<a:int,b:string>")
     got = [r.x for r in sdf.select(SF.null_if_not_object("o", st).alias("x")).collect()]
     assert got[0] is None and got[1] is not None and got[2] is None
+
+
+def test_to_time_or_null_ignores_session_zone(spark):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        got = _one(spark, SF.to_time_or_null(F.lit("10/03/2024 02:30:00"), "dd/MM/yyyy HH:mm:ss"))
+        assert got == dt.datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set(key, before)
