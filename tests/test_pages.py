@@ -103,7 +103,8 @@ def test_scan_keys_reads_one_column(spark, tmp_path):
 
 
 def test_page_bodies_join_by_broadcast(spark):
-    pages = _pages(spark, [(f"k{i % 7}", i, 200, '{"value":[{"id":"%d"}]}' % i) for i in range(50)])
+    body = '{"value":[{"id":"%d"}],"@odata.nextLink":"n"}'
+    pages = _pages(spark, [(f"k{i % 7}", i, 200, body % i) for i in range(50)])
     items = PG.usable_items(pages, PG.ODATA)
     plan = items._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
