@@ -22,13 +22,12 @@ PAGE = 100                         # items per landed page
 CHUNK = 1000                       # child-list chunk per parent record
 
 
-# fixed-size dimensions: never worth spreading
-_DIMENSIONS = {"region", "nation"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, cpu_heavy: bool = False) -> DataFrame:
+    """A supplied table. ``cpu_heavy`` marks inputs that feed per-row JSON
+    work straight from the scan: those are spread over the cores when the
+    scan has fewer splits than cores (a no-op on a large input)."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df if name in _DIMENSIONS else spread(df)
+    return spread(df) if cpu_heavy else df
 
 
 def s(c: str | Column) -> Column:
@@ -111,7 +110,7 @@ def activity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     HasFullReportAttachment (text 'TRUE', 'no', '' or a JSON boolean),
     ExportedArtifactInfo (props object). Extra keys: Value, Kind, Flag, Props.
     """
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", cpu_heavy=True)
     et = F.col("event_type")
     is_success = (
         F.when(et == "error", F.lit("false"))

@@ -300,7 +300,7 @@ def q_flatten_one_level(spark, sf_dir):
 select event_id, case when event_id % 5 = 0 then props end as props_obj from events
 """)
 def q_null_if_not_object(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", cpu_heavy=True)
     m = F.col("event_id") % 5
     p = (F.when(m == 1, F.lit("{}")).when(m == 2, F.lit("[]")).when(m == 3, F.lit("oops"))
           .when(m == 4, F.lit(None).cast("string")).otherwise(F.col("props")))
@@ -519,7 +519,7 @@ from lineitem
 
 @query("q_truthy", _TRUTH_SQL)
 def q_truthy(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", cpu_heavy=True)
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     value = (F.when((rf == "R") & (ls == "O"), F.lit("true"))
               .when(rf == "R", F.lit("false"))
@@ -539,7 +539,7 @@ select l_orderkey, l_linenumber,
 from lineitem
 """)
 def q_text_to_bool(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", cpu_heavy=True)
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     value = (F.when((rf == "N") & (ls == "F"), F.lit("true"))
               .when(rf == "R", F.lit('"TRUE"')).when(rf == "A", F.lit('"no"')).otherwise(F.lit('""')))
@@ -659,7 +659,7 @@ union all select 'user', count(*), 'number' from events where user_id % 3 <> 0
 union all select 'props', count(*), 'object' from events
 """)
 def q_infer_keys(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", cpu_heavy=True)
     rec = F.to_json(F.struct(
         F.col("event_id").alias("id"), F.col("event_type").alias("type"),
         F.when(F.col("event_type") != "click", F.col("value")).alias("value"),
