@@ -29,7 +29,7 @@ from landflow.operators.shape import (
     type_violations,
 )
 from landflow.plans import contracts as C
-from landflow.session import materialize
+from landflow.session import materialize, release
 from landflow.sinks.tables import EmptyInput, replace_partition, save_tables, sink_cast
 from landflow.sources.pages import (
     ACTIVITY,
@@ -233,9 +233,12 @@ def load_activity(pages: DataFrame, table: str, run_ts: str, day: str | None = N
     """Load activity rows into ``table`` partitioned by LoadDate, replacing
     the days present. No rows ends the load (``EmptyInput``)."""
     rows = activity_rows(pages, run_ts, day)
-    if rows.isEmpty():
-        raise EmptyInput(f"no activity events for {day or 'any day'}")
-    return replace_partition(rows, table, C.PARTITION)
+    try:
+        if rows.isEmpty():
+            raise EmptyInput(f"no activity events for {day or 'any day'}")
+        return replace_partition(rows, table, C.PARTITION)
+    finally:
+        release()
 
 
 # saving -------------------------------------------------------------------

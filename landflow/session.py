@@ -78,11 +78,32 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     if kept.count() <= max_rows:
+        _CACHED.append(kept)
         return F.broadcast(kept)
     kept.unpersist()
     return df
 
 
+# Frames persisted and folders written by this library in the current
+# process; ``release`` frees them once the plans that read them have run.
+_CACHED: list[DataFrame] = []
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def release(drop_files: bool = False) -> None:
+    """Unpersist the small sides cached by ``bounded_broadcast`` (and, with
+    ``drop_files``, delete folders written by ``materialize``). Call it after
+    the writes that used them, e.g. at the end of a job or a stream batch."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    if drop_files:
+        while _WRITTEN:
+            spark, path = _WRITTEN.pop()
+            jvm = spark.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read
     it back: later plans start from the files (lineage cut, one computation,
@@ -90,6 +111,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append((spark, path))
     return spark.read.parquet(path)
 
 

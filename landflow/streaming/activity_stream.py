@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from landflow.plans.pipelines import activity_rows
-from landflow.session import bounded_broadcast, scratch_path
+from landflow.session import bounded_broadcast, release, scratch_path
 from landflow.sinks.tables import replace_partition
 from landflow.sources.pages import PAGE_SCHEMA
 
@@ -57,7 +57,10 @@ def stream_activity(spark: SparkSession, landing_path: str, table: str,
         days = batch.select("day").distinct()
         if days.isEmpty():
             return
-        reload_days(spark, landing_path, days, table, run_ts or _now())
+        try:
+            reload_days(spark, landing_path, days, table, run_ts or _now())
+        finally:
+            release()  # small cached sides of this batch; nothing accumulates
 
     writer = (source.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", checkpoint_location or scratch_path(spark, "activity-stream")))

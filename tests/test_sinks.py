@@ -77,3 +77,15 @@ def test_sink_cast_types(spark):
     r = out.first()
     assert r.o == '{"x":1,"y":"a"}' and r.l == "[1]" and r.b is True and r.n is None
     assert str(r.t) == "2024-01-01 10:00:00"
+
+
+def test_release_frees_cached_sides(spark):
+    from landflow import session as S
+
+    side = S.bounded_broadcast(spark.range(10))
+    assert side.count() == 10 and S._CACHED
+    m = S.materialize(spark.range(5), "rel")
+    assert m.count() == 5
+    S.release(drop_files=True)
+    assert not S._CACHED and not S._WRITTEN
+    assert spark.range(10).storageLevel.useMemory is False
