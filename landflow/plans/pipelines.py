@@ -242,7 +242,7 @@ def load_activity(pages: DataFrame, table: str, run_ts: str, day: str | None = N
 
 
 # saving -------------------------------------------------------------------
-METADATA_SCHEMA = "powerbi_metadata"
+METADATA_SCHEMA = "metadata"
 
 
 def save_metadata(tables: dict[str, DataFrame], schema: str = METADATA_SCHEMA) -> dict[str, int | None]:
