@@ -164,10 +164,13 @@ def items_as(df: DataFrame, schema: StructType | str, item_col: str = "item", dr
     """Project variant items onto a declared struct: missing keys and values
     of the wrong type become null, extra keys are ignored, nested objects in
     string fields keep their JSON text."""
-    ddl = schema if isinstance(schema, str) else schema.simpleString()
-    typed = F.try_variant_get(F.col(item_col), "$", ddl).alias("_typed")
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    typed = F.try_variant_get(F.col(item_col), "$", struct.simpleString()).alias("_typed")
     rest = [c for c in df.columns if not (drop and c == item_col)]
-    return df.select(*rest, typed).select(*rest, "_typed.*")
+    # a column already on the row (a parent key taken from the request)
+    # wins over an item field of the same name
+    fields = [F.col("_typed").getField(f.name).alias(f.name) for f in struct.fields if f.name not in rest]
+    return df.select(*rest, typed).select(*rest, *fields)
 
 
 # SC3 ----------------------------------------------------------------------

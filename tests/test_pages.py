@@ -109,3 +109,11 @@ def test_page_bodies_join_by_broadcast(spark):
     plan = items._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert items.count() == 50
+
+
+def test_items_as_parent_key_wins(spark):
+    pages = _pages(spark, [("dataflows/d1/datasources", 0, 200, '{"value":[{"id":"x","dataflowId":"other"}]}')])
+    items = PG.unnest_pages(pages.withColumn("dataflowId", F.lit("d1")), PG.ODATA, keep=("dataflowId",))
+    out = PG.items_as(items, "struct<id:string,dataflowId:string>")
+    assert out.columns == ["request_key", "page_no", "dataflowId", "id"]
+    assert out.first().dataflowId == "d1"
