@@ -30,7 +30,7 @@ from landflow.operators.shape import (
 )
 from landflow.plans import contracts as C
 from landflow.session import materialize, release
-from landflow.sinks.tables import EmptyInput, replace_partition, save_tables, sink_cast
+from landflow.sinks.tables import EmptyInput, apply_empty_policy, replace_partition, save_tables, sink_cast
 from landflow.sources.pages import (
     ACTIVITY,
     ODATA,
@@ -156,8 +156,11 @@ def build_access(app_pages: DataFrame, app_user_pages: DataFrame, report_user_pa
 def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: DataFrame,
                            schema: StructType, run_ts: str) -> tuple[DataFrame, DataFrame]:
     """(dataflow_sources, quarantine). Only dataflows already stored are
-    read; a failed page is quarantined with its reason and the rest go on."""
+    read; no stored dataflow ends the job (``EmptyInput``). A dataflow with a
+    failed page is skipped whole and its failed pages are returned, with the
+    reason, as the quarantine; the other dataflows go on."""
     keys = scan_keys(spark, dataflows_table, "objectId")
+    apply_empty_policy(keys, "stop")
     # a dataflow whose fetch failed on any page is skipped whole
     _, bad = split_failed(pages)
     items = landed_items(pages, ODATA, schema, {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")})

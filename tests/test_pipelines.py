@@ -107,3 +107,18 @@ def test_quarantine_lists_wrong_types(spark):
     pages = spark.createDataFrame([_page("d", 0, recs, True)], PAGE_SCHEMA)
     got = [(r.Id, r.bad_fields) for r in TP.activity_quarantine(pages).collect()]
     assert got == [("1", ["RecordType"])]
+
+
+def test_dataflow_sources_need_stored_keys(spark):
+    db = unique_name("lf_df")
+    SK.ensure_schema(spark, db, scratch_path(spark, db))
+    SK.write_full_refresh(spark.createDataFrame([], "objectId string"), f"{db}.dataflows", "replace")
+    pages = spark.createDataFrame([("dataflows/a/datasources", 0, 200, '{"value":[{"datasourceId":"1"}]}')], PAGE_SCHEMA)
+    with pytest.raises(SK.EmptyInput):
+        TP.build_dataflow_sources(spark, f"{db}.dataflows", pages, "struct<datasourceId:string>", "2024-06-01 12:00:00")
+    SK.write_full_refresh(spark.createDataFrame([("a",)], "objectId string"), f"{db}.dataflows", "replace")
+    pages = pages.unionByName(spark.createDataFrame([("dataflows/b/datasources", 0, 503, "busy")], PAGE_SCHEMA))
+    out, bad = TP.build_dataflow_sources(spark, f"{db}.dataflows", pages, "struct<datasourceId:string>",
+                                         "2024-06-01 12:00:00")
+    assert [(r.dataflowId, r.datasourceId) for r in out.collect()] == [("a", "1")]
+    assert [r.reason for r in bad.collect()] == ["status 503"]
