@@ -105,6 +105,12 @@ def replace_partition(df: DataFrame, table: str, part_col: str, value: str | Non
     spark = df.sparkSession
     if value is not None:
         df = df.where(F.col(part_col) == F.lit(value))
+    if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+        # rows of one partition value go together and AQE splits a large
+        # value into advisory-size pieces: a few well-sized files per day
+        # instead of one small file per task and day (skew-safe, unlike a
+        # plain repartition by the column)
+        df = df.hint("rebalance", part_col)
     db = _schema_of(table)
     if db:
         ensure_schema(spark, db)
