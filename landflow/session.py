@@ -12,6 +12,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings the library relies on. AQE re-plans joins from runtime sizes (so a
 # small side becomes a broadcast only after its real size is known), splits
@@ -23,9 +24,11 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Largest side we broadcast after counting it (rows). A page-chain cut or a
+# Largest side we broadcast after counting it: rows, and estimated bytes
+# (rows times the schema's default row width). A page-chain cut or a
 # parent-key table has one row per chain or parent, a few dozen bytes each.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -67,17 +70,48 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def _width(t: T.DataType) -> int:
+    # Spark's default size per type (text 20 bytes, one element per list)
+    if isinstance(t, T.StructType):
+        return sum(_width(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _width(t.elementType)
+    if isinstance(t, T.MapType):
+        return _width(t.keyType) + _width(t.valueType)
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(t, T.VariantType):
+        return 2048
+    if isinstance(t, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return 8
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (Spark's default sizes)."""
+    return 8 + _width(df.schema)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast a derived small side only after its size is known.
 
     The side (a page-chain cut, a parent-key table) is persisted and counted
     in one job; it is hinted for broadcast only when the count is within
-    ``max_rows``. Above the bound the cache is released and the frame is
+    ``max_rows`` and its estimated size within ``max_bytes``. Above the
+    bound the cache is released and the frame is
     returned unhinted, so AQE plans a shuffle join with skew splitting. A
     lost executor only means the small side is recomputed from its lineage.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
+    rows = kept.count()
+    if rows <= max_rows and rows * row_width(df) <= max_bytes:
         _CACHED.append(kept)
         return F.broadcast(kept)
     kept.unpersist()

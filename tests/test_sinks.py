@@ -89,3 +89,15 @@ def test_release_frees_cached_sides(spark):
     S.release(drop_files=True)
     assert not S._CACHED and not S._WRITTEN
     assert spark.range(10).storageLevel.useMemory is False
+
+
+def test_bounded_broadcast_respects_bounds(spark):
+    from landflow import session as S
+
+    small = S.bounded_broadcast(spark.range(100))
+    assert "BroadcastHashJoin" in spark.range(1000).join(small, "id")._jdf.queryExecution().executedPlan().toString()
+    big = S.bounded_broadcast(spark.range(100), max_rows=10)
+    assert big.storageLevel.useMemory is False  # released, no hint
+    wide = S.bounded_broadcast(spark.range(100).selectExpr("id", "repeat('x', 10) as s"), max_bytes=100)
+    assert wide.storageLevel.useMemory is False
+    S.release()
