@@ -40,7 +40,7 @@ def land(pages: DataFrame, name: str = "landing") -> DataFrame:
     landing) and read them back with ``read_pages``: every later pass reads
     files instead of rebuilding the pages."""
     spark = pages.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, track=True)
     write_pages(pages, path, fmt="parquet")
     return spread(read_pages(spark, path, fmt="parquet"))
 

@@ -20,7 +20,7 @@ from landflow.operators import links as JN
 from landflow.operators import shape as PR
 from landflow.plans import fixtures as FX
 from landflow.plans.fixtures import DAY, RUN_TS, s, table
-from landflow.session import configure, scratch_path, unique_name
+from landflow.session import configure, scratch_path, track_schema, unique_name
 from landflow.sinks import tables as SK
 from landflow.sources import pages as PG
 
@@ -41,7 +41,8 @@ def _scratch_schema(spark: SparkSession, tag: str) -> str:
     """A fresh database whose files live in the shared checkpoint folder."""
     configure(spark)
     db = unique_name(f"lf_{tag}")
-    SK.ensure_schema(spark, db, scratch_path(spark, db))
+    SK.ensure_schema(spark, db, scratch_path(spark, db, track=True))
+    track_schema(spark, db)
     return db
 
 
@@ -57,7 +58,7 @@ select 'customers/' || c_mktsegment as request_key,
 from customer group by 1
 """)
 def q_read_pages(spark, sf_dir):
-    path = scratch_path(spark, "pages")
+    path = scratch_path(spark, "pages", track=True)
     PG.write_pages(FX.customer_pages(spark, sf_dir), path)
     env = PG.page_envelope(PG.read_pages(spark, path), PG.ODATA)
     return env.groupBy("request_key").agg(

@@ -61,9 +61,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/landflow/{name}-{uuid.uuid4().hex[:12]}"
+def scratch_path(spark: SparkSession, name: str, track: bool = False) -> str:
+    """A fresh, unique folder under the shared checkpoint folder. ``track``
+    registers it for deletion by ``release(drop_files=True)``."""
+    path = f"{checkpoint_root(spark)}/landflow/{name}-{uuid.uuid4().hex[:12]}"
+    if track:
+        _WRITTEN.append((spark, path))
+    return path
 
 
 def unique_name(prefix: str) -> str:
@@ -122,6 +126,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 # process; ``release`` frees them once the plans that read them have run.
 _CACHED: list[DataFrame] = []
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_SCHEMAS: list[tuple[SparkSession, str]] = []
+
+
+def track_schema(spark: SparkSession, name: str) -> None:
+    """Register a scratch schema for dropping by ``release(drop_files=True)``."""
+    _SCHEMAS.append((spark, name))
 
 
 def release(drop_files: bool = False) -> None:
@@ -131,6 +141,9 @@ def release(drop_files: bool = False) -> None:
     while _CACHED:
         _CACHED.pop().unpersist()
     if drop_files:
+        while _SCHEMAS:
+            spark, name = _SCHEMAS.pop()
+            spark.sql(f"DROP SCHEMA IF EXISTS `{name}` CASCADE")
         while _WRITTEN:
             spark, path = _WRITTEN.pop()
             jvm = spark.sparkContext._jvm
@@ -143,9 +156,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     it back: later plans start from the files (lineage cut, one computation,
     nothing lost with an executor)."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, track=True)
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.parquet(path)
 
 
