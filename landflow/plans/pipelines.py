@@ -194,8 +194,11 @@ def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> Data
     replaces a stored day). ``day`` keeps one UTC day (half-open); without it
     every day present is loaded, each into its own partition.
     """
-    items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY)
-    rows = conform(items, "item", C.ACTIVITY_READ_SCHEMA, keep=("item",))
+    # items stay JSON text: the catch-all keeps each record's key order, and
+    # the declared columns come from one streaming parse per record
+    items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY, as_text=True)
+    rows = items.select("item_text", F.from_json("item_text", C.ACTIVITY_READ_SCHEMA).alias("_r")).select(
+        "item_text", *[F.col("_r").getField(f.name).alias(f.name) for f in C.ACTIVITY_READ_SCHEMA.fields])
     created = to_time_or_null(F.col("CreationTime"))
     rows = rows.withColumn("_created", created)
     if day is not None:
@@ -207,7 +210,7 @@ def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> Data
         elif f.name in C.ACTIVITY_FLAG_TEXT_COLUMNS:
             cols.append(text_to_bool(f.name).alias(f.name))
         elif f.name == C.CATCH_ALL:
-            cols.append(rest_map(F.col("item"), C.ACTIVITY_COLUMNS, from_text=False).alias(f.name))
+            cols.append(rest_map(F.col("item_text"), C.ACTIVITY_COLUMNS).alias(f.name))
         else:
             cols.append(F.col(f.name))
     load_date = F.lit(day) if day is not None else F.date_format("_created", "yyyy-MM-dd")

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from landflow.operators.aggregates import running_total
 from landflow.session import bounded_broadcast
@@ -160,6 +160,19 @@ def unnest_pages(
     return base.select("request_key", "page_no", *keep, F.explode(items).alias("item"))
 
 
+def unnest_texts(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Like ``unnest_pages`` but each item stays JSON text (``item_text``),
+    with its keys in the record's own order: the payload is split by one
+    streaming ``from_json`` into text elements; a lone object is taken
+    whole."""
+    d = _dialect(dialect)
+    as_list = F.from_json(F.col("raw"), StructType([StructField(d.payload, ArrayType(StringType()))])).getField(d.payload)
+    probe = F.from_json(F.col("raw"), StructType([StructField(d.payload, StructType([]))])).getField(d.payload)
+    lone = F.array(F.get_json_object(F.col("raw"), f"$['{d.payload}']"))
+    items = F.when(as_list.isNotNull(), as_list).when(probe.isNotNull(), lone)
+    return pages.select("request_key", "page_no", *keep, F.explode(items).alias("item_text"))
+
+
 def items_as(df: DataFrame, schema: StructType | str, item_col: str = "item", drop: bool = True) -> DataFrame:
     """Project variant items onto a declared struct: missing keys and values
     of the wrong type become null, extra keys are ignored, nested objects in
@@ -239,7 +252,7 @@ def chain_status(pages: DataFrame, dialect: Dialect | str, key: str = "request_k
 
 
 def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = (),
-                 skip_failed_chains: bool = True) -> DataFrame:
+                 skip_failed_chains: bool = True, as_text: bool = False) -> DataFrame:
     """Items of the pages up to each chain's terminal page, leaving out
     chains with a failed page (a partial chain never replaces good data).
 
@@ -250,7 +263,7 @@ def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...]
     if skip_failed_chains:
         status = status.where(~F.col("failed"))
     status = bounded_broadcast(status.select("request_key", "cut"))
-    items = unnest_pages(pages, dialect, keep=keep)
+    items = (unnest_texts if as_text else unnest_pages)(pages, dialect, keep=keep)
     how = "inner" if skip_failed_chains else "left"
     return (
         items.join(status, "request_key", how)

@@ -20,7 +20,7 @@ def _page(key, no, records, last, status=200):
 def test_activity_rows_rules(spark):
     recs = [
         {"Id": "1", "CreationTime": "2024-01-15T23:59:59.500", "IsSuccess": "false", "RecordType": 7,
-         "HasFullReportAttachment": "TRUE", "Extra": {"a": [1]}, "n": 5},
+         "HasFullReportAttachment": "TRUE", "n": 5, "Extra": {"a": [1]}},
         {"Id": "2", "CreationTime": "2024-01-15T10:00:00", "IsSuccess": False, "RecordType": "x",
          "HasFullReportAttachment": ""},
         {"Id": "3", "CreationTime": "2024-01-16T00:00:00"},
@@ -32,6 +32,7 @@ def test_activity_rows_rules(spark):
     assert rows["1"].RecordType == 7 and rows["2"].RecordType is None
     assert rows["1"].HasFullReportAttachment == "true" and rows["2"].HasFullReportAttachment is None
     assert json.loads(rows["1"].AdditionalInfo) == {"Extra": {"a": [1]}, "n": 5}
+    assert rows["1"].AdditionalInfo.index('"n"') < rows["1"].AdditionalInfo.index("Extra")  # record order
     assert rows["1"].LoadDate == "2024-01-15"
     out_cols = [f.name for f in ACTIVITY_SCHEMA.fields] + ["LoadDate", "ProcessingTimestamp"]
     assert TP.activity_rows(pages, "2024-06-01 12:00:00").columns == out_cols
