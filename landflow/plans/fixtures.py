@@ -53,7 +53,7 @@ def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_pages(spark: SparkSession, sf_dir: str, singles_as_objects: bool = False) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", cpu_heavy=True)
     debtor = F.col("c_acctbal") < 0
     rk = F.when(debtor, F.lit("debtors")).otherwise(F.concat(F.lit("customers/"), F.col("c_mktsegment")))
     pn = F.when(debtor, F.col("c_custkey")).otherwise(F.floor(F.col("c_custkey") / PAGE))
@@ -67,7 +67,7 @@ def customer_pages(spark: SparkSession, sf_dir: str, singles_as_objects: bool =
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One chain per user, 50 events per page at most; a page holding a
     purchase is the chain's last result set."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", cpu_heavy=True)
     return pack_pages(
         e,
         F.concat(F.lit("users/"), s("user_id")),
@@ -83,7 +83,7 @@ def line_pages(spark: SparkSession, sf_dir: str, prefix: str = "orders", suffix:
     """Lineitems landed per order: request ``<prefix>/<orderkey>/<suffix>``,
     four line numbers per page. With ``failing`` some pages fail: status 500
     when orderkey % 13 = 0, a cut-off body when orderkey % 11 = 0."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", cpu_heavy=True)
     item = item if item is not None else F.struct("l_linenumber", "l_quantity", "l_partkey")
     status = F.when(F.col("l_orderkey") % 13 == 0, F.lit(500)).otherwise(F.lit(200)) if failing else None
     pages = pack_pages(

@@ -175,7 +175,7 @@ def _workspace_pages(spark, sf_dir):
         F.collect_list(F.when(rf == "N", F.struct(
             F.concat(F.lit("df-"), rid).alias("objectId"), F.concat(F.lit("dataflow-"), rid).alias("name"),
             F.array(F.lit("u")).alias("users")))).alias("dataflows"))
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", cpu_heavy=True)
     ws = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     item = F.struct(
         s("o_orderkey").alias("id"), F.concat(F.lit("ws-"), s("o_orderkey")).alias("name"),
@@ -253,9 +253,9 @@ from lineitem join supplier on l_suppkey = s_suppkey
 """)
 def q_tp_access(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", cpu_heavy=True)
     sp = table(spark, sf_dir, "supplier")
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", cpu_heavy=True)
     updated = F.when(F.col("n_nationkey") % 5 == 0, F.lit("unknown")).otherwise(
         F.concat(F.lit("2024-01-"), F.lpad(s(F.col("n_nationkey") + 1), 2, "0"), F.lit(" 10:00:00")))
     apps = pack_pages(n, F.lit("apps"), F.floor(F.col("n_nationkey") / PAGE),
