@@ -19,7 +19,6 @@ from landflow.operators.filters import choose, where_active, where_day, where_ke
 from landflow.operators.links import attach_children, restrict_to_keys
 from landflow.operators.shape import (
     clean_columns,
-    conform,
     drop_columns,
     explode_many,
     flatten_struct,
