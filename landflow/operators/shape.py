@@ -110,10 +110,22 @@ def explode_children(df: DataFrame, array_col: str, parent_keys: dict[str, str |
 # PR7 ----------------------------------------------------------------------
 def explode_many(df: DataFrame, arrays: dict[str, str], parent_keys: dict[str, str | Column]) -> dict[str, DataFrame]:
     """Several child tables from one parent frame: ``{array_col: name}`` to
-    ``{name: DataFrame}``. The caller decides whether the shared parent is
-    persisted (``save_tables(shared=...)`` does it around the writes)."""
-    return {name: explode_children(df, col, parent_keys)
-            for col, name in arrays.items() if col in df.columns}
+    ``{name: DataFrame}``. A column that is not a list of objects (a key
+    that only ever held null, inferred as text) has no children: its table is
+    empty, with the parent keys as columns. The caller decides whether the
+    shared parent is persisted (``save_tables(shared=...)`` does it around
+    the writes)."""
+    out = {}
+    for col, name in arrays.items():
+        if col not in df.columns:
+            continue
+        dtype = df.schema[col].dataType
+        if isinstance(dtype, ArrayType) and isinstance(dtype.elementType, StructType):
+            out[name] = explode_children(df, col, parent_keys)
+        else:
+            keys = [(F.col(_q(v)) if isinstance(v, str) else v).alias(k) for k, v in parent_keys.items()]
+            out[name] = df.select(*keys).where(F.lit(False))
+    return out
 
 
 # PR8 ----------------------------------------------------------------------

@@ -50,3 +50,24 @@ def test_activity_job_defaults_to_yesterday(spark):
     assert J.activity_job(spark, root, f"{db}.activity_events", None, now="2024-03-01 00:30:00") == 1
     r = spark.read.table(f"{db}.activity_events").first()
     assert (r.Id, r.Activity, r.LoadDate) == ("a", "ViewReport", "2024-02-29")
+
+
+def test_settings_and_dataflow_jobs_via_cli(spark, capsys):
+    root = scratch_path(spark, "jobs-settings")
+    _land(spark, root, "tenant_settings", [("tenantsettings", 0, {"tenantSettings": [
+        {"settingName": "S1", "enabled": True, "enabledSecurityGroups": [{"graphId": "g", "name": "G"}],
+         "properties": None},
+        {"settingName": "S2", "enabled": False}]})])
+    _land(spark, root, "dataflow_datasources", [
+        ("dataflows/f1/datasources", 0, {"value": [{"datasourceId": "d1", "connectionDetails": {"server": "s"}}]}),
+        ("dataflows/f9/datasources", 0, {"value": [{"datasourceId": "d9"}]})])
+    db = unique_name("lf_jobs")
+    ensure_schema(spark, db, scratch_path(spark, db))
+    J.main(["settings", "--landing", root, "--schema", db])
+    assert "'tenant_settings': 2" in capsys.readouterr().out
+    assert spark.read.table(f"{db}.enabled_security_groups").count() == 1
+    assert spark.read.table(f"{db}.properties").count() == 0  # empty child table written empty
+    spark.createDataFrame([("f1",)], "objectId string").write.saveAsTable(f"{db}.dataflows")
+    assert J.dataflow_sources_job(spark, root, db, run_ts="2024-06-01 12:00:00") == 1
+    r = spark.read.table(f"{db}.dataflow_sources").first()
+    assert (r.dataflowId, r.datasourceId, r.connectionDetails_server) == ("f1", "d1", "s")
