@@ -67,7 +67,8 @@ def _leaves(col: Column, dtype: DataType, path: list[str], recurse: bool):
 def flatten_struct(df: DataFrame, col: str, prefix: str | None = None, recurse: bool = True) -> DataFrame:
     """Spread a struct column into prefixed columns.
 
-    Nested structs recurse (``a.b`` becomes ``prefix + a_b``); lists and maps
+    A column that is not a struct holds no objects and is dropped. Nested
+    structs recurse (``a.b`` becomes ``prefix + a_b``); lists and maps
     stay whole. A null or empty object gives nulls on the same row. The source
     column is dropped and the new columns are appended.
     """
@@ -75,7 +76,9 @@ def flatten_struct(df: DataFrame, col: str, prefix: str | None = None, recurse:
         return df
     dtype = df.schema[col].dataType
     if not isinstance(dtype, StructType):
-        raise TypeError(f"{col} is {dtype.simpleString()}, not a struct")
+        # no value is an object (e.g. a key that only held null, inferred as
+        # text): nothing to spread, and the column goes, as with all-null
+        return df.drop(col)
     prefix = f"{col}_" if prefix is None else prefix
     keep = [F.col(_q(c)) for c in df.columns if c != col]
     flat = [

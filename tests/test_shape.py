@@ -37,6 +37,8 @@ def test_flatten_struct_rows_stay_aligned(spark):
     assert "Exchange" not in _plan(out)
     one = PR.flatten_one_level(df, "d", "d_")
     assert one.columns == ["id", "d_a", "d_b", "d_l"]
+    text = spark.createDataFrame([(1, None)], "id int, d string")
+    assert PR.flatten_struct(text, "d").columns == ["id"]
 
 
 def test_explode_children_keys_win(spark):
