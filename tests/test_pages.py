@@ -117,3 +117,13 @@ def test_items_as_parent_key_wins(spark):
     out = PG.items_as(items, "struct<id:string,dataflowId:string>")
     assert out.columns == ["request_key", "page_no", "dataflowId", "id"]
     assert out.first().dataflowId == "d1"
+
+
+def test_unnest_texts_keeps_order_and_lone_objects(spark):
+    pages = _pages(spark, [
+        ("a", 0, 200, '{"activityEventEntities":[{"z":1,"a":2},{"b":"é"}],"lastResultSet":true}'),
+        ("b", 0, 200, '{"activityEventEntities":{"k":1}}'),
+        ("c", 0, 200, '{"other":[]}'),
+    ])
+    got = sorted((r.request_key, r.item_text) for r in PG.unnest_texts(pages, PG.ACTIVITY).collect())
+    assert got == [("a", '{"b":"é"}'), ("a", '{"z":1,"a":2}'), ("b", '{"k":1}')]
