@@ -142,17 +142,28 @@ def conform(df: DataFrame, doc_col: str, schema: StructType, keep: tuple[str, ..
 
 
 def type_violations(df: DataFrame, doc_col: str, schema: StructType) -> DataFrame:
-    """Rows where a declared field is present and not null in the record but
-    does not fit its declared type, with the list of such fields
-    (``bad_fields``); ``conform`` loads null there."""
+    """One row per record and declared field whose value is present and not
+    null in the record but does not fit the declared type (``bad_field``);
+    ``conform`` loads null there.
+
+    The record is cast once (to the contract and to a key map) in its own
+    projection and the checks read those two columns. The rows come from an
+    ``explode`` rather than a filter: a filter on the checks would be pushed
+    below the projections with the casts (and the parse) inlined once per
+    field.
+    """
+    cols = list(df.columns)
+    casts = df.select(
+        "*",
+        F.try_variant_get(F.col(doc_col), "$", schema.simpleString()).alias("_typed"),
+        F.try_variant_get(F.col(doc_col), "$", "map<string,variant>").alias("_fields"),
+    )
     checks = []
     for f in schema.fields:
-        raw = F.try_variant_get(F.col(doc_col), f'$["{f.name}"]', "variant")
-        typed = F.try_variant_get(F.col(doc_col), f'$["{f.name}"]', f.dataType.simpleString())
-        bad = raw.isNotNull() & ~F.is_variant_null(raw) & typed.isNull()
+        raw = F.col("_fields").getItem(f.name)
+        bad = raw.isNotNull() & ~F.is_variant_null(raw) & F.col("_typed").getField(f.name).isNull()
         checks.append(F.when(bad, F.lit(f.name)))
-    bad_fields = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return df.select("*", bad_fields.alias("bad_fields")).where(F.size("bad_fields") > 0)
+    return casts.select(*cols, F.explode(F.array_compact(F.array(*checks))).alias("bad_field"))
 
 
 def conform_text(raw: Column, schema: StructType) -> Column:

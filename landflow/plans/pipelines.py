@@ -226,12 +226,11 @@ def load_activity_day(pages: DataFrame, table: str, run_ts: str, day: str) -> in
 
 
 def activity_quarantine(pages: DataFrame) -> DataFrame:
-    """Records whose declared fields had a value of the wrong type (they are
-    loaded with null there): ``(Id, bad_fields)`` for review."""
+    """Declared fields that had a value of the wrong type (loaded as null):
+    ``(Id, bad_field)``, one row per record and field, for review."""
     items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY)
-    typed = C.ACTIVITY_READ_SCHEMA
-    return type_violations(items, "item", typed).select(
-        F.try_variant_get("item", "$.Id", "string").alias("Id"), "bad_fields")
+    return type_violations(items, "item", C.ACTIVITY_READ_SCHEMA).select(
+        F.try_variant_get("item", "$.Id", "string").alias("Id"), "bad_field")
 
 
 def load_activity(pages: DataFrame, table: str, run_ts: str, day: str | None = None) -> int:

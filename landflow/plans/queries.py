@@ -386,6 +386,16 @@ def q_rest_map(spark, sf_dir):
                      parsed["Props"].alias("extra_props"))
 
 
+@query("q_type_violations", """
+select 'ev-' || event_id as Id, 'RecordType' as bad_field from events where event_type = 'error'
+""")
+def q_type_violations(spark, sf_dir):
+    from landflow.plans.contracts import ACTIVITY_READ_SCHEMA
+    rec = FX.activity_records(spark, sf_dir).select(F.parse_json("raw").alias("doc"))
+    bad = PR.type_violations(rec, "doc", ACTIVITY_READ_SCHEMA)
+    return bad.select(F.try_variant_get("doc", "$.Id", "string").alias("Id"), "bad_field")
+
+
 @query("q_stamp_run", f"""
 select o_orderkey, {RUN_EPOCH_SQL} as extraction_timestamp,
        '2024-06-01' as LoadDate, TIMESTAMP '{RUN_TS}' as ProcessingTimestamp

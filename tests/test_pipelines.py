@@ -106,8 +106,8 @@ def test_infer_keys_and_schema(spark):
 def test_quarantine_lists_wrong_types(spark):
     recs = [{"Id": "1", "RecordType": "x", "IsSuccess": True}, {"Id": "2", "RecordType": 4, "CreationTime": None}]
     pages = spark.createDataFrame([_page("d", 0, recs, True)], PAGE_SCHEMA)
-    got = [(r.Id, r.bad_fields) for r in TP.activity_quarantine(pages).collect()]
-    assert got == [("1", ["RecordType"])]
+    got = [(r.Id, r.bad_field) for r in TP.activity_quarantine(pages).collect()]
+    assert got == [("1", "RecordType")]
 
 
 def test_dataflow_sources_need_stored_keys(spark):
