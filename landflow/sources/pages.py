@@ -227,7 +227,7 @@ def light_envelope(raw: Column, dialect: Dialect | str) -> dict[str, Column]:
         terminal = F.lit(True)
     else:
         terminal = last | link.isNull() | (link == "") | is_object
-    return {"valid": F.json_object_keys(raw).isNotNull(), "terminal": terminal}
+    return {"valid": body_ok(raw), "terminal": terminal}
 
 
 def chain_status(pages: DataFrame, dialect: Dialect | str, key: str = "request_key") -> DataFrame:
@@ -279,19 +279,25 @@ def scan_keys(spark: SparkSession, table: str, col: str) -> DataFrame:
 
 
 # FL5 ----------------------------------------------------------------------
+def body_ok(raw: Column) -> Column:
+    """The body is a well-formed JSON object (streaming check, the same test
+    ``chain_status`` applies)."""
+    return F.json_object_keys(raw).isNotNull()
+
+
 def page_ok(status: Column | str = "status", raw: Column | str = "raw") -> Column:
     s = F.col(status) if isinstance(status, str) else status
     r = F.col(raw) if isinstance(raw, str) else raw
-    return s.between(200, 299) & F.try_parse_json(r).isNotNull()
+    return s.between(200, 299) & body_ok(r)
 
 
 def split_failed(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, quarantine): a page fails on a non-2xx status or a body that is
-    not JSON. The quarantine keeps the failure reason as data."""
+    not a JSON object. The quarantine keeps the failure reason as data."""
     ok = page_ok()
     reason = (
         F.when(~F.col("status").between(200, 299), F.concat(F.lit("status "), F.col("status").cast("string")))
-        .when(F.try_parse_json(F.col("raw")).isNull(), F.lit("unparseable body"))
+        .when(~body_ok(F.col("raw")), F.lit("unparseable body"))
     )
     good = pages.where(ok)
     bad = pages.where(~ok | ok.isNull()).withColumn("reason", reason)
