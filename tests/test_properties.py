@@ -70,3 +70,24 @@ def test_pack_unnest_round_trip(spark, ids, page_size):
                           object_when_single=True)
     back = PG.items_as(PG.unnest_pages(pages, PG.ODATA), "struct<k:bigint>")
     assert sorted(r.k for r in back.collect()) == sorted(ids)
+
+
+def test_spread_is_a_no_op_on_many_splits(spark):
+    from landflow.session import spread
+
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many) is many
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 20000), st.integers(0, 9)),
+                min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1])))
+def test_running_total_sparse_pages(spark, rows):
+    from landflow.operators.aggregates import running_total
+
+    df = spark.createDataFrame(rows, "k string, p long, n long")
+    got = {(r.k, r.p): r.t for r in running_total(df, "k", "p", "n", "t", block=16).collect()}
+    for k, p, _ in rows:
+        assert got[(k, p)] == sum(n for k2, p2, n in rows if k2 == k and p2 <= p)
