@@ -36,6 +36,7 @@ from landflow.sources.pages import (
     SETTINGS,
     Dialect,
     items_as,
+    page_columns,
     scan_keys,
     split_failed,
     usable_items,
@@ -52,7 +53,7 @@ def landed_items(pages: DataFrame, dialect: Dialect, schema: StructType,
     """Pages to typed item rows: cut each chain at its terminal page, leave
     out chains with a failed page, project items onto the contract."""
     extra = extra or {}
-    base = pages.select("request_key", "page_no", "status", "raw", *[c.alias(n) for n, c in extra.items()])
+    base = pages.select(*page_columns(pages), *[c.alias(n) for n, c in extra.items()])
     items = usable_items(base, dialect, keep=tuple(extra))
     return items_as(items, schema).drop("request_key", "page_no")
 
@@ -195,7 +196,7 @@ def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> Data
     """
     # items stay JSON text: the catch-all keeps each record's key order, and
     # the declared columns come from one streaming parse per record
-    items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY, as_text=True)
+    items = usable_items(pages.select(*page_columns(pages)), ACTIVITY, as_text=True)
     rows = items.select("item_text", F.from_json("item_text", C.ACTIVITY_READ_SCHEMA).alias("_r")).select(
         "item_text", *[F.col("_r").getField(f.name).alias(f.name) for f in C.ACTIVITY_READ_SCHEMA.fields])
     created = to_time_or_null(F.col("CreationTime"))
@@ -228,7 +229,7 @@ def load_activity_day(pages: DataFrame, table: str, run_ts: str, day: str) -> in
 def activity_quarantine(pages: DataFrame) -> DataFrame:
     """Declared fields that had a value of the wrong type (loaded as null):
     ``(Id, bad_field)``, one row per record and field, for review."""
-    items = usable_items(pages.select("request_key", "page_no", "status", "raw"), ACTIVITY)
+    items = usable_items(pages.select(*page_columns(pages)), ACTIVITY)
     return type_violations(items, "item", C.ACTIVITY_READ_SCHEMA).select(
         F.try_variant_get("item", "$.Id", "string").alias("Id"), "bad_field")
 

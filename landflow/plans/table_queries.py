@@ -9,7 +9,7 @@ from landflow.plans import pipelines as TP
 from landflow.plans.fixtures import PAGE, RUN_TS, s, table
 from landflow.plans.queries import RUN_EPOCH_SQL, _scratch_schema, query
 from landflow.sinks import tables as SK
-from landflow.sources.pages import ODATA, SETTINGS, pack_pages
+from landflow.sources.pages import ACTIVITY, ODATA, SETTINGS, pack_pages
 
 TS_SQL = f"TIMESTAMP '{RUN_TS}'"
 
@@ -214,7 +214,7 @@ select 'dataflows', cast(o_orderkey as varchar), 'ws-' || o_orderkey, 'df-' || o
        'dataflow-' || o_orderkey || '-' || l_linenumber, null, {RUN_EPOCH_SQL} {_WS} and l_returnflag = 'N'
 """)
 def q_tp_workspaces(spark, sf_dir):
-    t = TP.build_workspaces(FX.land(_workspace_pages(spark, sf_dir)), WORKSPACE, RUN_TS)
+    t = TP.build_workspaces(FX.land(_workspace_pages(spark, sf_dir), dialect=ODATA), WORKSPACE, RUN_TS)
     return (_labelled("workspaces", t["workspaces"], workspace_id=None, workspace_name=None, id="id", name="name",
                       detail="capacityId")
             .unionByName(_labelled("workspaces_users", t["workspaces_users"], workspace_id="workspace_id",
@@ -330,7 +330,7 @@ from events
 def q_tp_activity_day(spark, sf_dir):
     db = _scratch_schema(spark, "activity")
     t = f"{db}.activity_events"
-    pages = FX.land(FX.activity_pages(spark, sf_dir))
+    pages = FX.land(FX.activity_pages(spark, sf_dir), dialect=ACTIVITY)
     TP.load_activity(pages, t, RUN_TS)
     return spark.read.table(t).select(
         "Id", "RecordType", "CreationTime", "Operation", "UserId", "IsSuccess", "HasFullReportAttachment",

@@ -59,16 +59,30 @@ def _path(key: str) -> str:
 def read_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Read landed pages. JSON lines as landed, or Parquet after compaction
     (Parquet lets the key columns be read without touching ``raw``)."""
-    reader = spark.read.schema(PAGE_SCHEMA)
     if fmt == "json":
-        return reader.json(path)
-    return reader.format(fmt).load(path)
+        return spark.read.schema(PAGE_SCHEMA).json(path)
+    return spark.read.format(fmt).load(path)  # keeps envelope columns if landed
 
 
-def write_pages(pages: DataFrame, path: str, fmt: str = "json") -> None:
-    """Land pages (the inverse of ``read_pages``)."""
-    (pages.select([f.name for f in PAGE_SCHEMA.fields])
-        .write.mode("overwrite").format(fmt).save(path))
+ENVELOPE_COLUMNS = ("terminal", "valid")
+
+
+def page_columns(pages: DataFrame) -> list[str]:
+    """The page columns the pipelines read, with the landed envelope facts
+    when the landing recorded them."""
+    base = [f.name for f in PAGE_SCHEMA.fields]
+    return base + [c for c in ENVELOPE_COLUMNS if c in pages.columns]
+
+
+def write_pages(pages: DataFrame, path: str, fmt: str = "json", dialect: Dialect | str | None = None) -> None:
+    """Land pages (the inverse of ``read_pages``). With ``dialect`` (columnar
+    formats) the envelope facts are stored as columns ``terminal`` and
+    ``valid``, so the chain status never has to read the bodies again."""
+    cols = [F.col(f.name) for f in PAGE_SCHEMA.fields]
+    if dialect is not None:
+        env = light_envelope(F.col("raw"), dialect)
+        cols += [env["terminal"].alias("terminal"), env["valid"].alias("valid")]
+    pages.select(*cols).write.mode("overwrite").format(fmt).save(path)
 
 
 # envelope -----------------------------------------------------------------
@@ -238,12 +252,17 @@ def chain_status(pages: DataFrame, dialect: Dialect | str, key: str = "request_k
     so all pages count). A streaming pass over the bodies and a partial
     aggregate: the result has one small row per chain.
     """
-    env = light_envelope(F.col("raw"), dialect)
+    if all(c in pages.columns for c in ENVELOPE_COLUMNS):
+        # facts recorded at landing: a column read, the bodies stay untouched
+        valid, terminal = F.col("valid"), F.col("terminal")
+    else:
+        env = light_envelope(F.col("raw"), dialect)
+        valid, terminal = env["valid"], env["terminal"]
     per_page = pages.select(
         key,
         "page_no",
-        (~F.col("status").between(200, 299) | ~env["valid"]).alias("_bad"),
-        env["terminal"].alias("_terminal"),
+        (~F.col("status").between(200, 299) | ~valid).alias("_bad"),
+        terminal.alias("_terminal"),
     )
     return per_page.groupBy(key).agg(
         F.max("_bad").alias("failed"),

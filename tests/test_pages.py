@@ -127,3 +127,19 @@ def test_unnest_texts_keeps_order_and_lone_objects(spark):
     ])
     got = sorted((r.request_key, r.item_text) for r in PG.unnest_texts(pages, PG.ACTIVITY).collect())
     assert got == [("a", '{"b":"é"}'), ("a", '{"z":1,"a":2}'), ("b", '{"k":1}')]
+
+
+def test_landed_envelope_facts_spare_the_bodies(spark, tmp_path):
+    pages = _pages(spark, [("a", 0, 200, '{"value":[{"id":"1"}],"@odata.nextLink":"n"}'),
+                           ("a", 1, 200, '{"value":[{"id":"2"}]}'),
+                           ("a", 2, 200, '{"value":[{"id":"late"}]}'),
+                           ("b", 0, 500, "down")])
+    path = str(tmp_path / "landed")
+    PG.write_pages(pages, path, fmt="parquet", dialect=PG.ODATA)
+    landed = PG.read_pages(spark, path, fmt="parquet")
+    assert set(PG.ENVELOPE_COLUMNS) <= set(landed.columns)
+    status = PG.chain_status(landed, PG.ODATA)
+    scan = [ln for ln in status._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in ln]
+    assert scan and all("raw" not in ln.split("ReadSchema")[1] for ln in scan)
+    got = PG.items_as(PG.usable_items(landed, PG.ODATA), "struct<id:string>")
+    assert sorted(r.id for r in got.collect()) == ["1", "2"]
