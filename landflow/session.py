@@ -42,8 +42,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) do we create a
-    folder of our own and register it as the checkpoint folder.
+    Read from the session; only when it is unset on a local master (tests) do
+    we create a folder of our own and register it. On a cluster an unset folder
+    is an error: executors and driver would not see each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -53,6 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="landflow-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
