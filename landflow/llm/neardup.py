@@ -8,9 +8,10 @@ three values and go deeper only where they are crowded:
 1. every node of a region is a candidate of the region's smallest node; the
    candidates whose sets pass ``100 * common >= 75 * union`` are links;
 2. a region whose nodes are then all one component needs nothing more. In each
-   other one, up to ``SMALL`` nodes, all pairs of different components are
-   candidates; a larger one is split by longer prefixes, each part again
-   with its smallest node's candidates, until it is small.
+   other one, if at most ``SMALL`` nodes lie beside its largest component, they
+   are compared with all nodes of other components there; else it is split by
+   longer prefixes, each part again with its smallest node's candidates,
+   until few lie beside.
 
 Links are confirmed on whole sets; estimates from signatures only drop
 candidates more than five standard deviations under the threshold. Sixteen
@@ -39,7 +40,7 @@ from landflow.session import bounded_broadcast, materialize
 WORDS, VALUES, TREES = 5, 128, 16
 #: Prefix lengths that regions go through.
 DEPTHS = (3, 5, 8, 12, 20, 32)
-#: Nodes of a region whose pairs are all candidates.
+#: Nodes beside a region's largest component that are compared with all others in it.
 SMALL = 12
 #: Equal signature values under which a candidate is dropped: 0.55 of them.
 LEAST_EQUAL = 70
@@ -173,22 +174,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # regions of more than one component: two nodes are settled by their one pair
     name = lambda r: r.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    many = lambda r: r.groupBy("key").agg(
-        F.min("node").alias("pivot"), F.count("*").alias("n"), F.min("label").alias("l0"), F.max("label").alias("l1")).where("n > 2 and l0 != l1")
+
+    def many(r: DataFrame) -> DataFrame:
+        """Regions of several components: the commonest label, and the nodes beside it."""
+        by = r.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("node").alias("p"))
+        return by.groupBy("key").agg(F.min("p").alias("pivot"), F.sum("c").alias("n"), F.count("*").alias("labels"),
+                                     F.max(F.struct("c", "label")).alias("top")).where("n > 2 and labels > 1").select(
+            "key", "pivot", (F.col("n") - F.col("top.c")).alias("beside"), F.col("top.label").alias("main"))
+
     front, more = name(rows.join(regions.where("n > 2").select("key"), "key", "left_semi")), []
     for k, depth in enumerate(DEPTHS):
         front = materialize(front.select("node", "key", "label"), "front")
         open_ = materialize(many(front), "open")
         if open_.isEmpty():
             break
-        small = front.join(open_.where(F.col("n") <= SMALL).select("key"), "key", "left_semi")
-        other = small.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-        more.append(small.join(other, "key").where("node < b and label != lb").select(F.col("node").alias("a"), "b"))
+        few = open_.where(F.col("beside") <= SMALL)
+        beside = front.join(few, "key").where("label != main").select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
+        more.append(front.join(beside, "key").where("label != lb").select(
+            F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
         if k:
             more.append(_stars(front, open_))
         if k + 1 < len(DEPTHS):
             # a crowded region's nodes, in that tree only: the old key goes into the new
-            dense = front.join(open_.where(F.col("n") > SMALL).select("key"), "key", "left_semi")
+            dense = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi")
             deeper = nodes.join(dense.select("node").distinct(), "node", "left_semi").select(
                 "node", F.posexplode(F.arrays_zip(_keys(DEPTHS[k]).alias("old"), _keys(DEPTHS[k + 1]).alias("new"))).alias("tree", "k"))
             front = dense.join(deeper.select("node", F.col("k.old").alias("key"), F.col("k.new").alias("next")), ["node", "key"]).select(

@@ -2,13 +2,14 @@
 
 1. Words and word beginnings that mark toxic training documents are dealt
    over many lexicon voters; fixed patterns vote too.
-2. A generative label model takes the votes of all documents: with a class
-   Y of +1 or -1, a voter's mean shifts by its strength a_i with Y, so voters
-   that are independent given Y have covariance a_i * a_j * var(Y). The
-   strengths (accuracies) are the rank-one part of the vote covariance, fitted
-   on the pairs of voters that agree with it; what remains are the correlations
-   given Y, and weighting by their inverse keeps copies of one voter from
-   counting twice. Only the voters' sums and products are gathered.
+2. A generative label model takes the votes (found or not) of all documents:
+   a voter finds with one rate in toxic and another in clean documents, so
+   voters that are independent given the class have covariance
+   d_i * d_j * share * (1 - share), with d the difference of the rates (their
+   accuracy). The differences are the rank-one part of the vote covariance,
+   fitted on the pairs of voters that agree with it; what remains are the
+   correlations given the class, and a voter's evidence is divided by the voters
+   it is correlated with. Only sums and products of votes are gathered.
 3. A linear classifier over the presence of words and beginnings is trained
    on the model's posterior labels and scores every document.
 
@@ -25,7 +26,7 @@ are kept.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,11 +39,12 @@ from pyspark.sql import types as T
 from landflow.session import materialize
 
 #: Most labelled rows for the fits, most features, lexicons, and least documents of a feature.
-SAMPLE, FEATURES, LEXICONS, LEAST_DOCS = 10_000, 1500, 24, 5
+SAMPLE, FEATURES, LEXICONS, LEAST_DOCS = 10_000, 1500, 10, 4
+#: Share of a lexicon feature's documents that are toxic, and its deviation from
+#: chance in standard deviations (some 100,000 features are looked at).
+PURE, SURE = 0.8, 7.5
 #: Word beginnings of these lengths are features beside whole words.
 BEGINNINGS = (4, 5, 6)
-#: Distinct words under which a lexicon that finds nothing abstains.
-ENOUGH = 15
 _WORD = re.compile(r"\w+")
 
 # Fixed patterns: insults, threats, masked and spelled-out words, shouting.
@@ -74,8 +76,8 @@ class Model:
     lexicon: np.ndarray  # lexicon of each feature, or -1
     weights: np.ndarray
     bias: float
-    vote_weights: np.ndarray
-    vote_bias: float
+    hit: np.ndarray  # evidence of each voter's hit
+    prior: float
     accuracies: np.ndarray
     correlations: np.ndarray
 
@@ -90,8 +92,6 @@ class Model:
 
     def votes(self, text: str | None, present: list[int]) -> np.ndarray:
         out = np.zeros(LEXICONS + len(PATTERNS))
-        if len(set((text or "").split())) >= ENOUGH:
-            out[:LEXICONS] = -1
         hit = self.lexicon[present] if present else np.zeros(0, int)
         out[hit[hit >= 0]] = 1
         low = (text or "").lower()
@@ -99,6 +99,10 @@ class Model:
             out[LEXICONS + k] = 1 if p.search(low) else 0
         return out
 
+    def posterior(self, text: str | None, present: list[int]) -> float:
+        """Log odds of the label model; a voter that finds nothing abstains."""
+        return float(self.prior + self.votes(text, present) @ self.hit)
+
     def score(self, text: str | None) -> float:
         z = self.bias + self.weights[self.present(text)].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
@@ -111,8 +115,8 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 5 == 0, F.lit(False))
 
 
-def _association(sample: DataFrame) -> tuple[list[tuple[str, int, int]], int, int]:
-    """(feature, documents, toxic documents) of the most telling features."""
+def _association(sample: DataFrame) -> tuple[list[tuple[str, int, int, float]], int, int]:
+    """(feature, documents, toxic documents, deviation from chance) of the most telling features."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             n, pos = Counter(), Counter()
@@ -130,15 +134,17 @@ def _association(sample: DataFrame) -> tuple[list[tuple[str, int, int]], int, in
     share = toxic / size
     z = (F.col("pos") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) * (1 - F.col("n") / (size + 1)) + 1e-9)
     top = counts.where(F.col("n") >= LEAST_DOCS).withColumn("z", z).orderBy(F.desc(F.abs("z")), "f").limit(FEATURES)
-    return [(r.f, r.n, r.pos) for r in top.collect()], size, toxic
+    return [(r.f, r.n, r.pos, r.z) for r in top.collect()], size, toxic
 
 
-def label_model(mean: np.ndarray, cov: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """(strengths, covariance given the class, weights, bias) from vote moments."""
-    m, var_y = len(mean), 4 * share * (1 - share)
+def label_model(mean: np.ndarray, cov: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rate differences, correlations given the class, evidence of a hit) by
+    voter, from the moments of votes of 0 and 1."""
+    m, var_y = len(mean), share * (1 - share)
     scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
     corr = cov / np.outer(scale, scale)
-    use = ~np.eye(m, dtype=bool)
+    away = ~np.eye(m, dtype=bool)
+    use = away
     a = np.sqrt(np.clip(np.abs(corr[use].reshape(m, -1)).mean(1), 1e-3, 0.95))
     for _ in range(50):
         for i in range(m):
@@ -146,14 +152,15 @@ def label_model(mean: np.ndarray, cov: np.ndarray, share: float) -> tuple[np.nda
             a[i] = np.clip((corr[i, w] @ a[w]) / max(1e-9, (a[w] ** 2).sum()), 0.0, 0.98)
         # pairs far from the rank-one fit are correlated given the class
         off = np.abs(corr - np.outer(a, a))
-        use = (off <= max(0.1, np.quantile(off[~np.eye(m, dtype=bool)], 0.8))) & ~np.eye(m, dtype=bool)
-    strength = a * scale / np.sqrt(var_y)
-    given = cov - np.outer(strength, strength) * var_y
-    vals, vecs = np.linalg.eigh((given + given.T) / 2)
-    given = (vecs * np.maximum(vals, 0.02)) @ vecs.T
-    weights = np.linalg.solve(given, strength)
-    middle = mean - (2 * share - 1) * strength  # the votes' mean at Y = 0
-    return strength, given, 2 * weights, float(np.log(share / (1 - share)) - 2 * weights @ middle)
+        use = (off <= max(0.1, np.quantile(off[away], 0.8))) & away
+    differ = a * scale / np.sqrt(var_y)
+    high = np.clip(mean + differ * (1 - share), 1e-3, 1 - 1e-3)
+    low = np.clip(mean - differ * share, 1e-4, 1 - 1e-3)
+    within = np.sqrt(np.maximum(share * high * (1 - high) + (1 - share) * low * (1 - low), 1e-9))
+    given = np.clip((corr - np.outer(a, a)) * np.outer(scale / within, scale / within), -1, 1)
+    np.fill_diagonal(given, 1)
+    alike = np.where(given > 0.1, given, 0).sum(1)
+    return differ, given, np.log(high / low) / alike
 
 
 def _fit_linear(rows: list[np.ndarray], target: np.ndarray, n: int) -> tuple[np.ndarray, float]:
@@ -182,14 +189,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = materialize(docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__id")).select("text", "toxic"), "toxic-sample")
     top, size, toxic = _association(texts)
     share = min(max((toxic + 1) / (size + 2), 0.01), 0.99)
-    vocabulary = {f: k for k, (f, _, _) in enumerate(top)}
-    # features that nearly only toxic documents hold, dealt in order of frequency
-    strong = sorted((k for k, (_, n, pos) in enumerate(top) if pos >= 0.8 * n), key=lambda k: -top[k][1])
+    vocabulary = {f: k for k, (f, *_) in enumerate(top)}
+    # features that nearly only toxic documents hold: those of one stem go to one
+    # lexicon, the stems are dealt in order of frequency
+    strong = defaultdict(list)
+    for k, (f, n, pos, z) in enumerate(top):
+        if pos >= PURE * n and z >= SURE:
+            strong[f[:BEGINNINGS[0]]].append(k)
     lexicon = np.full(len(top), -1)
-    for place, k in enumerate(strong):
-        lexicon[k] = place % LEXICONS
+    for place, stem in enumerate(sorted(strong, key=lambda s: (-max(top[k][2] for k in strong[s]), s))):
+        lexicon[strong[stem]] = place % LEXICONS
     m = LEXICONS + len(PATTERNS)
-    model = Model(vocabulary, lexicon, np.zeros(len(top)), -30.0, np.zeros(m), 0.0, np.zeros(m), np.eye(m))
+    model = Model(vocabulary, lexicon, np.zeros(len(top)), -30.0, np.zeros(m),
+                  float(np.log(share / (1 - share))), np.zeros(m), np.eye(m))
     if not top:
         return model
 
@@ -214,14 +226,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     cov = total[:m, :m] / n - np.outer(mean, mean)
     live = np.diag(cov) > 1e-6
     if live.sum() >= 3:
-        a, given, w, b = label_model(mean[live], cov[np.ix_(live, live)], share)
-        model.accuracies[live], model.vote_weights[live], model.vote_bias = a, w, b
+        a, given, hit = label_model(mean[live], cov[np.ix_(live, live)], share)
+        model.accuracies[live], model.hit[live] = a, hit
         model.correlations[np.ix_(live, live)] = given
 
     def seen(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             here = [model.present(t) for t in f["text"]]
-            z = [model.vote_bias + model.vote_weights @ model.votes(t, p) for t, p in zip(f["text"], here)]
+            z = [model.posterior(t, p) for t, p in zip(f["text"], here)]
             yield pd.DataFrame({"p": here, "z": z})
 
     # the documented sample: at most SAMPLE rows of at most FEATURES numbers
