@@ -42,9 +42,8 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 def _windows(words: Column) -> Column:
     """Hashes of the 5-word windows of an array of five words or more."""
-    h = F.transform(words, lambda w: F.xxhash64(w))
     m = F.size(words) - 4
-    return F.transform(F.arrays_zip(*[F.slice(h, k, m).alias(f"w{k}") for k in range(1, 6)]), lambda x: F.xxhash64(x))
+    return F.transform(F.arrays_zip(*[F.slice(words, k, m).alias(f"w{k}") for k in range(1, 6)]), lambda x: F.xxhash64(x))
 
 
 def _covered(windows: Column) -> Column:
@@ -65,19 +64,20 @@ def _covered(windows: Column) -> Column:
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, h (of the row), and the counts."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    flat = F.regexp_replace(F.regexp_replace(text, _SPACE, " "), "^ | $", "")
-    out = docs.select("doc_id", "lang", "source", F.xxhash64("text", "lang", "source").alias("h"), text.alias("text"), flat.alias("flat"))
-    out = out.withColumn("words", F.when(F.col("flat") == "", F.array().cast("array<string>")).otherwise(F.split("flat", " ")))
+    out = docs.select("doc_id", "lang", "source", F.xxhash64("text", "lang", "source").alias("h"), text.alias("text"),
+                      F.array_remove(F.split(text, _SPACE), "").alias("words"))
     out = out.withColumn("windows", F.when(F.size("words") >= 6, _windows(F.col("words"))))
     dup = F.col("windows").isNotNull() & (F.size(F.array_distinct("windows")) < F.size("windows"))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    n = F.size("words").cast("long")
-    return out.select(
-        "doc_id", "lang", "source", "h", n.alias("n_words"),
-        F.when(n > 0, F.length("flat") - n + 1).otherwise(0).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        lines.alias("lines"), F.when(dup, _covered(F.col("windows"))).otherwise(0).cast("long").alias("n_repeat_words")
-    ).withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
+    lines = F.col("lines")
+    out = out.select(
+        "doc_id", "lang", "source", "h", F.size("words").cast("long").alias("n_words"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.split("text", "\n").alias("lines"), F.when(dup, _covered(F.col("windows"))).otherwise(0).cast("long").alias("n_repeat_words"))
+    # lines are looked into only where two are equal
+    full = F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    again = F.when(F.size(F.array_distinct(lines)) < F.size(lines), F.size(full) - F.size(F.array_distinct(full))).otherwise(0)
+    return out.withColumn("n_dup_lines", again.cast("long")).drop("lines")
 
 
 def _vector() -> list[Column]:
