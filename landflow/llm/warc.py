@@ -28,7 +28,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputP
 from pyspark.sql.types import LongType, StringType
 
 from landflow.llm.files import listed, opened, put
-from landflow.session import materialize, scratch_path
+from landflow.session import bounded_broadcast, materialize, scratch_path
 
 #: Bytes after which a task begins another archive.
 FILE_BYTES = 32 << 20
@@ -147,7 +147,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_BYTES, file
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(body).alias("sha"), F.length(body).alias("n"))
     first = rows.where(F.col("n") >= least).groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("times"))
     # a digest that occurs once needs no mate: only the rest is looked up
-    twice = first.where(F.col("times") > 1).select(F.col("sha").alias("s"), "first")
+    # (broadcast within the session's checked bound, so that html stays in place)
+    twice = bounded_broadcast(first.where(F.col("times") > 1).select(F.col("sha").alias("s"), "first"))
     known = rows.join(twice, (F.col("sha") == F.col("s")) & (F.col("n") >= least), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
