@@ -40,25 +40,30 @@ P = len(FLOORS)
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it occurs."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _windows(words: Column) -> Column:
     """Hashes of the 5-word windows of an array of five words or more."""
-    m = F.size(words) - 4
-    return F.transform(F.arrays_zip(*[F.slice(words, k, m).alias(f"w{k}") for k in range(1, 6)]), lambda x: F.xxhash64(x))
+    return F.transform(F.slice(words, 1, F.size(words) - 4),
+                       lambda w, k: F.xxhash64(w, *[F.get(words, k + j) for j in range(1, 5)]))
+
+
+def _repeated(s: Column) -> Column:
+    """Sorted positions of the windows that occur again, of sorted (h, i)."""
+    twice = F.filter(s, lambda x, k: F.coalesce(x["h"] == F.get(s, k - 1)["h"], F.lit(False))
+                     | F.coalesce(x["h"] == F.get(s, k + 1)["h"], F.lit(False)))
+    return F.sort_array(F.transform(twice, lambda x: x["i"]))
 
 
 def _covered(windows: Column) -> Column:
-    """Positions of repeated windows, sorted; a word is in one of them if it
-    lies at most four places after its start."""
-    n = F.size(windows)
-    s = F.array_sort(F.arrays_zip(windows.alias("h"), F.sequence(F.lit(1), n).alias("i")))
-    lone = F.array(F.lit(None).cast("struct<h:bigint,i:int>"))
-    nearby = F.zip_with(F.concat(lone, F.slice(s, 1, n - 1)), F.concat(F.slice(s, 2, n), lone),
-                        lambda a, b: F.struct(a["h"].alias("a"), b["h"].alias("b")))
-    at = F.array_sort(F.filter(F.zip_with(s, nearby, lambda x, y: F.when(
-        (x["h"] == y["a"]) | (x["h"] == y["b"]), x["i"])), lambda i: i.isNotNull()))
-    k = F.size(at)
-    return F.when(k == 0, F.lit(0)).otherwise(F.aggregate(
-        F.zip_with(F.slice(at, 2, k), F.slice(at, 1, k - 1), lambda b, a: F.least(b - a, F.lit(5))), F.lit(5), lambda t, x: t + x))
+    """Words in repeated windows: each such window adds those of its five words
+    that the one before it lacks."""
+    pairs = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    fresh = lambda at: F.transform(at, lambda i, k: F.coalesce(F.least(i - F.get(at, k - 1), F.lit(5)), F.lit(5)))
+    return _let(pairs, lambda s: _let(_repeated(s), lambda at: F.aggregate(fresh(at), F.lit(0), lambda n, x: n + x)))
 
 
 def statistics(docs: DataFrame) -> DataFrame:
