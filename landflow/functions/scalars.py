@@ -147,8 +147,8 @@ def epoch_seconds(c: ColumnOrName, dtype: DataType = TimestampNTZType()) -> Colu
 
 # SF10 ---------------------------------------------------------------------
 def run_day(text: ColumnOrName, now: ColumnOrName) -> Column:
-    """`yyyy-MM-dd` text, or the day before ``now`` when absent or bad."""
-    parsed = F.try_to_date(_c(text), "yyyy-MM-dd")
+    """`yyyy-MM-dd` text (one-digit months and days too), or the day before ``now`` when absent or bad."""
+    parsed = F.try_to_date(_c(text), "yyyy-M-d")
     fallback = F.date_sub(F.to_date(_c(now)), 1)
     return F.date_format(F.coalesce(parsed, fallback), "yyyy-MM-dd")
 

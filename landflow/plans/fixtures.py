@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landflow.session import bounded_broadcast, scratch_path, spread
+from landflow.operators.aggregates import running_total
+from landflow.session import scratch_path, spread
 from landflow.sources.pages import ACTIVITY, ODATA, pack_pages, read_pages, write_pages
 
 RUN_TS = "2024-06-01 12:00:00"     # fixed run stamp so results repeat
@@ -46,6 +47,19 @@ def land(pages: DataFrame, name: str = "landing", dialect=None) -> DataFrame:
     return spread(read_pages(spark, path, fmt="parquet"))
 
 
+def chained(items: DataFrame, request_key: Column, page_no: Column, item: Column, dialect,
+            status: Column | None = None) -> DataFrame:
+    """``pack_pages`` of closed chains: pages numbered from 0 without gaps in the
+    order of ``page_no``, the last of each chain terminal."""
+    keyed = items.withColumns({"_rk": request_key, "_pn": page_no.cast("long")})
+    places = running_total(keyed.select("_rk", "_pn", F.lit(1).alias("_one")).distinct(), "_rk", "_pn", "_one", "_place")
+    ends = places.groupBy("_rk").agg(F.max("_place").alias("_end"))
+    places = places.join(ends, "_rk").select("_rk", "_pn", F.col("_place") - 1, (F.col("_place") == F.col("_end")))
+    places = places.toDF("_rk", "_pn", "_no", "_closes")
+    return pack_pages(keyed.join(places, ["_rk", "_pn"]), F.col("_rk"), F.col("_no"), item, dialect,
+                      is_last=F.col("_closes"), status=status)
+
+
 def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted nation names per region (nation is a fixed 25-row dimension)."""
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(
@@ -87,13 +101,12 @@ def line_pages(spark: SparkSession, sf_dir: str, prefix: str = "orders", suffix:
     li = table(spark, sf_dir, "lineitem", cpu_heavy=True)
     item = item if item is not None else F.struct("l_linenumber", "l_quantity", "l_partkey")
     status = F.when(F.col("l_orderkey") % 13 == 0, F.lit(500)).otherwise(F.lit(200)) if failing else None
-    pages = pack_pages(
+    pages = chained(
         li,
         F.concat(F.lit(f"{prefix}/"), s("l_orderkey"), F.lit(f"/{suffix}")),
         F.floor(F.col("l_linenumber") / 4),
         item,
         ODATA,
-        is_last=F.col("l_linenumber") >= 4,
         status=status,
     )
     if failing:
@@ -154,13 +167,4 @@ def activity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     highest page is the last result set (no continuation link)."""
     rec = activity_records(spark, sf_dir)
     rec = rec.withColumn("_day", F.date_format("ts", "yyyy-MM-dd")).withColumn("_pn", F.floor(F.col("event_id") / PAGE))
-    last = rec.groupBy("_day").agg(F.max("_pn").alias("_maxpn"))  # one row per day
-    rec = rec.join(bounded_broadcast(last), "_day")
-    return pack_pages(
-        rec,
-        F.concat(F.lit("activityevents/"), F.col("_day")),
-        F.col("_pn"),
-        F.parse_json("raw"),
-        ACTIVITY,
-        is_last=F.col("_pn") == F.col("_maxpn"),
-    )
+    return chained(rec, F.concat(F.lit("activityevents/"), F.col("_day")), F.col("_pn"), F.parse_json("raw"), ACTIVITY)

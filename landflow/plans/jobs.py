@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from landflow.functions.scalars import run_day
 from landflow.operators.aggregates import infer_item_schema
 from landflow.plans import pipelines as TP
 from landflow.session import configure, release
+from landflow.sinks.tables import write_full_refresh
 from landflow.sources.pages import ODATA, SETTINGS, Dialect, read_pages, unnest_pages
 
 # Landing folder per endpoint family.
@@ -40,9 +42,16 @@ LANDING = {
 
 
 def contract_from_inferred(ddl: str) -> StructType:
-    """The inferred variant type of the items as a Spark struct: objects
-    become structs, keys that only held null become text."""
-    text = ddl.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    """The inferred variant type of the items as a Spark struct: objects become
+    structs, keys that only held null become text, and decimals, whose inferred
+    size follows the values of one run, become double. Only types are rewritten:
+    a type follows ``: `` or ``ARRAY<``, and quoted keys are left alone."""
+    fixed = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
+    parts = re.split(r"(`(?:[^`]|``)*`)", ddl)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"(?:(?<=: )|(?<=ARRAY<)|^(?=OBJECT<))(OBJECT<|VOID|DECIMAL\(\d+, *\d+\))",
+                          lambda m: fixed.get(m[1], "DOUBLE"), parts[i])
+    text = "".join(parts)
     if not text.startswith("STRUCT<"):
         raise ValueError(f"items are not objects: {ddl}")
     return StructType.fromDDL(text[len("STRUCT<"):-1])
@@ -145,12 +154,17 @@ def settings_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SC
 def dataflow_sources_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SCHEMA,
                          declared: StructType | str | None = None, run_ts: str | None = None) -> int:
     """Datasources of the dataflows already stored in ``<schema>.dataflows``;
-    no stored dataflow or no datasource ends the job (``EmptyInput``)."""
+    no stored dataflow or no datasource ends the job (``EmptyInput``). Failed
+    pages and unfinished chains are kept in ``dataflow_sources_quarantine``."""
     configure(spark)
     pages = _pages(spark, landing, "dataflow_datasources")
-    out, _quarantine = TP.build_dataflow_sources(spark, f"{schema}.dataflows", pages,
-                                                 contract(pages, ODATA, declared), run_ts or _now_utc())
-    return TP.save_dataflow_sources(out, schema)
+    out, quarantine = TP.build_dataflow_sources(spark, f"{schema}.dataflows", pages,
+                                                contract(pages, ODATA, declared), run_ts or _now_utc())
+    try:
+        write_full_refresh(quarantine, f"{schema}.dataflow_sources_quarantine", "replace")
+        return TP.save_dataflow_sources(out, schema)
+    finally:
+        release(drop_files=True)
 
 
 def activity_job(spark: SparkSession, landing: str, table: str, day: str | None = None,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from landflow.functions.scalars import join_list, to_time_or_null, truthy, text_to_bool
-from landflow.operators.filters import choose, where_active, where_day, where_key_present
+from landflow.operators.filters import choose, where_active, where_key_present
 from landflow.operators.links import attach_children, restrict_to_keys
 from landflow.operators.shape import (
     clean_columns,
@@ -36,6 +36,7 @@ from landflow.sources.pages import (
     SETTINGS,
     Dialect,
     items_as,
+    incomplete_chains,
     page_columns,
     scan_keys,
     split_failed,
@@ -49,12 +50,13 @@ def parent_id(pattern: str, group: int = 1, col: str = "request_key") -> Column:
 
 
 def landed_items(pages: DataFrame, dialect: Dialect, schema: StructType,
-                 extra: dict[str, Column] | None = None) -> DataFrame:
-    """Pages to typed item rows: cut each chain at its terminal page, leave
-    out chains with a failed page, project items onto the contract."""
+                 extra: dict[str, Column] | None = None, on_incomplete: str = "stop") -> DataFrame:
+    """Pages to typed item rows: cut each chain at its terminal page and project
+    items onto the contract. A request without a complete chain ends the job
+    before anything is written, or is left out (``skip``)."""
     extra = extra or {}
     base = pages.select(*page_columns(pages), *[c.alias(n) for n, c in extra.items()])
-    items = usable_items(base, dialect, keep=tuple(extra))
+    items = usable_items(base, dialect, keep=tuple(extra), on_incomplete=on_incomplete)
     return items_as(items, schema).drop("request_key", "page_no")
 
 
@@ -161,10 +163,13 @@ def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: Dat
     reason, as the quarantine; the other dataflows go on."""
     keys = scan_keys(spark, dataflows_table, "objectId")
     apply_empty_policy(keys, "stop")
-    # a dataflow whose fetch failed on any page is skipped whole
+    # a dataflow without a complete chain is skipped whole; keys meet pages, so
+    # that no body of another dataflow is parsed
     _, bad = split_failed(pages)
-    items = landed_items(pages, ODATA, schema, {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")})
-    items = restrict_to_keys(items, keys, {"dataflowId": "objectId"})
+    bad = bad.unionByName(incomplete_chains(pages, ODATA), allowMissingColumns=True)
+    parent = {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")}
+    stored = restrict_to_keys(pages.withColumn("_flow", parent["dataflowId"]), keys, {"_flow": "objectId"})
+    items = landed_items(stored, ODATA, schema, parent, on_incomplete="skip")
     if _has(items, "connectionDetails"):
         items = flatten_struct(items, "connectionDetails", "connectionDetails_")
     out = sink_cast(stamp_run(clean_columns(items), run_ts, "timestamp"))
@@ -187,22 +192,37 @@ def build_settings(pages: DataFrame, schema: StructType, run_ts: str,
 
 
 # TP7 ----------------------------------------------------------------------
+def page_day(pages: DataFrame) -> Column:
+    """The day a page was requested for: the landed partition column, else the
+    date in the request key."""
+    if "day" in pages.columns:
+        return F.date_format(F.col("day").cast("date"), "yyyy-MM-dd")
+    return F.nullif(F.regexp_extract("request_key", r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
+
+
 def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> DataFrame:
     """Landed activity pages to rows of the stored activity table.
 
-    Chains with a failed page are left out whole (a partial day never
-    replaces a stored day). ``day`` keeps one UTC day (half-open); without it
-    every day present is loaded, each into its own partition.
+    Every event of a complete chain is kept, under the day it was requested for,
+    whatever its own clock says; other chains are left out whole. ``day`` reads
+    that day's pages only (a literal filter on the landing's partition column);
+    pages that name no day count as the requested day's, or, where none is
+    requested, are not loaded.
     """
+    base = pages.select(*page_columns(pages))
+    if day is not None and "day" in base.columns:
+        base = base.where(F.col("day").cast("string") == day)
+    at = page_day(base)
+    if day is not None:
+        at = F.coalesce(at, F.lit(day))
+        base = base.withColumn("_day", at).where(F.col("_day") == day)
+    else:
+        base = base.withColumn("_day", at).where(F.col("_day").isNotNull())
     # items stay JSON text: the catch-all keeps each record's key order, and
     # the declared columns come from one streaming parse per record
-    items = usable_items(pages.select(*page_columns(pages)), ACTIVITY, as_text=True)
-    rows = items.select("item_text", F.from_json("item_text", C.ACTIVITY_READ_SCHEMA).alias("_r")).select(
-        "item_text", *[F.col("_r").getField(f.name).alias(f.name) for f in C.ACTIVITY_READ_SCHEMA.fields])
-    created = to_time_or_null(F.col("CreationTime"))
-    rows = rows.withColumn("_created", created)
-    if day is not None:
-        rows = where_day(rows, "_created", day)
+    items = usable_items(base, ACTIVITY, keep=("_day",), as_text=True)
+    rows = items.select("_day", "item_text", F.from_json("item_text", C.ACTIVITY_READ_SCHEMA).alias("_r")).select(
+        "_day", "item_text", *[F.col("_r").getField(f.name).alias(f.name) for f in C.ACTIVITY_READ_SCHEMA.fields])
     cols = []
     for f in C.ACTIVITY_SCHEMA.fields:
         if f.name in C.ACTIVITY_TRUTH_COLUMNS:
@@ -213,10 +233,9 @@ def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> Data
             cols.append(rest_map(F.col("item_text"), C.ACTIVITY_COLUMNS).alias(f.name))
         else:
             cols.append(F.col(f.name))
-    load_date = F.lit(day) if day is not None else F.date_format("_created", "yyyy-MM-dd")
     return rows.select(
         *cols,
-        load_date.alias(C.PARTITION),
+        F.col("_day").alias(C.PARTITION),
         F.lit(run_ts).cast("timestamp_ntz").alias(C.PROCESSED_AT),
     )
 
@@ -252,13 +271,16 @@ METADATA_SCHEMA = "metadata"
 
 def save_metadata(tables: dict[str, DataFrame], schema: str = METADATA_SCHEMA) -> dict[str, int | None]:
     """Metadata tables (TP1-TP4): an empty table is skipped (the stored one
-    stays); a changed schema is refused."""
-    return save_tables(tables, schema, policy="skip", schema_mode="strict")
+    stays). New columns are added, absent ones become null, and bigint widens to
+    double; any other change of type is refused."""
+    return save_tables(tables, schema, policy="skip", schema_mode="evolve")
 
 
 def save_settings(tables: dict[str, DataFrame], schema: str = METADATA_SCHEMA) -> dict[str, int | None]:
     """Settings tables (TP6): an empty table replaces the stored one with an
-    empty table of the declared schema."""
+    empty table of the declared schema, but no settings at all ends the job."""
+    if "tenant_settings" in tables:
+        apply_empty_policy(tables["tenant_settings"], "stop")
     return save_tables(tables, schema, policy="write_empty", schema_mode="replace")
 
 

@@ -575,6 +575,7 @@ def q_run_day(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     m = F.col("o_orderkey") % 10
     text = (F.when(m == 0, F.lit("bad-day")).when(m == 1, F.lit(None).cast("string"))
+             .when(m == 2, F.date_format("o_orderdate", "yyyy-M-d"))
              .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
     return o.select("o_orderkey", SF.run_day(text, F.lit(RUN_TS).cast("timestamp_ntz")).alias("run_day"))
 

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from landflow.plans import fixtures as FX
 from landflow.plans import pipelines as TP
-from landflow.plans.fixtures import PAGE, RUN_TS, s, table
+from landflow.plans.fixtures import DAY, PAGE, RUN_TS, s, table
 from landflow.plans.queries import RUN_EPOCH_SQL, _scratch_schema, query
 from landflow.sinks import tables as SK
-from landflow.sources.pages import ACTIVITY, ODATA, SETTINGS, pack_pages
+from landflow.sources.pages import ACTIVITY, ODATA, SETTINGS, IncompleteChain, items_as, usable_items
 
 TS_SQL = f"TIMESTAMP '{RUN_TS}'"
 
@@ -39,7 +39,7 @@ def q_tp_capacities(spark, sf_dir):
         F.struct(s("r_regionkey").alias("id"), F.col("r_name").alias("displayName"),
                  F.col("nations").alias("admins"), F.array(F.struct(F.col("r_name").alias("u"))).alias("users")
                  ).alias("item"))
-    pages = pack_pages(rows, F.lit("capacities"), F.floor(F.col("r_regionkey") / PAGE), F.col("item"), ODATA)
+    pages = FX.chained(rows, F.lit("capacities"), F.floor(F.col("r_regionkey") / PAGE), F.col("item"), ODATA)
     return TP.build_capacities(FX.land(pages), CAPACITY, RUN_TS)
 
 
@@ -62,6 +62,16 @@ union all
 select 'properties', r_name, 'label', r_name, {TS_SQL} from region
 """)
 def q_tp_settings(spark, sf_dir):
+    t = TP.build_settings(FX.land(_setting_pages(spark, sf_dir)), SETTING, RUN_TS)
+    return (_labelled("tenant_settings", t["tenant_settings"], settingName="settingName", item_key="title",
+                      item_value="enabled")
+            .unionByName(_labelled("enabled_security_groups", t["enabled_security_groups"],
+                                   settingName="settingName", item_key="graphId", item_value="name"))
+            .unionByName(_labelled("properties", t["properties"], settingName="settingName", item_key="name",
+                                   item_value="value")))
+
+
+def _setting_pages(spark, sf_dir):
     r = table(spark, sf_dir, "region")
     groups = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(
         F.collect_list(F.struct(s("n_nationkey").alias("graphId"), F.col("n_name").alias("name"))).alias("g"))
@@ -73,14 +83,58 @@ def q_tp_settings(spark, sf_dir):
         (F.col("r_regionkey") % 2 == 0).alias("enabled"), F.lit("Region").alias("tenantSettingGroup"),
         F.col("g").alias("enabledSecurityGroups"), props.alias("properties"))
     rows = r.join(groups, r.r_regionkey == groups.n_regionkey, "left").select("r_regionkey", item.alias("item"))
-    pages = pack_pages(rows, F.concat(F.lit("tenantsettings/"), s("r_regionkey")), F.lit(0), F.col("item"), SETTINGS)
-    t = TP.build_settings(FX.land(pages), SETTING, RUN_TS)
-    return (_labelled("tenant_settings", t["tenant_settings"], settingName="settingName", item_key="title",
-                      item_value="enabled")
-            .unionByName(_labelled("enabled_security_groups", t["enabled_security_groups"],
-                                   settingName="settingName", item_key="graphId", item_value="name"))
-            .unionByName(_labelled("properties", t["properties"], settingName="settingName", item_key="name",
-                                   item_value="value")))
+    return FX.chained(rows, F.concat(F.lit("tenantsettings/"), s("r_regionkey")), F.lit(0), F.col("item"), SETTINGS)
+
+
+@query("q_tp_settings_failed", f"""
+select r_name as settingName, 'Setting ' || r_name as title, r_regionkey % 2 = 0 as enabled,
+       'Region' as tenantSettingGroup, {TS_SQL} as extraction_timestamp
+from region
+""")
+def q_tp_settings_failed(spark, sf_dir):
+    """The stored settings after a second run of which one request failed."""
+    db = _scratch_schema(spark, "settings")
+    pages = FX.land(_setting_pages(spark, sf_dir))
+    TP.save_settings(TP.build_settings(pages, SETTING, RUN_TS), db)
+    status = F.when(F.col("request_key").endswith("/0"), F.lit(503)).otherwise(F.col("status"))
+    try:
+        TP.save_settings(TP.build_settings(pages.withColumn("status", status), SETTING, "2024-06-02 12:00:00"), db)
+    except IncompleteChain:
+        return spark.read.table(f"{db}.tenant_settings")
+    raise AssertionError("a failed request must end the run")
+
+
+# chains -------------------------------------------------------------------
+@query("q_chain_complete", """
+select 'orders/' || l_orderkey || '/lines' as request_key, l_linenumber, l_partkey
+from lineitem
+where l_orderkey % 13 <> 0 and l_orderkey % 11 <> 0 and l_orderkey % 7 <> 0 and l_orderkey % 5 <> 0 and l_orderkey % 3 <> 0
+""")
+def q_chain_complete(spark, sf_dir):
+    """Items of complete chains: others failed (13, 11), lack their first page
+    (7), were landed twice (5) or still have a link on their last page (3)."""
+    pages = FX.line_pages(spark, sf_dir, failing=True)
+    key = F.regexp_extract("request_key", r"^orders/(\d+)/", 1).cast("bigint")
+    open_end = (key % 3 == 0) & ~F.col("raw").contains("@odata.nextLink") & F.col("raw").endswith("}")
+    more = F.concat(F.expr("substring(raw, 1, length(raw) - 1)"), F.lit(',"@odata.nextLink":"more"}'))
+    pages = pages.withColumn("raw", F.when(open_end, more).otherwise(F.col("raw"))).where((key % 7 != 0) | (F.col("page_no") > 0))
+    pages = pages.unionByName(pages.where(key % 5 == 0))
+    return items_as(usable_items(FX.land(pages), ODATA), "struct<l_linenumber:bigint,l_partkey:bigint>").drop("page_no")
+
+
+@query("q_relanded_chain", """
+select 'orders/' || l_orderkey || '/lines' as request_key, l_linenumber,
+       l_partkey + case when l_orderkey % 13 = 0 or l_orderkey % 11 = 0 then 0 else 1000000 end as l_partkey
+from lineitem
+""")
+def q_relanded_chain(spark, sf_dir):
+    """Two runs in one landing: the later one counts where it is complete."""
+    def run(run_id, shift, failing):
+        item = F.struct("l_linenumber", (F.col("l_partkey") + shift).alias("l_partkey"))
+        pages = FX.line_pages(spark, sf_dir, item=item, failing=failing)
+        return FX.land(pages).withColumn("run_id", F.lit(run_id))
+    pages = run("2024-06-01", 0, False).unionByName(run("2024-06-02", 1000000, True))
+    return items_as(usable_items(pages, ODATA), "struct<l_linenumber:bigint,l_partkey:bigint>").drop("page_no")
 
 
 # TP2 ----------------------------------------------------------------------
@@ -114,7 +168,7 @@ def q_tp_gateways(spark, sf_dir):
     r = table(spark, sf_dir, "region")
     n = table(spark, sf_dir, "nation")
     sp = table(spark, sf_dir, "supplier")
-    gw = pack_pages(r, F.lit("gateways"), F.floor(F.col("r_regionkey") / PAGE),
+    gw = FX.chained(r, F.lit("gateways"), F.floor(F.col("r_regionkey") / PAGE),
                     F.struct(s("r_regionkey").alias("id"), F.col("r_name").alias("name"),
                              F.lit("pk").alias("publicKey"), F.lit("note").alias("gatewayAnnotation")), ODATA)
     ds_item = F.struct(
@@ -123,13 +177,13 @@ def q_tp_gateways(spark, sf_dir):
                  (F.col("n_nationkey") % 3 == 0).alias("useEndUserOAuth2Credentials")).alias("credentialDetails"),
         F.struct(F.col("n_name").alias("server"),
                  F.struct(s("n_regionkey").alias("regionId")).alias("location")).alias("details"))
-    ds = pack_pages(n, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources")),
+    ds = FX.chained(n, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources")),
                     F.floor(F.col("n_nationkey") / PAGE), ds_item, ODATA)
     sn = sp.join(n, sp.s_nationkey == n.n_nationkey)
     us_item = F.struct(F.concat(F.lit("supp-"), s("s_suppkey")).alias("emailAddress"),
                        F.col("s_name").alias("displayName"), F.lit("Read").alias("datasourceAccessRight"),
                        F.array(F.lit("x")).alias("users"))
-    us = pack_pages(sn, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources/"), s("n_nationkey"),
+    us = FX.chained(sn, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources/"), s("n_nationkey"),
                                  F.lit("/users")), F.floor(F.col("s_suppkey") / PAGE), us_item, ODATA)
     t = TP.build_gateways(FX.land(gw), FX.land(ds), FX.land(us), GATEWAY_SCHEMAS, RUN_TS)
     d = t["gateway_datasources"]
@@ -187,7 +241,7 @@ def _workspace_pages(spark, sf_dir):
                          F.struct(s("o_custkey").alias("id"), F.lit("customer").alias("kind")).alias("profile"))
                 ).alias("users"),
         "reports", "datasets", "dataflows")
-    return pack_pages(ws, F.lit("groups"), F.floor(F.col("o_orderkey") / PAGE), item, ODATA)
+    return FX.chained(ws, F.lit("groups"), F.floor(F.col("o_orderkey") / PAGE), item, ODATA)
 
 
 _WS = "from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus = 'F'"
@@ -258,16 +312,16 @@ def q_tp_access(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem", cpu_heavy=True)
     updated = F.when(F.col("n_nationkey") % 5 == 0, F.lit("unknown")).otherwise(
         F.concat(F.lit("2024-01-"), F.lpad(s(F.col("n_nationkey") + 1), 2, "0"), F.lit(" 10:00:00")))
-    apps = pack_pages(n, F.lit("apps"), F.floor(F.col("n_nationkey") / PAGE),
+    apps = FX.chained(n, F.lit("apps"), F.floor(F.col("n_nationkey") / PAGE),
                       F.struct(s("n_nationkey").alias("id"), F.col("n_name").alias("name"),
                                updated.alias("lastUpdateDateTime")), ODATA)
-    au = pack_pages(c, F.concat(F.lit("apps/"), s("c_nationkey"), F.lit("/users")), F.floor(F.col("c_custkey") / PAGE),
+    au = FX.chained(c, F.concat(F.lit("apps/"), s("c_nationkey"), F.lit("/users")), F.floor(F.col("c_custkey") / PAGE),
                     F.struct(F.concat(F.lit("cust-"), s("c_custkey")).alias("emailAddress"),
                              F.lit("Viewer").alias("appUserAccessRight"),
                              F.struct(F.col("c_name").alias("displayName"),
                                       F.col("c_mktsegment").alias("segment")).alias("profile")), ODATA)
     ls = li.join(sp.select("s_suppkey", "s_nationkey"), li.l_suppkey == sp.s_suppkey)
-    ru = pack_pages(ls, F.concat(F.lit("groups/"), s("s_nationkey"), F.lit("/reports/"), s("l_suppkey"), F.lit("/users")),
+    ru = FX.chained(ls, F.concat(F.lit("groups/"), s("s_nationkey"), F.lit("/reports/"), s("l_suppkey"), F.lit("/users")),
                     F.floor(F.col("l_orderkey") / (100 * PAGE)),
                     F.struct(F.concat(F.lit("line-"), s("l_orderkey"), F.lit("-"), s("l_linenumber")).alias("identifier"),
                              F.lit("Viewer").alias("reportUserAccessRight"),
@@ -313,7 +367,7 @@ def q_tp_dataflow_sources(spark, sf_dir):
 
 
 # TP7 ----------------------------------------------------------------------
-@query("q_tp_activity_day", f"""
+_ACTIVITY_SQL = f"""
 select 'ev-' || event_id as Id,
        case when event_type = 'error' then null else cast(user_id as integer) end as RecordType,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as CreationTime,
@@ -326,13 +380,26 @@ select 'ev-' || event_id as Id,
        strftime(ts, '%Y-%m-%d') as LoadDate,
        {TS_SQL} as ProcessingTimestamp
 from events
-""")
-def q_tp_activity_day(spark, sf_dir):
-    db = _scratch_schema(spark, "activity")
-    t = f"{db}.activity_events"
-    pages = FX.land(FX.activity_pages(spark, sf_dir), dialect=ACTIVITY)
-    TP.load_activity(pages, t, RUN_TS)
-    return spark.read.table(t).select(
+"""
+
+
+def _activity_columns(stored):
+    return stored.select(
         "Id", "RecordType", "CreationTime", "Operation", "UserId", "IsSuccess", "HasFullReportAttachment",
         "ExportedArtifactInfo", F.get_json_object("AdditionalInfo", "$.Kind").alias("extra_kind"),
         "LoadDate", "ProcessingTimestamp")
+
+
+@query("q_tp_activity_day", _ACTIVITY_SQL)
+def q_tp_activity_day(spark, sf_dir):
+    t = f"{_scratch_schema(spark, 'activity')}.activity_events"
+    TP.load_activity(FX.land(FX.activity_pages(spark, sf_dir), dialect=ACTIVITY), t, RUN_TS)
+    return _activity_columns(spark.read.table(t))
+
+
+@query("q_load_activity_day", f"{_ACTIVITY_SQL} where strftime(ts, '%Y-%m-%d') = '{DAY}'")
+def q_load_activity_day(spark, sf_dir):
+    """One requested day out of the landing of all days."""
+    t = f"{_scratch_schema(spark, 'activity_one')}.activity_events"
+    TP.load_activity_day(FX.land(FX.activity_pages(spark, sf_dir), dialect=ACTIVITY), t, RUN_TS, DAY)
+    return _activity_columns(spark.read.table(t))

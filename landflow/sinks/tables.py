@@ -50,6 +50,26 @@ def _same_schema(a: StructType, b: StructType) -> bool:
     ]
 
 
+def evolved(df: DataFrame, stored: StructType) -> DataFrame:
+    """``df`` under the union of its columns and the stored ones: stored columns
+    that it lacks are null, its numbers and flags become text where text is
+    stored, and bigint and double meet as double. Any other change of type is
+    refused."""
+    new = {f.name.lower(): f for f in df.schema.fields}
+    cols = []
+    for f in stored.fields:
+        got = new.pop(f.name.lower(), None)
+        want = f.dataType.simpleString()
+        have = got.dataType.simpleString() if got else None
+        c = F.col(f"`{got.name}`") if got else F.lit(None)
+        if {have, want} == {"bigint", "double"}:
+            want = "double"
+        elif have not in (None, want) and not (want == "string" and have in ("bigint", "double", "boolean")):
+            raise ValueError(f"column {f.name} is stored as {want}, frame has {have}")
+        cols.append(c.cast(want).alias(f.name))
+    return df.select(*cols, *[F.col(f"`{f.name}`") for f in new.values()])
+
+
 # SK4 ----------------------------------------------------------------------
 def apply_empty_policy(df: DataFrame, policy: str) -> str:
     """What to do with this frame: ``write``, ``skip`` or ``write_empty``.
@@ -74,7 +94,7 @@ def write_full_refresh(df: DataFrame, table: str, schema_mode: str = "strict",
     write, so there is no second counting pass).
 
     ``strict`` refuses a frame whose schema differs from the stored table's;
-    ``replace`` takes the new schema. Do not read ``table`` in ``df``'s plan.
+    ``replace`` takes the new schema; ``evolve`` takes ``evolved``'s. Do not read ``table`` in ``df``'s plan.
     """
     spark = df.sparkSession
     db = _schema_of(table)
@@ -84,6 +104,9 @@ def write_full_refresh(df: DataFrame, table: str, schema_mode: str = "strict",
         stored = spark.read.table(table).schema
         if not _same_schema(stored, df.schema):
             raise ValueError(f"schema of {table} is {stored.simpleString()}, frame has {df.schema.simpleString()}")
+    elif schema_mode == "evolve":
+        if spark.catalog.tableExists(table):
+            df = evolved(df, spark.read.table(table).schema)
     elif schema_mode not in ("strict", "replace"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
     obs = Observation()
@@ -162,7 +185,7 @@ def save_tables(tables: dict[str, DataFrame], schema: str, policy: str = "skip",
             if action == "skip":
                 result[name] = None
                 continue
-            result[name] = write_full_refresh(df, f"{schema}.{name}", schema_mode, fmt)
+            result[name] = write_full_refresh(sink_cast(df), f"{schema}.{name}", schema_mode, fmt)
     finally:
         for s in shared:
             s.unpersist()

@@ -65,13 +65,15 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
 
 
 ENVELOPE_COLUMNS = ("terminal", "valid")
+#: Partition columns of a landing that holds several runs or days.
+LANDING_COLUMNS = ("run_id", "day")
 
 
 def page_columns(pages: DataFrame) -> list[str]:
     """The page columns the pipelines read, with the landed envelope facts
     when the landing recorded them."""
     base = [f.name for f in PAGE_SCHEMA.fields]
-    return base + [c for c in ENVELOPE_COLUMNS if c in pages.columns]
+    return base + [c for c in (*ENVELOPE_COLUMNS, *LANDING_COLUMNS) if c in pages.columns]
 
 
 def write_pages(pages: DataFrame, path: str, fmt: str = "json", dialect: Dialect | str | None = None) -> None:
@@ -160,11 +162,15 @@ def unnest_pages(
     env = envelope_columns(F.col("_doc"), dialect)
     payload = env["payload"]
     kind = env["payload_kind"]
+    # a body that is JSON but too large (or otherwise unfit) for a VARIANT must
+    # not pass for a page without items
+    unfit = F.col("_doc").isNull() & body_ok(F.col("raw"))
     items = (
-        F.when(kind.startswith("ARRAY"), F.try_variant_get(payload, "$", "array<variant>"))
+        F.when(unfit, F.raise_error(F.concat(F.lit("page body can't be held as VARIANT: "), F.col("request_key"))))
+        .when(kind.startswith("ARRAY"), F.try_variant_get(payload, "$", "array<variant>"))
         .when(kind.startswith("OBJECT"), F.array(payload))
     )
-    base = pages.select("request_key", "page_no", *keep, doc.alias("_doc"))
+    base = pages.select("request_key", "page_no", *keep, "raw", doc.alias("_doc"))
     if with_terminal:
         return base.select(
             "request_key", "page_no", *keep,
@@ -244,13 +250,25 @@ def light_envelope(raw: Column, dialect: Dialect | str) -> dict[str, Column]:
     return {"valid": body_ok(raw), "terminal": terminal}
 
 
-def chain_status(pages: DataFrame, dialect: Dialect | str, key: str = "request_key") -> DataFrame:
-    """One row per request chain: ``(request_key, failed, cut)``.
+class IncompleteChain(RuntimeError):
+    """Raised where a job must not load from a failed or unfinished chain."""
+
+
+def chain_keys(pages: DataFrame) -> list[str]:
+    """What names one fetched chain: the request and, where landed, its run."""
+    return ["request_key", *(["run_id"] if "run_id" in pages.columns else [])]
+
+
+def chain_status(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
+    """One row per fetched chain: ``(request_key[, run_id], failed, cut, complete)``.
 
     ``failed``: some page has a non-2xx status or a body that is not a JSON
-    object. ``cut``: the first terminal page (null when the chain never ends,
-    so all pages count). A streaming pass over the bodies and a partial
-    aggregate: the result has one small row per chain.
+    object. ``cut``: the first terminal page, null when the chain never ends.
+    ``complete``: not failed, and pages 0 to ``cut`` are all there, once each.
+
+    Every page also marks the place after its own, so the first place that is
+    marked but has no page is the first gap. Both aggregates work on narrow
+    rows, the first by page, so a long chain is spread.
     """
     if all(c in pages.columns for c in ENVELOPE_COLUMNS):
         # facts recorded at landing: a column read, the bodies stay untouched
@@ -258,37 +276,56 @@ def chain_status(pages: DataFrame, dialect: Dialect | str, key: str = "request_k
     else:
         env = light_envelope(F.col("raw"), dialect)
         valid, terminal = env["valid"], env["terminal"]
-    per_page = pages.select(
-        key,
-        "page_no",
-        (~F.col("status").between(200, 299) | ~valid).alias("_bad"),
-        terminal.alias("_terminal"),
-    )
-    return per_page.groupBy(key).agg(
-        F.max("_bad").alias("failed"),
-        F.min(F.when(F.col("_terminal"), F.col("page_no"))).alias("cut"),
+    keys = chain_keys(pages)
+    bad = ~(F.coalesce(F.col("status").between(200, 299), F.lit(False)) & F.coalesce(valid, F.lit(False)))
+    facts = pages.select(*keys, "page_no", bad.alias("bad"), F.coalesce(terminal, F.lit(False)).alias("end"))
+    places = facts.select(*keys, F.inline(F.array(
+        F.struct(F.col("page_no").alias("place"), F.lit(1).alias("n"), "bad", "end"),
+        F.struct((F.col("page_no") + 1).alias("place"), F.lit(0).alias("n"), F.lit(False).alias("bad"), F.lit(False).alias("end")))))
+    places = places.groupBy(*keys, "place").agg(F.sum("n").alias("n"), F.max("bad").alias("bad"), F.max("end").alias("end"))
+    chains = places.groupBy(*keys).agg(
+        F.max("bad").alias("failed"),
+        F.min(F.when(F.col("end"), F.col("place"))).alias("cut"),
+        F.min("place").alias("_first"),
+        F.min(F.when(F.col("n") != 1, F.col("place"))).alias("_odd"),
     )
+    whole = ~F.col("failed") & F.col("cut").isNotNull() & (F.col("_first") == 0) & (F.col("_odd") > F.col("cut"))
+    return chains.select(*keys, "failed", "cut", F.coalesce(whole, F.lit(False)).alias("complete"))
 
 
 def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = (),
-                 skip_failed_chains: bool = True, as_text: bool = False) -> DataFrame:
-    """Items of the pages up to each chain's terminal page, leaving out
-    chains with a failed page (a partial chain never replaces good data).
-
-    Two passes over the bodies (chain status, then items) and a broadcast of
-    the size-checked chain table: the bodies themselves are never shuffled.
+                 on_incomplete: str = "skip", as_text: bool = False) -> DataFrame:
+    """Items of complete chains, up to each chain's terminal page; of a request
+    landed by several runs, those of the latest complete run.
+
+    A request without a complete chain is left out (``skip``) or ends the job
+    (``stop``): part of a chain never replaces stored data. The pages are cut
+    before their bodies are unnested; the size-checked chain table is broadcast,
+    so the bodies are not shuffled.
     """
+    if on_incomplete not in ("skip", "stop"):
+        raise ValueError(f"unknown choice {on_incomplete!r}")
+    keys = chain_keys(pages)
     status = chain_status(pages, dialect)
-    if skip_failed_chains:
-        status = status.where(~F.col("failed"))
-    status = bounded_broadcast(status.select("request_key", "cut"))
-    items = (unnest_texts if as_text else unnest_pages)(pages, dialect, keep=keep)
-    how = "inner" if skip_failed_chains else "left"
-    return (
-        items.join(status, "request_key", how)
-        .where(F.col("cut").isNull() | (F.col("page_no") <= F.col("cut")))
-        .drop("cut")
-    )
+    if len(keys) > 1:
+        best = F.max(F.when(F.col("complete"), F.struct("run_id", "cut")))
+        status = status.groupBy("request_key").agg(best.alias("best")).select(
+            "request_key", "best.run_id", "best.cut", F.col("best").isNotNull().alias("complete"))
+    status = bounded_broadcast(status.select(*keys, "cut", "complete"))
+    if on_incomplete == "stop":
+        lost = status.where(~F.col("complete")).select("request_key").take(3)
+        if lost:
+            raise IncompleteChain(f"failed, unfinished or gapped requests, nothing loaded: {[r[0] for r in lost]}")
+    good = status.where("complete").drop("complete")
+    kept = pages.join(good, keys).where(F.col("page_no") <= F.col("cut")).drop("cut")
+    return (unnest_texts if as_text else unnest_pages)(kept, dialect, keep=keep)
+
+
+def incomplete_chains(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
+    """Chains without a failed page that are unfinished, gapped or landed
+    twice: ``(request_key, reason)``, for the quarantine."""
+    lost = chain_status(pages, dialect).where(~F.col("complete") & ~F.col("failed"))
+    return lost.select("request_key", F.lit("incomplete chain").alias("reason"))
 
 
 # SC4 ----------------------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from landflow.plans.pipelines import activity_rows
-from landflow.session import bounded_broadcast, release, scratch_path
+from landflow.session import release, scratch_path
 from landflow.sinks.tables import replace_partition
 from landflow.sources.pages import PAGE_SCHEMA
 
@@ -37,25 +37,26 @@ def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def reload_days(spark: SparkSession, landing_path: str, days: DataFrame, table: str, run_ts: str) -> int:
-    """Reload the given days from all their landed pages. The semi join on
-    the partition column lets the scan skip every other day's folder."""
-    touched = bounded_broadcast(days.select("day").distinct())
-    pages = spark.read.schema(LANDED_SCHEMA).json(landing_path).join(touched, "day", "left_semi")
-    rows = activity_rows(pages.drop("day"), run_ts)
-    return replace_partition(rows, table, "LoadDate")
+def reload_days(spark: SparkSession, landing_path: str, days: list[str], table: str, run_ts: str) -> int:
+    """Reload the given days from all their landed pages. The days are literals
+    on the partition column, so the scan lists no other day's folder. A day whose
+    chain is not complete yet keeps its stored rows."""
+    pages = spark.read.schema(LANDED_SCHEMA).json(landing_path).where(F.col("day").isin(days))
+    return replace_partition(activity_rows(pages, run_ts), table, "LoadDate")
 
 
 def stream_activity(spark: SparkSession, landing_path: str, table: str,
                     checkpoint_location: str | None = None, available_now: bool = True,
+                    max_files: int = 1000,
                     run_ts: str | None = None) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what has landed and
     stops (a scheduled daily job); otherwise it keeps running."""
-    source = spark.readStream.schema(LANDED_SCHEMA).option("maxFilesPerTrigger", 1000).json(landing_path)
+    source = spark.readStream.schema(LANDED_SCHEMA).option("maxFilesPerTrigger", max_files).json(landing_path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select("day").distinct()
-        if days.isEmpty():
+        # as many days as the batch has files, at most
+        days = [r["day"] for r in batch.select("day").distinct().collect()]
+        if not days:
             return
         try:
             reload_days(spark, landing_path, days, table, run_ts or _now())

@@ -1,9 +1,12 @@
 import json
 
+import pytest
+
 from landflow.plans import jobs as J
+from landflow.plans.table_queries import SETTING
 from landflow.session import scratch_path, unique_name
-from landflow.sinks.tables import ensure_schema
-from landflow.sources.pages import PAGE_SCHEMA, write_pages
+from landflow.sinks.tables import EmptyInput, ensure_schema
+from landflow.sources.pages import PAGE_SCHEMA, IncompleteChain, write_pages
 
 
 def _land(spark, root, family, rows):
@@ -71,3 +74,47 @@ def test_settings_and_dataflow_jobs_via_cli(spark, capsys):
     assert J.dataflow_sources_job(spark, root, db, run_ts="2024-06-01 12:00:00") == 1
     r = spark.read.table(f"{db}.dataflow_sources").first()
     assert (r.dataflowId, r.datasourceId, r.connectionDetails_server) == ("f1", "d1", "s")
+
+
+def test_failed_or_empty_runs_leave_stored_tables(spark):
+    db = unique_name("lf_jobs")
+    ensure_schema(spark, db, scratch_path(spark, db))
+    first, second, third = (scratch_path(spark, "jobs-failed") for _ in range(3))
+    body = {"tenantSettings": [{"settingName": "S1", "enabled": True, "properties": [{"name": "n"}]}]}
+    _land(spark, first, "tenant_settings", [("tenantsettings", 0, body)])
+    J.settings_job(spark, first, db, SETTING)
+    rows = [("tenantsettings", 0, 503, "busy")]
+    write_pages(spark.createDataFrame(rows, PAGE_SCHEMA), f"{second}/tenant_settings")
+    with pytest.raises(IncompleteChain):
+        J.settings_job(spark, second, db, SETTING)
+    _land(spark, third, "tenant_settings", [("tenantsettings", 0, {"tenantSettings": []})])
+    with pytest.raises(EmptyInput):
+        J.settings_job(spark, third, db, SETTING)
+    assert spark.read.table(f"{db}.tenant_settings").count() == spark.read.table(f"{db}.properties").count() == 1
+
+
+def test_a_second_night_may_add_keys_and_longer_numbers(spark):
+    db = unique_name("lf_jobs")
+    ensure_schema(spark, db, scratch_path(spark, db))
+    for items in ([{"id": "c1", "size": 1.5, "AVOIDED": "x", "note": None}],
+                  [{"id": "c1", "size": 12.75, "AVOIDED": "y", "new": 3, "tags": ["a"]}, {"id": "c2", "size": 2}]):
+        root = scratch_path(spark, "jobs-night")
+        _land(spark, root, "capacities", [("capacities", 0, {"value": items})])
+        J.metadata_job(spark, root, db, run_ts="2024-06-01 12:00:00")
+    rows = {r.id: r for r in spark.read.table(f"{db}.capacities").collect()}
+    assert (rows["c1"].size, rows["c1"].AVOIDED, rows["c1"].new, rows["c1"].tags, rows["c1"].note) == (12.75, "y", 3, '["a"]', None)
+    assert rows["c2"].size == 2.0
+
+
+def test_dataflow_job_stores_its_quarantine(spark):
+    db = unique_name("lf_jobs")
+    ensure_schema(spark, db, scratch_path(spark, db))
+    root = scratch_path(spark, "jobs-quarantine")
+    rows = [("dataflows/f1/datasources", 0, 200, '{"value":[{"datasourceId":"d1"}]}'),
+            ("dataflows/f2/datasources", 0, 503, "busy"),
+            ("dataflows/f3/datasources", 0, 200, '{"value":[{"datasourceId":"d3"}],"@odata.nextLink":"n"}')]
+    write_pages(spark.createDataFrame(rows, PAGE_SCHEMA), f"{root}/dataflow_datasources")
+    spark.createDataFrame([("f1",), ("f2",), ("f3",)], "objectId string").write.saveAsTable(f"{db}.dataflows")
+    assert J.dataflow_sources_job(spark, root, db, "struct<datasourceId:string>") == 1
+    kept = {r.request_key: r.reason for r in spark.read.table(f"{db}.dataflow_sources_quarantine").collect()}
+    assert kept == {"dataflows/f2/datasources": "status 503", "dataflows/f3/datasources": "incomplete chain"}

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Row
 
@@ -44,7 +45,44 @@ def test_keep_until_terminal_drops_later_pages(spark):
     kept = PG.items_as(PG.keep_until_terminal(items).where(F.col("item").isNotNull()), "struct<id:string>")
     assert sorted(r.id for r in kept.collect()) == ["1", "2", "3"]
     usable = PG.items_as(PG.usable_items(pages, PG.ODATA), "struct<id:string>")
-    assert sorted(r.id for r in usable.collect()) == ["1", "2", "3"]
+    assert sorted(r.id for r in usable.collect()) == ["1", "2"]  # the open chain is not complete
+
+
+def test_incomplete_chains_are_skipped_or_end_the_job(spark):
+    more, end = '{"value":[{"id":"%s"}],"@odata.nextLink":"n"}', '{"value":[{"id":"%s"}]}'
+    pages = _pages(spark, [
+        ("whole", 0, 200, more % 1), ("whole", 1, 200, end % 2), ("whole", 3, 200, end % "late"),
+        ("gap", 0, 200, more % "g"), ("gap", 2, 200, end % "g"),
+        ("late start", 1, 200, end % "s"),
+        ("twice", 0, 200, end % "t"), ("twice", 0, 200, end % "t"),
+        ("open", 0, 200, more % "o"),
+        ("no status", 0, None, end % "n"),
+    ])
+    got = {r.request_key: r.complete for r in PG.chain_status(pages, PG.ODATA).collect()}
+    assert got == {"whole": True, "gap": False, "late start": False, "twice": False, "open": False, "no status": False}
+    items = PG.items_as(PG.usable_items(pages, PG.ODATA), "struct<id:string>")
+    assert sorted(r.id for r in items.collect()) == ["1", "2"]
+    with pytest.raises(PG.IncompleteChain):
+        PG.usable_items(pages, PG.ODATA, on_incomplete="stop")
+    lost = {r.request_key for r in PG.incomplete_chains(pages, PG.ODATA).collect()}
+    assert lost == {"gap", "late start", "twice", "open"}
+
+
+def test_latest_complete_run_counts(spark):
+    more, end = '{"value":[{"id":"%s"}],"@odata.nextLink":"n"}', '{"value":[{"id":"%s"}]}'
+    schema = PG.PAGE_SCHEMA.simpleString()[7:-1] + ",run_id:string"
+    pages = spark.createDataFrame([
+        ("k", 0, 200, more % "a", "1"), ("k", 1, 200, end % "b", "1"),
+        ("k", 0, 200, more % "a", "2"), ("k", 1, 200, more % "b", "2"), ("k", 2, 200, end % "c", "2"),
+        ("k", 0, 200, more % "x", "3"), ("k", 1, 503, "busy", "3")], f"struct<{schema}>")
+    items = PG.items_as(PG.usable_items(pages, PG.ODATA, on_incomplete="stop"), "struct<id:string>")
+    assert sorted(r.id for r in items.collect()) == ["a", "b", "c"]
+
+
+def test_a_body_unfit_for_variant_is_not_an_empty_page(spark):
+    pages = _pages(spark, [("a", 0, 200, '{"value":[{"id":"1","id":"2"}]}')])  # a repeated key
+    with pytest.raises(Exception, match="VARIANT"):
+        PG.unnest_pages(pages, PG.ODATA).collect()
 
 
 def test_failed_chain_is_left_out_and_quarantined(spark):
@@ -104,10 +142,12 @@ def test_scan_keys_reads_one_column(spark, tmp_path):
 
 def test_page_bodies_join_by_broadcast(spark):
     body = '{"value":[{"id":"%d"}],"@odata.nextLink":"n"}'
-    pages = _pages(spark, [(f"k{i % 7}", i, 200, body % i) for i in range(50)])
+    end = '{"value":[{"id":"%d"}]}'
+    pages = _pages(spark, [(f"k{i % 5}", i // 5, 200, (end if i >= 45 else body) % i) for i in range(50)])
     items = PG.usable_items(pages, PG.ODATA)
     plan = items._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.index("Generate") < plan.index("BroadcastHashJoin")  # pages are cut before they are unnested
     assert items.count() == 50
 
 

@@ -27,7 +27,8 @@ def test_activity_rows_rules(spark):
     ]
     pages = spark.createDataFrame([_page("d", 0, recs, True), _page("d", 1, [{"Id": "late"}], True)], PAGE_SCHEMA)
     rows = {r.Id: r for r in TP.activity_rows(pages, "2024-06-01 12:00:00", day="2024-01-15").collect()}
-    assert set(rows) == {"1", "2"}  # half-open day keeps 23:59:59.5, drops the next day and pages after the last
+    assert set(rows) == {"1", "2", "3"}  # every event of the day's chain, whatever its clock; no page after the last
+    assert {r.LoadDate for r in rows.values()} == {"2024-01-15"}
     assert rows["1"].IsSuccess is True and rows["2"].IsSuccess is False
     assert rows["1"].RecordType == 7 and rows["2"].RecordType is None
     assert rows["1"].HasFullReportAttachment == "true" and rows["2"].HasFullReportAttachment is None
