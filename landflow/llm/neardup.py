@@ -11,13 +11,16 @@ three values and go deeper only where they are crowded:
    other one, if at most ``SMALL`` nodes lie beside its largest component, they
    are compared with all nodes of other components there; else it is split by
    longer prefixes, each part again with its smallest node's candidates,
-   until few lie beside.
+   until few lie beside;
+3. regions that are crowded even at the greatest depth are settled in rounds:
+   up to ``SMALL`` nodes beside the largest component are compared with all nodes
+   of other components and are then done, until one component is left.
 
 Links are confirmed on whole sets; estimates from signatures only drop
 candidates more than five standard deviations under the threshold. Sixteen
 trees at depth three miss a pair at the threshold with probability 0.0002;
-in crowded regions a pair can be missed more often, but not its component if
-any path of links joins it.
+in regions that are split a pair can be missed more often, as its two nodes
+must share a longer prefix, but not its component if any path of links joins it.
 
 Cases: a null or blank text has no shingles and is linked with nothing; equal
 texts and repeated rows are one component; a null doc_id is ignored as a
@@ -161,6 +164,32 @@ def _stars(rows: DataFrame, regions: DataFrame) -> DataFrame:
         F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _settle(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The labels when no region of ``crowd`` (node, key) holds two components
+    that a link between its nodes joins."""
+    while True:
+        here = materialize(_named(crowd, labels), "crowd")
+        by = here.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
+            F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
+        main = materialize(by.where("labels > 1").select("key", F.col("top.label").alias("main")), "open")
+        if main.isEmpty():
+            return labels
+        pivots = materialize(here.join(main, "key").where("label != main").groupBy(
+            "key", F.pmod(F.xxhash64("node"), F.lit(SMALL))).agg(F.min(F.struct("node", "label")).alias("p")).select(
+            "key", F.col("p.node").alias("b"), F.col("p.label").alias("lb")), "pivots")
+        pairs = here.join(pivots, "key").where("label != lb").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        found = _verified(materialize(pairs.distinct(), "pairs"), nodes, docs)
+        if not found.isEmpty():
+            links = materialize(links.unionByName(found), "links")
+            labels = components(links)
+        # a pivot has met all others, so it is done
+        crowd = here.join(pivots.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti").select("node", "key")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     signed = materialize(docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(
@@ -173,8 +202,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = components(links)
 
     # regions of more than one component: two nodes are settled by their one pair
-    name = lambda r: r.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-
     def many(r: DataFrame) -> DataFrame:
         """Regions of several components: the commonest label, and the nodes beside it."""
         by = r.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("node").alias("p"))
@@ -182,7 +209,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                      F.max(F.struct("c", "label")).alias("top")).where("n > 2 and labels > 1").select(
             "key", "pivot", (F.col("n") - F.col("top.c")).alias("beside"), F.col("top.label").alias("main"))
 
-    front, more = name(rows.join(regions.where("n > 2").select("key"), "key", "left_semi")), []
+    front, more, crowd = _named(rows.join(regions.where("n > 2").select("key"), "key", "left_semi"), labels), [], None
     for k, depth in enumerate(DEPTHS):
         front = materialize(front.select("node", "key", "label"), "front")
         open_ = materialize(many(front), "open")
@@ -194,9 +221,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
         if k:
             more.append(_stars(front, open_))
-        if k + 1 < len(DEPTHS):
+        dense = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi")
+        if k + 1 == len(DEPTHS):
+            crowd = dense.select("node", "key")
+        else:
             # a crowded region's nodes, in that tree only: the old key goes into the new
-            dense = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi")
             deeper = nodes.join(dense.select("node").distinct(), "node", "left_semi").select(
                 "node", F.posexplode(F.arrays_zip(_keys(DEPTHS[k]).alias("old"), _keys(DEPTHS[k + 1]).alias("new"))).alias("tree", "k"))
             front = dense.join(deeper.select("node", F.col("k.old").alias("key"), F.col("k.new").alias("next")), ["node", "key"]).select(
@@ -207,7 +236,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = pairs.unionByName(m)
         again = _verified(materialize(pairs.distinct(), "pairs"), nodes, docs)
         if not again.isEmpty():
-            labels = components(links.unionByName(again))
+            links = materialize(links.unionByName(again), "links")
+            labels = components(links)
+    if crowd is not None:
+        labels = _settle(crowd, links, labels, nodes, docs)
     placed = signed.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = placed.where("node is not null").groupBy("label").agg(F.min("doc_id").alias("first"))
     return placed.join(first, "label", "left").select(

@@ -92,6 +92,27 @@ def test_near_duplicates_crowded(spark):
     check_components(df.collect(), neardup.near_duplicates(df).collect())
 
 
+def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
+    """Regions that stay crowded at the greatest depth are still settled whole."""
+    monkeypatch.setattr(neardup, "DEPTHS", (1,))
+    monkeypatch.setattr(neardup, "SMALL", 2)
+    rng = np.random.default_rng(5)
+    shared, rows = [f"s{i}" for i in range(60)], []
+    for base in range(12):
+        own = [f"b{base}w{i}" for i in range(40)]
+        for copy in range(3):
+            words = shared + own
+            for at in rng.integers(0, len(words), copy):
+                words = [*words[:at], f"c{base}x{copy}", *words[at + 1:]]
+            rows.append((3 * base + copy, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    settled = []
+    settle = neardup._settle
+    monkeypatch.setattr(neardup, "_settle", lambda crowd, *rest: settled.append(crowd.count()) or settle(crowd, *rest))
+    check_components(rows := df.collect(), neardup.near_duplicates(df).collect())
+    assert settled and settled[0] > len(rows)
+
+
 def brute_quality(text):
     words, lines = split(text), (text or "").split("\n")
     win = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
