@@ -11,8 +11,9 @@ Both estimates are drawn to the corpus's median and spread by PRIOR documents'
 weight, at every group size, so a small group is judged much like the corpus.
 
 Everything is DataFrame expressions. Distances come from the Cholesky factor
-by forward substitution. Groups are joined by key, so their number is free, and
-a hot group is only ever summed, by partial aggregates.
+by forward substitution. Groups' estimates are joined by key, as a broadcast where their
+counted size allows, so a hot group isn't dealt to one task; else AQE splits it.
+A hot group is only ever summed, by partial aggregates.
 
 Cases: a null or blank text has no words and fails the base limits; null
 languages and sources are groups of their own; repeated rows count each; an
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landflow.session import materialize
+from landflow.session import bounded_broadcast, materialize
 
 #: Least words, and the most percent of words in repeated 5-word windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
@@ -155,11 +156,11 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
                                  if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in PAIRS])
     state = _factored(g0).unionByName(drawn(fit.withColumn("start", F.lit(1)), 1.0))
     for _ in range(STEPS):
-        far = materialize(_distance(fit.join(state, "g")).select("g", "start", "d", *[f"x_{i}" for i in range(P)]), "mcd-rows")
-        near = far.groupBy("g", "start").agg(F.percentile_approx("d", F.lit(SHARE), 1000).alias("t"))
+        far = materialize(_distance(fit.join(bounded_broadcast(state), "g")).select("g", "start", "d", *[f"x_{i}" for i in range(P)]), "mcd-rows")
+        near = bounded_broadcast(far.groupBy("g", "start").agg(F.percentile_approx("d", F.lit(SHARE), 1000).alias("t")))
         state = drawn(far.join(near, ["g", "start"]).where("d <= t"), CONSISTENCY)
     best = state.groupBy("g").agg(F.min_by("start", F.struct("det", "start")).alias("start"))
-    chosen = state.join(best, ["g", "start"])
+    chosen = bounded_broadcast(state.join(best, ["g", "start"]))
     told = _distance(rows.join(chosen, "g", "left"))
     return told.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        (~F.col("base_failed") & F.coalesce(F.col("d") <= cutoff, F.lit(True))).alias("kept"),
