@@ -29,7 +29,7 @@ _ODD = re.compile(
 _TAIL = re.compile(r"(?s)(.*[A-Za-z])([.,;:!?]+)\Z")
 
 #: Distinct chunks a worker keeps; beyond it new chunks are encoded, not kept.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 2_000_000
 
 
 def tokenizer_path(name: str) -> str:
