@@ -201,12 +201,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _verified(materialize(_stars(rows, regions).distinct(), "stars"), nodes, docs)
     labels = components(links)
 
-    # regions of more than one component: two nodes are settled by their one pair
+    # regions of more than one component; two nodes alone in one are compared by
+    # the first star, but not when a longer prefix leaves them alone
     def many(r: DataFrame) -> DataFrame:
         """Regions of several components: the commonest label, and the nodes beside it."""
         by = r.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("node").alias("p"))
         return by.groupBy("key").agg(F.min("p").alias("pivot"), F.sum("c").alias("n"), F.count("*").alias("labels"),
-                                     F.max(F.struct("c", "label")).alias("top")).where("n > 2 and labels > 1").select(
+                                     F.max(F.struct("c", "label")).alias("top")).where("labels > 1").select(
             "key", "pivot", (F.col("n") - F.col("top.c")).alias("beside"), F.col("top.label").alias("main"))
 
     front, more, crowd = _named(rows.join(regions.where("n > 2").select("key"), "key", "left_semi"), labels), [], None

@@ -92,6 +92,20 @@ def test_near_duplicates_crowded(spark):
     check_components(df.collect(), neardup.near_duplicates(df).collect())
 
 
+def template_families(n, same, other):
+    """Two documents a family: 100 template words, ``same`` of the family, ``other`` of each document."""
+    shared = [f"t{i}" for i in range(100)]
+    return [(2 * f + k, " ".join([*shared, *[f"f{f}w{i}" for i in range(same)], *[f"f{f}c{k}x{i}" for i in range(other)]]))
+            for f in range(n) for k in (0, 1)]
+
+
+def test_near_duplicates_pairs_of_one_template(spark):
+    """Pairs that a longer prefix leaves alone in a region are compared."""
+    df = spark.createDataFrame(template_families(300, 16, 11), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()}
+    assert sum(got[2 * f] == got[2 * f + 1] == 2 * f for f in range(300)) >= 297
+
+
 def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
     """Regions that stay crowded at the greatest depth are still settled whole."""
     monkeypatch.setattr(neardup, "DEPTHS", (1,))
