@@ -2,25 +2,21 @@
 
 A document is the set of its distinct 5-word shingles (64-bit hashes). Equal
 sets are one node. A tree orders a node's 128 signature values from a start of
-its own; nodes that share a prefix form a region. Regions start at a prefix of
-three values and go deeper only where they are crowded:
+its own; nodes that share a prefix of three values form a region:
 
 1. every node of a region is a candidate of the region's smallest node; the
    candidates whose sets pass ``100 * common >= 75 * union`` are links;
 2. a region whose nodes are then all one component needs nothing more. In each
    other one, if at most ``SMALL`` nodes lie beside its largest component, they
-   are compared with all nodes of other components there; else it is split by
-   longer prefixes, each part again with its smallest node's candidates,
-   until few lie beside;
-3. regions that are crowded even at the greatest depth are settled in rounds:
-   up to ``SMALL`` nodes beside the largest component are compared with all nodes
-   of other components and are then done, until one component is left.
+   are compared with all nodes of other components there;
+3. the nodes of all other regions are settled exactly, whatever region they share:
+   candidates are the pairs of different components that share one of their
+   rarest shingles at places which leave enough for the threshold.
 
 Links are confirmed on whole sets; estimates from signatures only drop
 candidates more than five standard deviations under the threshold. Sixteen
-trees at depth three miss a pair at the threshold with probability 0.0002;
-in regions that are split a pair can be missed more often, as its two nodes
-must share a longer prefix, but not its component if any path of links joins it.
+trees at depth three miss a pair at the threshold with probability 0.0002,
+and less often above it, in crowded regions too.
 
 Cases: a null or blank text has no shingles and is linked with nothing; equal
 texts and repeated rows are one component; a null doc_id is ignored as a
@@ -41,10 +37,12 @@ from pyspark.sql import functions as F
 from landflow.session import bounded_broadcast, materialize
 
 WORDS, VALUES, TREES = 5, 128, 16
-#: Prefix lengths that regions go through.
-DEPTHS = (3, 5, 8, 12, 20, 32)
+#: Prefix length of regions.
+DEPTHS = (3,)
 #: Nodes beside a region's largest component that are compared with all others in it.
 SMALL = 12
+#: Most larger sets of a shingle, about, that meet the smaller ones in one block.
+BLOCK = 4096
 #: Equal signature values under which a candidate is dropped: 0.55 of them.
 LEAST_EQUAL = 70
 _RNG = np.random.default_rng(97)
@@ -110,6 +108,13 @@ def _id():
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
 
 
+def _whole(ends: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, s: whole sets of the nodes of ``ends``, from the documents with their ids."""
+    ids = bounded_broadcast(nodes.join(ends, "node", "left_semi").select("rep").distinct())
+    rows = docs.select(_id().alias("rep"), "text").join(ids, "rep", "left_semi").select("text")
+    return materialize(rows.mapInArrow(_sets, "node long, s array<long>"), "sets")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links."""
     needed = bounded_broadcast(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
@@ -118,11 +123,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda z: z))
     near = materialize(pairs.join(sig("a", "sa"), "a").join(sig("b", "sb"), "b").where(same >= LEAST_EQUAL)
                        .select("a", "b"), "near")
-    # whole sets of the nodes that are left, from one document of each
-    ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = bounded_broadcast(nodes.join(ends, "node", "left_semi").select("rep").distinct())
-    rows = docs.select(_id().alias("rep"), "text").join(ids, "rep", "left_semi").select("text")
-    sets = materialize(rows.mapInArrow(_sets, "node long, s array<long>"), "sets")
+    sets = _whole(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs)
     one = lambda c, s: sets.select(F.col("node").alias(c), F.col("s").alias(s))
     common = F.size(F.array_intersect("x", "y"))
     met = near.join(one("b", "y"), "b").join(one("a", "x"), "a")
@@ -156,7 +157,7 @@ def _keys(depth: int):
 
 
 def _rows(nodes: DataFrame, depth: int) -> DataFrame:
-    return nodes.select("node", F.posexplode(_keys(depth)).alias("tree", "key"))
+    return nodes.select("node", F.explode(_keys(depth)).alias("key"))
 
 
 def _stars(rows: DataFrame, regions: DataFrame) -> DataFrame:
@@ -168,26 +169,42 @@ def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _postings(crowd: DataFrame, sets: DataFrame) -> DataFrame:
+    """s, node, label, n, i: the shingles at the first n / 4 + 1 places i of each
+    set of n, rare ones first. Two sets that pass the threshold share one of the
+    first n / 7 + 1 of the smaller and the first n / 4 + 1 of the larger."""
+    each = sets.join(crowd, "node", "left_semi").dropDuplicates(["node"]).select("node", F.explode("s").alias("s"))
+    # any one order is right; rare first makes the fewest pairs
+    often = bounded_broadcast(each.groupBy("s").agg(F.count("*").alias("c")).where("c > 4"))
+    order = each.join(often, "s", "left").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "s"))).alias("o"))
+    n = F.size("o")
+    first = order.select("node", n.alias("n"), F.slice("o", F.lit(1), F.floor(n / 4).cast("int") + 1).alias("o"))
+    return first.join(crowd, "node").select("node", "label", "n", F.posexplode("o").alias("i", "x")).select(
+        "x.s", "node", "label", "n", "i")
+
+
 def _settle(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The labels when no region of ``crowd`` (node, key) holds two components
-    that a link between its nodes joins."""
-    while True:
-        here = materialize(_named(crowd, labels), "crowd")
-        by = here.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
-            F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
-        main = materialize(by.where("labels > 1").select("key", F.col("top.label").alias("main")), "open")
-        if main.isEmpty():
-            return labels
-        pivots = materialize(here.join(main, "key").where("label != main").groupBy(
-            "key", F.pmod(F.xxhash64("node"), F.lit(SMALL))).agg(F.min(F.struct("node", "label")).alias("p")).select(
-            "key", F.col("p.node").alias("b"), F.col("p.label").alias("lb")), "pivots")
-        pairs = here.join(pivots, "key").where("label != lb").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        found = _verified(materialize(pairs.distinct(), "pairs"), nodes, docs)
-        if not found.isEmpty():
-            links = materialize(links.unionByName(found), "links")
-            labels = components(links)
-        # a pivot has met all others, so it is done
-        crowd = here.join(pivots.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti").select("node", "key")
+    """The labels when no two components are left that a link between nodes of
+    ``crowd`` (node, key) joins."""
+    crowd = materialize(_named(crowd.select("node").distinct(), labels), "crowd")
+    posts = materialize(_postings(crowd, _whole(crowd, nodes, docs)), "postings")
+    by = posts.groupBy("s", "label").agg(F.count("*").alias("c")).groupBy("s").agg(
+        F.sum("c").alias("f"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
+    shared = by.where("labels > 1").select("s", F.ceil(F.col("f") / BLOCK).alias("blocks"), F.col("top.label").alias("main"))
+    posts = materialize(posts.join(shared, "s").withColumn("beside", F.col("label") != F.col("main")), "shared")
+    # each smaller set meets all blocks of a shingle's larger ones
+    part = lambda c, block: posts.select("s", block.alias("block"), *[F.col(x).alias(x + c) for x in ("node", "label", "n", "i", "beside")])
+    x = part("_x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("7 * i_x <= n_x")
+    y = part("_y", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    met = ("label_x != label_y and (n_x < n_y or n_x = n_y and node_x < node_y) and 4 * n_x >= 3 * n_y"
+           " and 7 * least(n_x - i_x, n_y - i_y) >= 3 * (n_x + n_y)")
+    # a shingle's largest component meets only the nodes beside it
+    pairs = x.where("beside_x").join(y, ["s", "block"]).where(met).unionByName(
+        x.where("not beside_x").join(y.where("beside_y"), ["s", "block"]).where(met))
+    found = _verified(materialize(pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct(),
+                                  "pairs"), nodes, docs)
+    return labels if found.isEmpty() else components(materialize(links.unionByName(found), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -196,50 +213,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         _signed, "doc_id long, n_shingles long, node long, sig array<int>"), "signed")
     nodes = materialize(signed.where("node is not null").groupBy("node").agg(
         F.min(_id()).alias("rep"), F.first("sig").alias("sig")), "nodes")
-    rows = materialize(_rows(nodes, DEPTHS[0]).drop("tree"), "forest")
+    rows = materialize(_rows(nodes, DEPTHS[0]), "forest")
     regions = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     links = _verified(materialize(_stars(rows, regions).distinct(), "stars"), nodes, docs)
     labels = components(links)
 
-    # regions of more than one component; two nodes alone in one are compared by
-    # the first star, but not when a longer prefix leaves them alone
-    def many(r: DataFrame) -> DataFrame:
-        """Regions of several components: the commonest label, and the nodes beside it."""
-        by = r.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("node").alias("p"))
-        return by.groupBy("key").agg(F.min("p").alias("pivot"), F.sum("c").alias("n"), F.count("*").alias("labels"),
-                                     F.max(F.struct("c", "label")).alias("top")).where("labels > 1").select(
-            "key", "pivot", (F.col("n") - F.col("top.c")).alias("beside"), F.col("top.label").alias("main"))
-
-    front, more, crowd = _named(rows.join(regions.where("n > 2").select("key"), "key", "left_semi"), labels), [], None
-    for k, depth in enumerate(DEPTHS):
-        front = materialize(front.select("node", "key", "label"), "front")
-        open_ = materialize(many(front), "open")
-        if open_.isEmpty():
-            break
-        few = open_.where(F.col("beside") <= SMALL)
-        beside = front.join(few, "key").where("label != main").select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-        more.append(front.join(beside, "key").where("label != lb").select(
-            F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
-        if k:
-            more.append(_stars(front, open_))
-        dense = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi")
-        if k + 1 == len(DEPTHS):
-            crowd = dense.select("node", "key")
-        else:
-            # a crowded region's nodes, in that tree only: the old key goes into the new
-            deeper = nodes.join(dense.select("node").distinct(), "node", "left_semi").select(
-                "node", F.posexplode(F.arrays_zip(_keys(DEPTHS[k]).alias("old"), _keys(DEPTHS[k + 1]).alias("new"))).alias("tree", "k"))
-            front = dense.join(deeper.select("node", F.col("k.old").alias("key"), F.col("k.new").alias("next")), ["node", "key"]).select(
-                "node", F.col("next").alias("key"), "label")
-    if more:
-        pairs = more[0]
-        for m in more[1:]:
-            pairs = pairs.unionByName(m)
-        again = _verified(materialize(pairs.distinct(), "pairs"), nodes, docs)
-        if not again.isEmpty():
-            links = materialize(links.unionByName(again), "links")
-            labels = components(links)
-    if crowd is not None:
+    # regions of several components: the commonest label, and the nodes beside it;
+    # two nodes are settled by their one pair
+    front = materialize(_named(rows.join(regions.where("n > 2").select("key"), "key", "left_semi"), labels), "front")
+    by = front.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.sum("c").alias("n"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
+    open_ = materialize(by.where("labels > 1").select("key", (F.col("n") - F.col("top.c")).alias("beside"), F.col("top.label").alias("main")), "open")
+    beside = front.join(open_.where(F.col("beside") <= SMALL), "key").where("label != main").select(
+        "key", F.col("node").alias("b"), F.col("label").alias("lb"))
+    pairs = front.join(beside, "key").where("label != lb").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+    again = _verified(materialize(pairs.distinct(), "pairs"), nodes, docs)
+    if not again.isEmpty():
+        links = materialize(links.unionByName(again), "links")
+        labels = components(links)
+    crowd = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi").select("node", "key")
+    if not crowd.isEmpty():
         labels = _settle(crowd, links, labels, nodes, docs)
     placed = signed.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     first = placed.where("node is not null").groupBy("label").agg(F.min("doc_id").alias("first"))
