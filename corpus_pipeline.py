@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from landflow.llm import mixing, neardup, packing, quality, toxicity
 from landflow.session import configure, materialize
@@ -22,10 +21,9 @@ def drop_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest
-    doc_id (rows that repeat an id count as one document)."""
-    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select(F.struct("doc_id").alias("__row")).distinct()
-    return docs.join(gone, F.struct(docs["doc_id"]).eqNullSafe(F.col("__row")), "left_anti")
+    """One row of each group of near-duplicates stays: that of the smallest doc_id;
+    rows are told apart by doc_id and text."""
+    return neardup.without_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

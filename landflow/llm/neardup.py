@@ -92,8 +92,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes.append(len(s))
                 nodes.append(_node(s) if len(s) else None)
                 sigs.append(signature(s) if len(s) else None)
-            yield pa.record_batch([part["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                                   pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "n_shingles", "node", "sig"])
+            yield pa.record_batch([part["doc_id"], part["h"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                                   pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "h", "n_shingles", "node", "sig"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +207,10 @@ def _settle(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFr
     return labels if found.isEmpty() else components(materialize(links.unionByName(found), "links"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept."""
-    signed = materialize(docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(
-        _signed, "doc_id long, n_shingles long, node long, sig array<int>"), "signed")
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, h (of the text), n_shingles, node, label of each row."""
+    signed = materialize(docs.select(docs["doc_id"].cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(
+        _signed, "doc_id long, h long, n_shingles long, node long, sig array<int>"), "signed")
     nodes = materialize(signed.where("node is not null").groupBy("node").agg(
         F.min(_id()).alias("rep"), F.first("sig").alias("sig")), "nodes")
     rows = materialize(_rows(nodes, DEPTHS[0]), "forest")
@@ -234,8 +234,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowd = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi").select("node", "key")
     if not crowd.isEmpty():
         labels = _settle(crowd, links, labels, nodes, docs)
-    placed = signed.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return signed.select("doc_id", "h", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept."""
+    placed = _placed(docs)
     first = placed.where("node is not null").groupBy("label").agg(F.min("doc_id").alias("first"))
     return placed.join(first, "label", "left").select(
         "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` of each component: that of the smallest doc_id (null
+    last), then of the smallest hash of its text, then the smallest row. Rows
+    without shingles all stay."""
+    id_ = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    texts = materialize(_placed(docs).where("node is not null").groupBy("label", id_.alias("id")).agg(F.count("*").alias("c")), "texts")
+    best = texts.groupBy("label").agg(F.min("id").alias("best"))
+    told = materialize(texts.join(best, "label").select("id.doc_id", "id.h", (F.col("id") == F.col("best")).alias("best"), "c"), "told")
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
+    row = lambda t: t.select(F.struct("doc_id", "h").alias("__row"))
+    on = own.eqNullSafe(F.col("__row"))
+    single = docs.join(row(told.where("not best or c > 1")), on, "left_anti")
+    repeated = docs.join(row(told.where("best and c > 1")), on, "left_semi")
+    once = repeated.groupBy(own.alias("__row")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return single.unionByName(once)

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from landflow.llm import ann, mixing, neardup, packing, quality, queries, sharding, tokenbin, tokens, toxicity, urlfilter, warc
 
 SF = "/root/testdata/sf0.001"
@@ -127,6 +128,18 @@ def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
     assert settled and settled[0] > len(rows)
 
 
+def test_drop_copies_of_null_and_repeated_ids(spark):
+    """Rows of one id with other texts stay, equal rows stay once."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a, "s1"), (None, a + " end", "s1"), (None, b, "s1"), (None, c, "s2"), (None, c, "s2"), (2, d, "s1"), (2, a, "s1"),
+            (2, d, "s1"), (3, d + " end", "s1"), (4, None, "s1"), (4, None, "s1"), (5, " ", "s1"), (6, "one two", "s2"), (6, "one two", "s1")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = corpus_pipeline.drop_copies(spark, df, "")
+    assert got.schema == df.schema
+    assert Counter(map(tuple, got.collect())) == Counter(
+        [(1, a, "s1"), (None, b, "s1"), (None, c, "s2"), (2, d, "s1"), (4, None, "s1"), (4, None, "s1"), (5, " ", "s1"), (6, "one two", "s1")])
+
+
 def brute_quality(text):
     words, lines = split(text), (text or "").split("\n")
     win = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
