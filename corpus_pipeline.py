@@ -44,8 +44,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: The classifier and the estimates can't be said in SQL; the pipeline is tested
-#: against a brute-force version.
+#: The classifier and the estimates can't be said in SQL; a run is tested stage by
+#: stage against brute force, with the verdicts of these two from their operators.
 ORACLE_SQL = None
 
 

@@ -415,6 +415,66 @@ def test_label_model_finds_accuracies():
     assert post[y > 0].mean() > post[y < 0].mean() + 1
 
 
+def test_pipeline(spark, docs, tmp_path, monkeypatch):
+    """Each stage of a run, on what the one before it left, against brute force;
+    the classifier's and the covariance's verdicts are taken from their operators."""
+    extra = spark.createDataFrame([(i, t, a, s, len(t or "")) for i, t, a, s in ODD], "doc_id long, text string, lang string, source string, n_chars long")
+    words = [f"w{i}" for i in range(40)]
+    copies = [(None, " ".join(words)), (None, " ".join(words[::-1])), (77_001, " ".join([*words, "x"])), (77_002, " ".join(words[::-1])), (77_002, " ".join(words[::2]))]
+    more = spark.createDataFrame([(i, t, "en", "s1", len(t)) for i, t in copies], extra.schema)
+    docs.select(extra.columns).unionByName(extra).unionByName(more).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [
+        (n, lambda s, d, p, f=f: seen.append(d) or f(s, d, p)) for n, f in corpus_pipeline.STAGES])
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    rows = [Counter(map(tuple, d.collect())) for d in seen]
+    at = seen[0].columns.index("text")
+
+    # toxicity and quality: by row, every row of those that the verdict names
+    model = toxicity.fit(seen[0], spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert rows[1] == Counter(tuple(r)[:5] for r in toxicity.score(seen[0], model).where("predicted = 0").select(*extra.columns).collect())
+    failed = {r for r in rows[1] if (q := brute_quality(r[at]))[0] < 10 or 100 * q[4] > 20 * q[0]}
+    assert not failed & set(rows[2]) and all(rows[1][r] == n for r, n in rows[2].items())
+    assert rows[2].total() == quality.judge(seen[1]).where("kept").count()
+
+    # near-duplicates: of each component the row of the smallest id
+    own = [r for r in rows[2].elements()]
+    sets, up = [shingle_set(r[at]) for r in own], list(range(len(own)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, j in combinations(range(len(own)), 2):
+        n = len(sets[i] & sets[j])
+        if n and 100 * n >= 75 * (len(sets[i]) + len(sets[j]) - n):
+            up[root(i)] = root(j)
+    ids = defaultdict(list)
+    for i, r in enumerate(own):
+        ids[root(i)].append(r[0])
+    low = Counter(min(x, key=lambda k: (k is None, k or 0)) for x in ids.values())
+    assert max(map(len, ids.values())) > 1 and not rows[3] - rows[2]
+    assert Counter(r[0] for r in rows[3].elements()) == low
+    assert len({root(own.index(r)) for r in rows[3]}) == rows[3].total() == len(ids)
+
+    # mixing: each row as often as its words are taken
+    taken = sum(r.taken for r in mixing.mix(seen[3]).collect())
+    assert set(rows[4]) <= set(rows[3]) and sum(len(split(r[at])) * n for r, n in rows[4].items()) == taken
+
+    # packing: all tokens of all rows, in sequences without gaps
+    e = tokens.encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    want, got, seqs = Counter(), Counter(), defaultdict(list)
+    for r, n in rows[4].items():
+        want[r[0]] += n * (len(e.whole(r[at])) // 4 + 1)
+    for r in last.collect():
+        got[r.doc_id] += r.length
+        seqs[r.sequence_id].append((r.offset, r.length))
+    assert got == want
+    assert all(sum(n for _, n in x) == max(o + n for o, n in x) <= 2048 for x in seqs.values())
+
+
 def test_registered(spark):
     assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))[-1].startswith("op10_")
     assert len(queries.QUERIES) == 10
