@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landflow.llm import ann, mixing, neardup, packing, quality, sharding, tokenbin, toxicity, urlfilter, warc
+from landflow.llm import ann, maxent, mixing, neardup, packing, quality, sharding, spelling, tokenbin, toxicity, turntrie, urlfilter, warc
 from landflow.session import configure
 
 
@@ -54,10 +54,24 @@ def op10_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.prefix_trie(turntrie.rebuilt(turntrie.sequences(_table(spark, sf_dir, "conversations"))))
+
+
+def op12_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_minhash_forest, op3_quality_mcd, op4_token_bits, op5_url_cascade,
-    op6_one_bit_search, op7_hilbert_shards, op8_warc, op9_cost_packing, op10_hash_mix)}
+    op6_one_bit_search, op7_hilbert_shards, op8_warc, op9_cost_packing, op10_hash_mix,
+    op11_turn_trie, op12_maxent, op13_spelling_trie)}
 
 #: The others' results come from fits, hashes of Spark's, files or tokenizers,
 #: which SQL can't express; they are tested against brute force.
-ORACLE = {"op5_url_cascade": urlfilter.ORACLE, "op10_hash_mix": mixing.ORACLE}
+ORACLE = {"op5_url_cascade": urlfilter.ORACLE, "op10_hash_mix": mixing.ORACLE, "op11_turn_trie": turntrie.ORACLE,
+          "op13_spelling_trie": spelling.ORACLE}
