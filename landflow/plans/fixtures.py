@@ -48,9 +48,12 @@ def land(pages: DataFrame, name: str = "landing", dialect=None) -> DataFrame:
 
 
 def chained(items: DataFrame, request_key: Column, page_no: Column, item: Column, dialect,
-            status: Column | None = None) -> DataFrame:
+            status: Column | None = None, short: bool = False) -> DataFrame:
     """``pack_pages`` of closed chains: pages numbered from 0 without gaps in the
-    order of ``page_no``, the last of each chain terminal."""
+    order of ``page_no``, the last of each chain terminal. ``short`` chains hold
+    a few pages each."""
+    if short:
+        return pack_pages(items, request_key, page_no, item, dialect, status=status, renumber=True)
     keyed = items.withColumns({"_rk": request_key, "_pn": page_no.cast("long")})
     places = running_total(keyed.select("_rk", "_pn", F.lit(1).alias("_one")).distinct(), "_rk", "_pn", "_one", "_place")
     ends = places.groupBy("_rk").agg(F.max("_place").alias("_end"))
@@ -60,6 +63,13 @@ def chained(items: DataFrame, request_key: Column, page_no: Column, item: Column
                       is_last=F.col("_closes"), status=status)
 
 
+def answered(pages: DataFrame, expected: DataFrame, dialect) -> DataFrame:
+    """``pages`` and an empty answer for each expected request without any."""
+    none = expected.select("request_key").join(pages.select("request_key"), "request_key", "left_anti")
+    return pages.unionByName(none.select("request_key", F.lit(0).cast("long").alias("page_no"), F.lit(200).alias("status"),
+                                         F.lit(f'{{"{dialect.payload}":[]}}').alias("raw")))
+
+
 def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sorted nation names per region (nation is a fixed 25-row dimension)."""
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(
@@ -108,6 +118,7 @@ def line_pages(spark: SparkSession, sf_dir: str, prefix: str = "orders", suffix:
         item,
         ODATA,
         status=status,
+        short=True,
     )
     if failing:
         key = F.regexp_extract("request_key", rf"^{prefix}/(\d+)/", 1).cast("bigint")

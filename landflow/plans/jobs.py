@@ -13,6 +13,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from landflow.operators.aggregates import infer_item_schema
 from landflow.plans import pipelines as TP
 from landflow.session import configure, release
 from landflow.sinks.tables import write_full_refresh
-from landflow.sources.pages import ODATA, SETTINGS, Dialect, read_pages, unnest_pages
+from landflow.sources.pages import ODATA, SETTINGS, Dialect, malformed_lines, read_pages, unnest_pages
+from landflow.sources.runs import latest_run, of_run
 
 # Landing folder per endpoint family.
 LANDING = {
@@ -76,8 +78,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def _pages(spark: SparkSession, landing: str, family: str) -> DataFrame:
-    return read_pages(spark, _folder(landing, family))
+def _pages(spark: SparkSession, landing: str, family: str, malformed: str = "stop") -> DataFrame:
+    return read_pages(spark, _folder(landing, family), malformed=malformed)
+
+
+def _keep_malformed(spark: SparkSession, landing: str, schema: str, families: list[str], malformed: str) -> None:
+    """Where malformed lines are skipped, ``<schema>.landing_quarantine`` has them."""
+    if malformed == "skip" and families:
+        bad = [malformed_lines(spark, _folder(landing, f)).select(F.lit(f).alias("family"), "*") for f in families]
+        write_full_refresh(reduce(DataFrame.unionByName, bad), f"{schema}.landing_quarantine", "replace")
 
 
 def _landed(spark: SparkSession, landing: str, *families: str) -> bool:
@@ -102,65 +111,74 @@ def choose_day(spark: SparkSession, text: str | None, now: str | None = None) ->
 
 def metadata_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SCHEMA,
                  contracts: dict[str, StructType | str] | None = None, include_access: bool = False,
-                 run_ts: str | None = None) -> dict[str, int | None]:
+                 run_ts: str | None = None, run: str | None = None, malformed: str = "stop") -> dict[str, int | None]:
     """Capacities, gateways (3 tables), workspaces (5 tables) and, when
-    ``include_access``, apps, app users and report users. Empty tables are
+    ``include_access``, apps, app users and report users, all of one run of the
+    landing: ``run``, or the latest that any family has. Empty tables are
     skipped; returns rows written per table."""
     configure(spark)
     contracts = contracts or {}
     run_ts = run_ts or _now_utc()
+    gw = ("gateways", "gateway_datasources", "gateway_datasource_users")
+    access = ("apps", "app_users", "report_users")
+    groups = [("capacities",), gw, ("workspaces",), *([access] if include_access else [])]
+    there = [f for g in groups if _landed(spark, landing, *g) for f in g]
+    p = {f: _pages(spark, landing, f, malformed) for f in there}
+    run = run if run is not None else latest_run(*p.values())
+    p = {f: of_run(pages, run) for f, pages in p.items()}  # contracts come from this run too
 
-    def c(family: str, pages: DataFrame, dialect: Dialect = ODATA) -> StructType:
-        return contract(pages, dialect, contracts.get(family))
+    def c(family: str) -> StructType:
+        return contract(p[family], ODATA, contracts.get(family))
 
     tables: dict[str, DataFrame] = {}
-    if _landed(spark, landing, "capacities"):
-        pages = _pages(spark, landing, "capacities")
-        tables["capacities"] = TP.build_capacities(pages, c("capacities", pages), run_ts)
-    gw = ("gateways", "gateway_datasources", "gateway_datasource_users")
-    if _landed(spark, landing, *gw):
-        p = {f: _pages(spark, landing, f) for f in gw}
-        tables.update(TP.build_gateways(p["gateways"], p["gateway_datasources"], p["gateway_datasource_users"],
-                                        {f: c(f, p[f]) for f in gw}, run_ts))
-    ws = {}
-    if _landed(spark, landing, "workspaces"):
-        pages = _pages(spark, landing, "workspaces")
-        ws = TP.build_workspaces(pages, c("workspaces", pages), run_ts)
-        tables.update(ws)
-    if include_access and "reports" in ws and _landed(spark, landing, "apps", "app_users", "report_users"):
-        a = {f: _pages(spark, landing, f) for f in ("apps", "app_users", "report_users")}
-        reports = ws["reports"].select("workspace_id", "id", "name")
-        tables.update(TP.build_access(a["apps"], a["app_users"], a["report_users"], reports,
-                                      {f: c(f, a[f]) for f in a}, run_ts, include_access=True))
     try:
+        if "capacities" in p:
+            tables["capacities"] = TP.build_capacities(p["capacities"], c("capacities"), run_ts)
+        if "gateways" in p:
+            tables.update(TP.build_gateways(*[p[f] for f in gw], {f: c(f) for f in gw}, run_ts))
+        ws = {}
+        if "workspaces" in p:
+            ws = TP.build_workspaces(p["workspaces"], c("workspaces"), run_ts)
+            tables.update(ws)
+        if "apps" in p and "reports" in ws:
+            reports = ws["reports"].select("workspace_id", "id", "name")
+            tables.update(TP.build_access(*[p[f] for f in access], reports, {f: c(f) for f in access}, run_ts, include_access=True))
+        _keep_malformed(spark, landing, schema, there, malformed)
         return TP.save_metadata(tables, schema)
     finally:
         release(drop_files=True)
 
 
 def settings_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SCHEMA,
-                 declared: StructType | str | None = None, run_ts: str | None = None) -> dict[str, int | None]:
-    """Tenant settings and their two child tables; an empty child table
-    replaces the stored one with an empty table."""
+                 declared: StructType | str | None = None, run_ts: str | None = None, run: str | None = None,
+                 malformed: str = "stop") -> dict[str, int | None]:
+    """Tenant settings and their two child tables, of one run; an empty child
+    table replaces the stored one with an empty table."""
     configure(spark)
-    pages = _pages(spark, landing, "tenant_settings")
-    tables = TP.build_settings(pages, contract(pages, SETTINGS, declared), run_ts or _now_utc())
+    pages = _pages(spark, landing, "tenant_settings", malformed)
+    pages = of_run(pages, run if run is not None else latest_run(pages))
     try:
+        tables = TP.build_settings(pages, contract(pages, SETTINGS, declared), run_ts or _now_utc())
+        _keep_malformed(spark, landing, schema, ["tenant_settings"], malformed)
         return TP.save_settings(tables, schema)
     finally:
         release(drop_files=True)
 
 
 def dataflow_sources_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SCHEMA,
-                         declared: StructType | str | None = None, run_ts: str | None = None) -> int:
-    """Datasources of the dataflows already stored in ``<schema>.dataflows``;
-    no stored dataflow or no datasource ends the job (``EmptyInput``). Failed
-    pages and unfinished chains are kept in ``dataflow_sources_quarantine``."""
+                         declared: StructType | str | None = None, run_ts: str | None = None, run: str | None = None,
+                         malformed: str = "stop") -> int:
+    """Datasources of the dataflows already stored in ``<schema>.dataflows``, of
+    one run; no stored dataflow or no datasource ends the job (``EmptyInput``).
+    Failed pages, unfinished chains and dataflows that never landed are kept in
+    ``dataflow_sources_quarantine``."""
     configure(spark)
-    pages = _pages(spark, landing, "dataflow_datasources")
-    out, quarantine = TP.build_dataflow_sources(spark, f"{schema}.dataflows", pages,
-                                                contract(pages, ODATA, declared), run_ts or _now_utc())
+    pages = _pages(spark, landing, "dataflow_datasources", malformed)
+    pages = of_run(pages, run if run is not None else latest_run(pages))
     try:
+        out, quarantine = TP.build_dataflow_sources(spark, f"{schema}.dataflows", pages,
+                                                    contract(pages, ODATA, declared), run_ts or _now_utc())
+        _keep_malformed(spark, landing, schema, ["dataflow_datasources"], malformed)
         write_full_refresh(quarantine, f"{schema}.dataflow_sources_quarantine", "replace")
         return TP.save_dataflow_sources(out, schema)
     finally:
@@ -170,7 +188,8 @@ def dataflow_sources_job(spark: SparkSession, landing: str, schema: str = TP.MET
 def activity_job(spark: SparkSession, landing: str, table: str, day: str | None = None,
                  now: str | None = None) -> int:
     """The daily activity load: ``day`` (or yesterday UTC) replaces that
-    day's partition of ``table``; no events ends the load (``EmptyInput``)."""
+    day's partition of ``table``; no events end the load (``EmptyInput``), and so
+    does a chain of the day that isn't complete (``IncompleteDay``)."""
     configure(spark)
     chosen = choose_day(spark, day, now)
     pages = _pages(spark, landing, "activity_events")
@@ -185,14 +204,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--table", default="activity_events")
     ap.add_argument("--day")
     ap.add_argument("--include-access", action="store_true")
+    ap.add_argument("--run", help="the run to read (default: the latest)")
+    ap.add_argument("--malformed", choices=["stop", "skip"], default="stop")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"landflow-{args.job}").getOrCreate()
     if args.job == "metadata":
-        print(metadata_job(spark, args.landing, args.schema, include_access=args.include_access))
+        print(metadata_job(spark, args.landing, args.schema, include_access=args.include_access, run=args.run, malformed=args.malformed))
     elif args.job == "settings":
-        print(settings_job(spark, args.landing, args.schema))
+        print(settings_job(spark, args.landing, args.schema, run=args.run, malformed=args.malformed))
     elif args.job == "dataflow_sources":
-        print(dataflow_sources_job(spark, args.landing, args.schema))
+        print(dataflow_sources_job(spark, args.landing, args.schema, run=args.run, malformed=args.malformed))
     else:
         print(activity_job(spark, args.landing, args.table, args.day))
 

@@ -28,20 +28,23 @@ from landflow.operators.shape import (
     type_violations,
 )
 from landflow.plans import contracts as C
-from landflow.session import materialize, release
+from landflow.session import bounded_broadcast, materialize, release
 from landflow.sinks.tables import EmptyInput, apply_empty_policy, replace_partition, save_tables, sink_cast
 from landflow.sources.pages import (
     ACTIVITY,
     ODATA,
     SETTINGS,
     Dialect,
+    IncompleteChain,
+    chain_items,
+    chain_status,
     items_as,
-    incomplete_chains,
     page_columns,
     scan_keys,
     split_failed,
     usable_items,
 )
+from landflow.sources.runs import day_chains, expected_chains, incomplete_days, missing_requests, request_keys, snapshot
 
 
 def parent_id(pattern: str, group: int = 1, col: str = "request_key") -> Column:
@@ -50,22 +53,35 @@ def parent_id(pattern: str, group: int = 1, col: str = "request_key") -> Column:
 
 
 def landed_items(pages: DataFrame, dialect: Dialect, schema: StructType,
-                 extra: dict[str, Column] | None = None, on_incomplete: str = "stop") -> DataFrame:
+                 extra: dict[str, Column] | None = None, on_incomplete: str = "stop",
+                 expected: DataFrame | None = None, chains: DataFrame | None = None) -> DataFrame:
     """Pages to typed item rows: cut each chain at its terminal page and project
     items onto the contract. A request without a complete chain ends the job
-    before anything is written, or is left out (``skip``)."""
+    before anything is written, or is left out (``skip``). With ``expected``
+    (the requests of a fan-out) each of those must have one, and no other request
+    is read; ``chains`` is the pages' chain status where it is known."""
     extra = extra or {}
     base = pages.select(*page_columns(pages), *[c.alias(n) for n, c in extra.items()])
-    items = usable_items(base, dialect, keep=tuple(extra), on_incomplete=on_incomplete)
+    if expected is not None:
+        items = chain_items(base, dialect, expected_chains(expected, base, dialect, on_incomplete, chains), keep=tuple(extra))
+    else:
+        items = usable_items(base, dialect, keep=tuple(extra), on_incomplete=on_incomplete)
     return items_as(items, schema).drop("request_key", "page_no")
 
 
+def _request(*parts: str | Column) -> Column:
+    """A request key; null where a part of it is null or empty."""
+    cols = [F.lit(p) if isinstance(p, str) else F.nullif(p.cast("string"), F.lit("")) for p in parts]
+    return F.concat(*cols)
+
+
 def _has(df: DataFrame, col: str) -> bool:
     return col in df.columns
 
 
 # TP1 ----------------------------------------------------------------------
-def build_capacities(pages: DataFrame, schema: StructType, run_ts: str) -> DataFrame:
+def build_capacities(pages: DataFrame, schema: StructType, run_ts: str, run: str | None = None) -> DataFrame:
+    pages = snapshot({"capacities": pages}, run, ("capacities",))["capacities"]
     df = clean_columns(landed_items(pages, ODATA, schema))
     df = drop_columns(df, C.DROP["capacities"])
     if _has(df, "admins"):
@@ -75,11 +91,17 @@ def build_capacities(pages: DataFrame, schema: StructType, run_ts: str) -> DataF
 
 # TP2 ----------------------------------------------------------------------
 def build_gateways(gateway_pages: DataFrame, datasource_pages: DataFrame, user_pages: DataFrame,
-                   schemas: dict[str, StructType], run_ts: str) -> dict[str, DataFrame]:
+                   schemas: dict[str, StructType], run_ts: str, run: str | None = None) -> dict[str, DataFrame]:
+    """gateways, their datasources and the datasources' users, of one run. Every
+    gateway must have landed its datasources, and every datasource its users."""
+    pages = snapshot({"gateways": gateway_pages, "gateway_datasources": datasource_pages,
+                      "gateway_datasource_users": user_pages}, run, ("gateways",))
+    gateway_pages, datasource_pages, user_pages = pages.values()
     gateways = clean_columns(landed_items(gateway_pages, ODATA, schemas["gateways"]))
     with_id = where_key_present(gateways, "id")
     ds = landed_items(datasource_pages, ODATA, schemas["gateway_datasources"],
-                      {"_gw": parent_id(r"^gateways/([^/]+)/datasources$")})
+                      {"_gw": parent_id(r"^gateways/([^/]+)/datasources$")},
+                      expected=request_keys(with_id, _request("gateways/", F.col("id"), "/datasources")))
     # pair children with their parent by key, never by position
     ds = attach_children(with_id, ds, {"_gw": "id"}, {"id": "gatewayId"}).drop("_gw")
     ds = materialize(clean_columns(ds), "gateway_datasources")  # read by two tables
@@ -89,7 +111,8 @@ def build_gateways(gateway_pages: DataFrame, datasource_pages: DataFrame, user_p
             ds_flat = flatten_struct(ds_flat, nested, f"{nested}_")
     users = landed_items(user_pages, ODATA, schemas["gateway_datasource_users"],
                          {"_gw": parent_id(r"^gateways/([^/]+)/datasources/([^/]+)/users$", 1),
-                          "_ds": parent_id(r"^gateways/([^/]+)/datasources/([^/]+)/users$", 2)})
+                          "_ds": parent_id(r"^gateways/([^/]+)/datasources/([^/]+)/users$", 2)},
+                         expected=request_keys(ds, _request("gateways/", F.col("gatewayId"), "/datasources/", F.col("id"), "/users")))
     users = attach_children(where_key_present(ds, "id"), users, {"_gw": "gatewayId", "_ds": "id"},
                             {"gatewayId": "gatewayId", "id": "datasourceId"}).drop("_gw", "_ds")
     users = drop_columns(clean_columns(users), C.DROP["gateway_datasource_users"])
@@ -103,9 +126,10 @@ def build_gateways(gateway_pages: DataFrame, datasource_pages: DataFrame, user_p
 
 # TP3 ----------------------------------------------------------------------
 def build_workspaces(pages: DataFrame, schema: StructType, run_ts: str,
-                     shared_parse: bool = True) -> dict[str, DataFrame]:
+                     shared_parse: bool = True, run: str | None = None) -> dict[str, DataFrame]:
     """Five tables from one parent; with ``shared_parse`` the parsed parents
     are written once to the shared folder and every table reads them."""
+    pages = snapshot({"workspaces": pages}, run, ("workspaces",))["workspaces"]
     ws = where_active(landed_items(pages, ODATA, schema))
     if shared_parse:
         ws = materialize(ws, "workspaces")
@@ -128,20 +152,25 @@ def build_workspaces(pages: DataFrame, schema: StructType, run_ts: str,
 # TP4 ----------------------------------------------------------------------
 def build_access(app_pages: DataFrame, app_user_pages: DataFrame, report_user_pages: DataFrame,
                  reports: DataFrame, schemas: dict[str, StructType], run_ts: str,
-                 include_access: bool) -> dict[str, DataFrame]:
+                 include_access: bool, run: str | None = None) -> dict[str, DataFrame]:
     """apps, app_users, report_users; built only when ``include_access`` is
-    set (the flag is required: there is no silent default)."""
+    set (the flag is required: there is no silent default). Every app and every
+    report must have landed its users in the run."""
     specs = {"apps": None, "app_users": None, "report_users": None}
     if not choose(specs, {k: include_access for k in specs}):
         return {}
+    pages = snapshot({"apps": app_pages, "app_users": app_user_pages, "report_users": report_user_pages}, run, ("apps",))
+    app_pages, app_user_pages, report_user_pages = pages.values()
     apps = clean_columns(landed_items(app_pages, ODATA, schemas["apps"]))
     if _has(apps, "lastUpdateDateTime"):
         apps = apps.withColumn("lastUpdateDateTime", to_time_or_null("lastUpdateDateTime"))
-    au = landed_items(app_user_pages, ODATA, schemas["app_users"], {"_app": parent_id(r"^apps/([^/]+)/users$")})
+    au = landed_items(app_user_pages, ODATA, schemas["app_users"], {"_app": parent_id(r"^apps/([^/]+)/users$")},
+                      expected=request_keys(apps, _request("apps/", F.col("id"), "/users")))
     au = attach_children(apps, au, {"_app": "id"}, {"id": "app_id", "name": "app_name"}).drop("_app")
     pat = r"^groups/([^/]+)/reports/([^/]+)/users$"
     ru = landed_items(report_user_pages, ODATA, schemas["report_users"],
-                      {"_ws": parent_id(pat, 1), "_rep": parent_id(pat, 2)})
+                      {"_ws": parent_id(pat, 1), "_rep": parent_id(pat, 2)},
+                      expected=request_keys(reports, _request("groups/", F.col("workspace_id"), "/reports/", F.col("id"), "/users")))
     ru = attach_children(reports, ru, {"_ws": "workspace_id", "_rep": "id"},
                          {"workspace_id": "workspace_id", "id": "report_id", "name": "report_name"}
                          ).drop("_ws", "_rep")
@@ -156,20 +185,25 @@ def build_access(app_pages: DataFrame, app_user_pages: DataFrame, report_user_pa
 
 # TP5 ----------------------------------------------------------------------
 def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: DataFrame,
-                           schema: StructType, run_ts: str) -> tuple[DataFrame, DataFrame]:
+                           schema: StructType, run_ts: str, run: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(dataflow_sources, quarantine). Only dataflows already stored are
-    read; no stored dataflow ends the job (``EmptyInput``). A dataflow with a
-    failed page is skipped whole and its failed pages are returned, with the
-    reason, as the quarantine; the other dataflows go on."""
+    read; no stored dataflow ends the job (``EmptyInput``). A dataflow without a
+    complete answer in the run is skipped whole; the quarantine has its failed
+    pages, or one row that says that its chain is incomplete or never landed."""
     keys = scan_keys(spark, dataflows_table, "objectId")
     apply_empty_policy(keys, "stop")
-    # a dataflow without a complete chain is skipped whole; keys meet pages, so
-    # that no body of another dataflow is parsed
-    _, bad = split_failed(pages)
-    bad = bad.unionByName(incomplete_chains(pages, ODATA), allowMissingColumns=True)
+    # keys meet pages of the run, so that no other dataflow's body is parsed
+    pages = snapshot({"dataflow_datasources": pages}, run)["dataflow_datasources"]
     parent = {"dataflowId": parent_id(r"^dataflows/([^/]+)/datasources$")}
     stored = restrict_to_keys(pages.withColumn("_flow", parent["dataflowId"]), keys, {"_flow": "objectId"})
-    items = landed_items(stored, ODATA, schema, parent, on_incomplete="skip")
+    expected = request_keys(keys, _request("dataflows/", F.col("objectId"), "/datasources"))
+    base = stored.select(*page_columns(stored))
+    chains = materialize(chain_status(base, ODATA), "dataflow-chains")  # read by both results
+    lost = missing_requests(expected, base, ODATA, chains)
+    failed = base.join(lost.where("reason = 'failed'").select("request_key"), "request_key", "left_semi")
+    _, bad = split_failed(failed)
+    bad = bad.unionByName(lost.where("reason <> 'failed'"), allowMissingColumns=True)
+    items = landed_items(stored, ODATA, schema, parent, on_incomplete="skip", expected=expected, chains=chains)
     if _has(items, "connectionDetails"):
         items = flatten_struct(items, "connectionDetails", "connectionDetails_")
     out = sink_cast(stamp_run(clean_columns(items), run_ts, "timestamp"))
@@ -178,7 +212,8 @@ def build_dataflow_sources(spark: SparkSession, dataflows_table: str, pages: Dat
 
 # TP6 ----------------------------------------------------------------------
 def build_settings(pages: DataFrame, schema: StructType, run_ts: str,
-                   shared_parse: bool = True) -> dict[str, DataFrame]:
+                   shared_parse: bool = True, run: str | None = None) -> dict[str, DataFrame]:
+    pages = snapshot({"tenant_settings": pages}, run, ("tenant_settings",))["tenant_settings"]
     settings = landed_items(pages, SETTINGS, schema)
     if shared_parse:
         settings = materialize(settings, "settings")
@@ -200,27 +235,44 @@ def page_day(pages: DataFrame) -> Column:
     return F.nullif(F.regexp_extract("request_key", r"(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
 
 
-def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> DataFrame:
-    """Landed activity pages to rows of the stored activity table.
+class IncompleteDay(IncompleteChain, EmptyInput):
+    """Raised where a requested day has a failed or unfinished chain."""
 
-    Every event of a complete chain is kept, under the day it was requested for,
-    whatever its own clock says; other chains are left out whole. ``day`` reads
-    that day's pages only (a literal filter on the landing's partition column);
-    pages that name no day count as the requested day's, or, where none is
-    requested, are not loaded.
-    """
+
+def _day_pages(pages: DataFrame, day: str | None) -> DataFrame:
+    """Pages with the day that they count for (``_day``): of ``day`` only (a
+    literal filter on the landing's partition column), or of all days that pages
+    name. Pages that name no day count as the requested one."""
     base = pages.select(*page_columns(pages))
+    if "run_id" in base.columns:  # pages that name no run are of the first one
+        base = base.withColumn("run_id", F.coalesce(F.col("run_id").cast("string"), F.lit("")))
     if day is not None and "day" in base.columns:
         base = base.where(F.col("day").cast("string") == day)
     at = page_day(base)
     if day is not None:
-        at = F.coalesce(at, F.lit(day))
-        base = base.withColumn("_day", at).where(F.col("_day") == day)
-    else:
-        base = base.withColumn("_day", at).where(F.col("_day").isNotNull())
+        return base.withColumn("_day", F.coalesce(at, F.lit(day))).where(F.col("_day") == day)
+    return base.withColumn("_day", at).where(F.col("_day").isNotNull())
+
+
+def activity_rows(pages: DataFrame, run_ts: str, day: str | None = None) -> DataFrame:
+    """Landed activity pages to rows of the stored activity table.
+
+    A day is loaded from its latest run, and only if every chain landed for it in
+    that run is complete: then every event is kept under the day it was requested
+    for, whatever its own clock says. A requested ``day`` that isn't complete
+    raises ``IncompleteDay``; without a request such days are left out
+    (``activity_days_quarantine`` tells which and why).
+    """
+    base = _day_pages(pages, day)
+    chains = bounded_broadcast(day_chains(base, ACTIVITY))
+    if day is not None:
+        lost = chains.where("not complete").select("request_key").take(3)
+        if lost:
+            raise IncompleteDay(f"{day} has failed or unfinished chains, nothing loaded: {[r[0] for r in lost]}")
+    good = chains.where("whole").drop("failed", "complete", "whole")
     # items stay JSON text: the catch-all keeps each record's key order, and
     # the declared columns come from one streaming parse per record
-    items = usable_items(base, ACTIVITY, keep=("_day",), as_text=True)
+    items = chain_items(base, ACTIVITY, good, keep=("_day",), as_text=True)
     rows = items.select("_day", "item_text", F.from_json("item_text", C.ACTIVITY_READ_SCHEMA).alias("_r")).select(
         "_day", "item_text", *[F.col("_r").getField(f.name).alias(f.name) for f in C.ACTIVITY_READ_SCHEMA.fields])
     cols = []
@@ -245,6 +297,11 @@ def load_activity_day(pages: DataFrame, table: str, run_ts: str, day: str) -> in
     return load_activity(pages, table, run_ts, day)
 
 
+def activity_days_quarantine(pages: DataFrame, day: str | None = None) -> DataFrame:
+    """``(day, request_key, reason)``: why days of the landing aren't loaded."""
+    return incomplete_days(_day_pages(pages, day), ACTIVITY)
+
+
 def activity_quarantine(pages: DataFrame) -> DataFrame:
     """Declared fields that had a value of the wrong type (loaded as null):
     ``(Id, bad_field)``, one row per record and field, for review."""

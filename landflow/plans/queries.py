@@ -684,7 +684,7 @@ def q_infer_keys(spark, sf_dir):
     return keys.select("key", "rows", kind.alias("kind"))
 
 
-from landflow.plans import table_queries  # noqa: E402,F401  (registers TP queries)
+from landflow.plans import run_queries, table_queries  # noqa: E402,F401  (register their queries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from landflow.plans.fixtures import DAY, PAGE, RUN_TS, s, table
 from landflow.plans.queries import RUN_EPOCH_SQL, _scratch_schema, query
 from landflow.sinks import tables as SK
 from landflow.sources.pages import ACTIVITY, ODATA, SETTINGS, IncompleteChain, items_as, usable_items
+from landflow.sources.runs import request_keys
 
 TS_SQL = f"TIMESTAMP '{RUN_TS}'"
 
@@ -39,7 +40,7 @@ def q_tp_capacities(spark, sf_dir):
         F.struct(s("r_regionkey").alias("id"), F.col("r_name").alias("displayName"),
                  F.col("nations").alias("admins"), F.array(F.struct(F.col("r_name").alias("u"))).alias("users")
                  ).alias("item"))
-    pages = FX.chained(rows, F.lit("capacities"), F.floor(F.col("r_regionkey") / PAGE), F.col("item"), ODATA)
+    pages = FX.chained(rows, F.lit("capacities"), F.floor(F.col("r_regionkey") / PAGE), F.col("item"), ODATA, short=True)
     return TP.build_capacities(FX.land(pages), CAPACITY, RUN_TS)
 
 
@@ -83,7 +84,7 @@ def _setting_pages(spark, sf_dir):
         (F.col("r_regionkey") % 2 == 0).alias("enabled"), F.lit("Region").alias("tenantSettingGroup"),
         F.col("g").alias("enabledSecurityGroups"), props.alias("properties"))
     rows = r.join(groups, r.r_regionkey == groups.n_regionkey, "left").select("r_regionkey", item.alias("item"))
-    return FX.chained(rows, F.concat(F.lit("tenantsettings/"), s("r_regionkey")), F.lit(0), F.col("item"), SETTINGS)
+    return FX.chained(rows, F.concat(F.lit("tenantsettings/"), s("r_regionkey")), F.lit(0), F.col("item"), SETTINGS, short=True)
 
 
 @query("q_tp_settings_failed", f"""
@@ -148,6 +149,32 @@ GATEWAY_SCHEMAS = {
 }
 
 
+def _gateway_pages(spark, sf_dir):
+    """(gateways, datasources, users): regions, nations and suppliers; a nation
+    without suppliers answers with no users."""
+    r = table(spark, sf_dir, "region")
+    n = table(spark, sf_dir, "nation")
+    sp = table(spark, sf_dir, "supplier")
+    gw = FX.chained(r, F.lit("gateways"), F.floor(F.col("r_regionkey") / PAGE),
+                    F.struct(s("r_regionkey").alias("id"), F.col("r_name").alias("name"),
+                             F.lit("pk").alias("publicKey"), F.lit("note").alias("gatewayAnnotation")), ODATA, short=True)
+    ds_item = F.struct(
+        s("n_nationkey").alias("id"), F.col("n_name").alias("datasourceName"),
+        F.struct(F.when(F.col("n_nationkey") % 2 == 0, "Basic").otherwise("Windows").alias("credentialType"),
+                 (F.col("n_nationkey") % 3 == 0).alias("useEndUserOAuth2Credentials")).alias("credentialDetails"),
+        F.struct(F.col("n_name").alias("server"),
+                 F.struct(s("n_regionkey").alias("regionId")).alias("location")).alias("details"))
+    ds = FX.chained(n, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources")),
+                    F.floor(F.col("n_nationkey") / PAGE), ds_item, ODATA, short=True)
+    sn = sp.join(n, sp.s_nationkey == n.n_nationkey)
+    us_item = F.struct(F.concat(F.lit("supp-"), s("s_suppkey")).alias("emailAddress"),
+                       F.col("s_name").alias("displayName"), F.lit("Read").alias("datasourceAccessRight"),
+                       F.array(F.lit("x")).alias("users"))
+    key = F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources/"), s("n_nationkey"), F.lit("/users"))
+    us = FX.chained(sn, key, F.floor(F.col("s_suppkey") / PAGE), us_item, ODATA)
+    return gw, ds, FX.answered(us, request_keys(n, key), ODATA)
+
+
 @query("q_tp_gateways", f"""
 select 'gateways' as table_name, cast(null as varchar) as gatewayId, cast(null as varchar) as datasourceId,
        cast(r_regionkey as varchar) as id, r_name as name, cast(null as varchar) as detail,
@@ -165,26 +192,7 @@ select 'gateway_datasource_users', cast(n_regionkey as varchar), cast(n_nationke
 from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """)
 def q_tp_gateways(spark, sf_dir):
-    r = table(spark, sf_dir, "region")
-    n = table(spark, sf_dir, "nation")
-    sp = table(spark, sf_dir, "supplier")
-    gw = FX.chained(r, F.lit("gateways"), F.floor(F.col("r_regionkey") / PAGE),
-                    F.struct(s("r_regionkey").alias("id"), F.col("r_name").alias("name"),
-                             F.lit("pk").alias("publicKey"), F.lit("note").alias("gatewayAnnotation")), ODATA)
-    ds_item = F.struct(
-        s("n_nationkey").alias("id"), F.col("n_name").alias("datasourceName"),
-        F.struct(F.when(F.col("n_nationkey") % 2 == 0, "Basic").otherwise("Windows").alias("credentialType"),
-                 (F.col("n_nationkey") % 3 == 0).alias("useEndUserOAuth2Credentials")).alias("credentialDetails"),
-        F.struct(F.col("n_name").alias("server"),
-                 F.struct(s("n_regionkey").alias("regionId")).alias("location")).alias("details"))
-    ds = FX.chained(n, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources")),
-                    F.floor(F.col("n_nationkey") / PAGE), ds_item, ODATA)
-    sn = sp.join(n, sp.s_nationkey == n.n_nationkey)
-    us_item = F.struct(F.concat(F.lit("supp-"), s("s_suppkey")).alias("emailAddress"),
-                       F.col("s_name").alias("displayName"), F.lit("Read").alias("datasourceAccessRight"),
-                       F.array(F.lit("x")).alias("users"))
-    us = FX.chained(sn, F.concat(F.lit("gateways/"), s("n_regionkey"), F.lit("/datasources/"), s("n_nationkey"),
-                                 F.lit("/users")), F.floor(F.col("s_suppkey") / PAGE), us_item, ODATA)
+    gw, ds, us = _gateway_pages(spark, sf_dir)
     t = TP.build_gateways(FX.land(gw), FX.land(ds), FX.land(us), GATEWAY_SCHEMAS, RUN_TS)
     d = t["gateway_datasources"]
     detail = F.concat_ws("|", "credentialDetails_credentialType",
@@ -314,7 +322,7 @@ def q_tp_access(spark, sf_dir):
         F.concat(F.lit("2024-01-"), F.lpad(s(F.col("n_nationkey") + 1), 2, "0"), F.lit(" 10:00:00")))
     apps = FX.chained(n, F.lit("apps"), F.floor(F.col("n_nationkey") / PAGE),
                       F.struct(s("n_nationkey").alias("id"), F.col("n_name").alias("name"),
-                               updated.alias("lastUpdateDateTime")), ODATA)
+                               updated.alias("lastUpdateDateTime")), ODATA, short=True)
     au = FX.chained(c, F.concat(F.lit("apps/"), s("c_nationkey"), F.lit("/users")), F.floor(F.col("c_custkey") / PAGE),
                     F.struct(F.concat(F.lit("cust-"), s("c_custkey")).alias("emailAddress"),
                              F.lit("Viewer").alias("appUserAccessRight"),
@@ -327,6 +335,8 @@ def q_tp_access(spark, sf_dir):
                              F.lit("Viewer").alias("reportUserAccessRight"),
                              F.struct(F.col("l_returnflag").alias("flag")).alias("profile")), ODATA)
     reports = sp.select(s("s_nationkey").alias("workspace_id"), s("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    au = FX.answered(au, request_keys(n, F.concat(F.lit("apps/"), s("n_nationkey"), F.lit("/users"))), ODATA)
+    ru = FX.answered(ru, request_keys(reports, F.concat(F.lit("groups/"), F.col("workspace_id"), F.lit("/reports/"), F.col("id"), F.lit("/users"))), ODATA)
     t = TP.build_access(FX.land(apps), FX.land(au), FX.land(ru), reports, ACCESS_SCHEMAS, RUN_TS, include_access=True)
     none_ts = F.lit(None).cast("timestamp_ntz")
     a = _labelled("apps", t["apps"], scope=None, parent_id=None, parent_name=None, id="id", detail="name")

@@ -115,6 +115,35 @@ def write_full_refresh(df: DataFrame, table: str, schema_mode: str = "strict",
 
 
 # SK2 ----------------------------------------------------------------------
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def by_name(df: DataFrame, stored: StructType) -> tuple[DataFrame, list[str]]:
+    """``df`` with the stored columns' names and types, its new columns after
+    them, and the new columns' definitions."""
+    new = {f.name.lower(): f for f in df.schema.fields}
+    if len(new) < len(df.columns):
+        raise ValueError(f"columns that differ in case only: {df.columns}")
+    cols = []
+    for f in stored.fields:
+        got = new.pop(f.name.lower(), None)
+        want = f.dataType.simpleString()
+        have = "void" if got is None else got.dataType.simpleString()
+        wider = (have in _WHOLE and (want == "double" or want in _WHOLE[_WHOLE.index(have):])) or (
+            want == "string" and have in (*_WHOLE, "double", "boolean"))
+        if have not in (want, "void") and not wider:
+            raise ValueError(f"column {f.name} is stored as {want}, frame has {have}")
+        c = F.lit(None) if got is None else F.col(_quoted(got.name))
+        cols.append(c.cast(f.dataType).alias(f.name))
+    named = {n: ("string" if isinstance(f.dataType, NullType) else f.dataType.simpleString()) for n, f in new.items()}
+    cols += [F.col(_quoted(f.name)).cast(named[n]).alias(f.name) for n, f in new.items()]
+    return df.select(*cols), [f"{_quoted(f.name)} {named[n]}" for n, f in new.items()]
+
+
 def replace_partition(df: DataFrame, table: str, part_col: str, value: str | None = None,
                       fmt: str = "parquet") -> int:
     """Idempotent load of the partitions present in ``df`` (or of the one
@@ -124,6 +153,12 @@ def replace_partition(df: DataFrame, table: str, part_col: str, value: str | Non
     overwrite only the partitions that appear in ``df`` (dynamic overwrite):
     one step per partition instead of delete-then-append, so a failure cannot
     leave a day empty. Empty input changes nothing. Returns rows written.
+
+    Columns go by name. New ones are added to the stored table (null in the
+    partitions that stay), absent ones become null; whole numbers widen to a
+    stored double, and numbers and flags to stored text. Any other change of type,
+    and two columns that differ in case only, are refused before anything is
+    written.
     """
     spark = df.sparkSession
     if value is not None:
@@ -143,6 +178,10 @@ def replace_partition(df: DataFrame, table: str, part_col: str, value: str | Non
         (df.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.format(fmt).partitionBy(part_col).saveAsTable(table))
         return int(obs.get["rows"])
+    df, added = by_name(df, spark.read.table(table).schema)
+    if added:
+        # a table whose files lack a column reads it as null
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
     order = spark.read.table(table).columns  # insertInto is by position
     # insertInto on a catalog table follows the session setting, not a write
     # option; in static mode it would drop every partition not in ``df``
@@ -150,7 +189,7 @@ def replace_partition(df: DataFrame, table: str, part_col: str, value: str | Non
     before = spark.conf.get(key, None)
     spark.conf.set(key, "dynamic")
     try:
-        (df.select(*order).observe(obs, F.count(F.lit(1)).alias("rows"))
+        (df.select(*map(_quoted, order)).observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.insertInto(table, overwrite=True))
     finally:
         if before is None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -56,12 +56,53 @@ def _path(key: str) -> str:
 
 
 # SC1 ----------------------------------------------------------------------
-def read_pages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+CORRUPT = "_corrupt"
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Landed JSON lines, the text of those that can't be read, and their file."""
+    schema = StructType([*PAGE_SCHEMA.fields, StructField(CORRUPT, StringType())])
+    # partition columns of the folder (a run, a day) come after the schema's own
+    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return lines.select("*", F.col("_metadata.file_path").alias("_file"))
+
+
+def _malformed() -> Column:
+    """A line that is no page: not JSON, a field of another type, no key, or
+    neither status nor body. All fields are named: a scan that leaves a field out
+    would not notice its type."""
+    nothing = F.col("status").isNull() & F.col("raw").isNull()
+    return F.col(CORRUPT).isNotNull() | F.col("request_key").isNull() | F.col("page_no").isNull() | nothing
+
+
+def read_pages(spark: SparkSession, path: str, fmt: str = "json", malformed: str = "stop") -> DataFrame:
     """Read landed pages. JSON lines as landed, or Parquet after compaction
-    (Parquet lets the key columns be read without touching ``raw``)."""
-    if fmt == "json":
-        return spark.read.schema(PAGE_SCHEMA).json(path)
-    return spark.read.format(fmt).load(path)  # keeps envelope columns if landed
+    (Parquet lets the key columns be read without touching ``raw``).
+
+    A malformed line may be any page of any request: it ends whatever reads the
+    pages (``stop``, tested in the same scan), or is left to
+    ``malformed_lines`` (``skip``)."""
+    if malformed not in ("stop", "skip"):
+        raise ValueError(f"unknown choice {malformed!r}")
+    if fmt != "json":
+        return spark.read.format(fmt).load(path)  # keeps envelope columns if landed
+    lines = _lines(spark, path)
+    if malformed == "skip":
+        kept = lines.where(~_malformed())
+    else:
+        told = F.raise_error(F.concat(F.lit("malformed page line in "), F.col("_file"), F.lit(": "), F.substring(F.coalesce(CORRUPT, F.lit("no key")), 1, 200)))
+        kept = lines.where(F.when(_malformed(), told.cast("boolean")).otherwise(F.lit(True)))
+    return kept.drop(CORRUPT, "_file")
+
+
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, text, reason)`` of the lines that are no pages, for the
+    quarantine; a line without a key keeps its fields as JSON text."""
+    bad = _lines(spark, path).where(_malformed())
+    names = [f.name for f in PAGE_SCHEMA.fields]
+    return bad.select(F.col("_file").alias("file"), F.coalesce(CORRUPT, F.to_json(F.struct(*names))).alias("text"),
+                      F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed line"))
+                       .when(F.col("request_key").isNull() | F.col("page_no").isNull(), F.lit("no key")).otherwise(F.lit("no answer")).alias("reason"))
 
 
 ENVELOPE_COLUMNS = ("terminal", "valid")
@@ -259,8 +300,16 @@ def chain_keys(pages: DataFrame) -> list[str]:
     return ["request_key", *(["run_id"] if "run_id" in pages.columns else [])]
 
 
-def chain_status(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
-    """One row per fetched chain: ``(request_key[, run_id], failed, cut, complete)``.
+def run_order(run_id: Column | str) -> Column:
+    """A sort key of run ids: by time where they are times, by size where they are
+    numbers (run 10 is after run 9), else by text. Null sorts first."""
+    text = (F.col(run_id) if isinstance(run_id, str) else run_id).cast("string")
+    return F.struct(F.try_to_timestamp(text).alias("at"), text.try_cast("decimal(38,0)").alias("number"), text.alias("text"))
+
+
+def chain_status(pages: DataFrame, dialect: Dialect | str, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per fetched chain: ``(request_key[, run_id], failed, cut, complete)``;
+    columns of ``by`` name a chain too.
 
     ``failed``: some page has a non-2xx status or a body that is not a JSON
     object. ``cut``: the first terminal page, null when the chain never ends.
@@ -276,7 +325,7 @@ def chain_status(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
     else:
         env = light_envelope(F.col("raw"), dialect)
         valid, terminal = env["valid"], env["terminal"]
-    keys = chain_keys(pages)
+    keys = [*chain_keys(pages), *by]
     bad = ~(F.coalesce(F.col("status").between(200, 299), F.lit(False)) & F.coalesce(valid, F.lit(False)))
     facts = pages.select(*keys, "page_no", bad.alias("bad"), F.coalesce(terminal, F.lit(False)).alias("end"))
     places = facts.select(*keys, F.inline(F.array(
@@ -293,10 +342,20 @@ def chain_status(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
     return chains.select(*keys, "failed", "cut", F.coalesce(whole, F.lit(False)).alias("complete"))
 
 
+def chain_items(pages: DataFrame, dialect: Dialect | str, chains: DataFrame, keep: tuple[str, ...] = (),
+                as_text: bool = False) -> DataFrame:
+    """Items of the pages that ``chains`` (chain keys and ``cut``) names, up to
+    each chain's cut. The pages are cut before their bodies are unnested."""
+    keys = [c for c in chains.columns if c != "cut"]
+    kept = pages.join(chains, keys).where(F.col("page_no") <= F.col("cut")).drop("cut")
+    return (unnest_texts if as_text else unnest_pages)(kept, dialect, keep=keep)
+
+
 def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = (),
                  on_incomplete: str = "skip", as_text: bool = False) -> DataFrame:
     """Items of complete chains, up to each chain's terminal page; of a request
-    landed by several runs, those of the latest complete run.
+    landed by several runs, those of the latest complete run (jobs read one run:
+    ``runs.snapshot``).
 
     A request without a complete chain is left out (``skip``) or ends the job
     (``stop``): part of a chain never replaces stored data. The pages are cut
@@ -308,7 +367,7 @@ def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...]
     keys = chain_keys(pages)
     status = chain_status(pages, dialect)
     if len(keys) > 1:
-        best = F.max(F.when(F.col("complete"), F.struct("run_id", "cut")))
+        best = F.max(F.when(F.col("complete"), F.struct(run_order("run_id").alias("o"), "run_id", "cut")))
         status = status.groupBy("request_key").agg(best.alias("best")).select(
             "request_key", "best.run_id", "best.cut", F.col("best").isNotNull().alias("complete"))
     status = bounded_broadcast(status.select(*keys, "cut", "complete"))
@@ -316,9 +375,7 @@ def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...]
         lost = status.where(~F.col("complete")).select("request_key").take(3)
         if lost:
             raise IncompleteChain(f"failed, unfinished or gapped requests, nothing loaded: {[r[0] for r in lost]}")
-    good = status.where("complete").drop("complete")
-    kept = pages.join(good, keys).where(F.col("page_no") <= F.col("cut")).drop("cut")
-    return (unnest_texts if as_text else unnest_pages)(kept, dialect, keep=keep)
+    return chain_items(pages, dialect, status.where("complete").drop("complete"), keep, as_text)
 
 
 def incomplete_chains(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
@@ -391,6 +448,7 @@ def pack_pages(
     is_last: Column | None = None,
     status: Column | None = None,
     object_when_single: bool = False,
+    renumber: bool = False,
 ) -> DataFrame:
     """Build landed pages from rows (the inverse of ``unnest_pages``).
 
@@ -398,6 +456,8 @@ def pack_pages(
     page size) so no page collects an unbounded group. The continuation link
     is omitted on a chain's last page: ``is_last`` (an expression over the
     item rows, evaluated per page with ``max``) says which page that is.
+    ``renumber`` numbers each chain's pages from 0 without gaps and ends it at
+    its last one, in one window per chain: for chains of few pages.
     """
     d = _dialect(dialect)
     last_expr = F.max(is_last) if is_last is not None else F.lit(False)
@@ -409,6 +469,9 @@ def pack_pages(
             (F.max(status) if status is not None else F.lit(200)).alias("status"),
         )
     )
+    if renumber:
+        chain = Window.partitionBy("request_key").orderBy("page_no")
+        grouped = grouped.withColumns({"page_no": F.row_number().over(chain).cast("long") - 1, "_last": F.lead("page_no").over(chain).isNull()})
     payload = F.col("_items")
     if object_when_single:
         payload = F.when(F.size("_items") == 1, F.to_json(F.col("_items")[0])).otherwise(F.to_json(payload))

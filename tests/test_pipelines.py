@@ -118,7 +118,7 @@ def test_dataflow_sources_need_stored_keys(spark):
     pages = spark.createDataFrame([("dataflows/a/datasources", 0, 200, '{"value":[{"datasourceId":"1"}]}')], PAGE_SCHEMA)
     with pytest.raises(SK.EmptyInput):
         TP.build_dataflow_sources(spark, f"{db}.dataflows", pages, "struct<datasourceId:string>", "2024-06-01 12:00:00")
-    SK.write_full_refresh(spark.createDataFrame([("a",)], "objectId string"), f"{db}.dataflows", "replace")
+    SK.write_full_refresh(spark.createDataFrame([("a",), ("b",)], "objectId string"), f"{db}.dataflows", "replace")
     pages = pages.unionByName(spark.createDataFrame([("dataflows/b/datasources", 0, 503, "busy")], PAGE_SCHEMA))
     out, bad = TP.build_dataflow_sources(spark, f"{db}.dataflows", pages, "struct<datasourceId:string>",
                                          "2024-06-01 12:00:00")

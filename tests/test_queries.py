@@ -34,11 +34,15 @@ def con():
     return c
 
 
-def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+#: Queries of the reference's own operators; the others have tests beside them.
+OWN = sorted(n for n in E.queries() if n.startswith("q_"))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_every_own_query_has_sql():
+    assert set(OWN) <= set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, con, name):
     df = E.queries()[name](spark, SF_DIR)
     got, gcols = _rows(df.columns, [tuple(r) for r in df.collect()])
