@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from landflow.llm.columns import plain
 from landflow.session import materialize
 
 #: Relative weights of the sources in code point order, repeating.
@@ -114,12 +115,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
 def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
     sized = materialize(_sized(docs), "mix-sizes")
-    t = thresholds(sized, weights, most).select(F.col("source").alias("__s"), "epochs", "below")
-    copies = F.col("__t.epochs") + (_hash(F.col("doc_id"), F.col("text")) < F.col("__t.below")).cast("long")
-    joined = docs.join(t.select("__s", F.struct("epochs", "below").alias("__t")), F.col("source").eqNullSafe(F.col("__s")))
-    return (joined.where(n_words(F.col("text")) > 0)
-            .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    safe = plain(docs)
+    t = thresholds(sized, weights, most).select(F.col("source").alias("of"), F.struct("epochs", "below").alias("cut"))
+    copies = F.col("cut.epochs") + (_hash(F.col("doc_id"), F.col("text")) < F.col("cut.below")).cast("long")
+    joined = safe.join(t, F.col("source").eqNullSafe(F.col("of"))).where(n_words(F.col("text")) > 0)
+    return joined.withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int")))).select(*safe.columns).toDF(*docs.columns)
 
 
 ORACLE = r"""

@@ -9,14 +9,18 @@ its own; nodes that share a prefix of three values form a region:
 2. a region whose nodes are then all one component needs nothing more. In each
    other one, if at most ``SMALL`` nodes lie beside its largest component, they
    are compared with all nodes of other components there;
-3. the nodes of all other regions are settled exactly, whatever region they share:
-   candidates are the pairs of different components that share one of their
-   rarest shingles at places which leave enough for the threshold.
+3. the nodes of crowded regions are sorted by their whole signature order, in
+   ``ORDERS`` orders. Neighbours of one component form a run; a run's candidates
+   are the next ``BESIDE`` runs of its region, which share the longest prefixes
+   with it: the depth follows the crowd. Links merge components, so runs grow and
+   come to meet others; rounds go on until a round finds no link.
 
 Links are confirmed on whole sets; estimates from signatures only drop
 candidates more than five standard deviations under the threshold. Sixteen
 trees at depth three miss a pair at the threshold with probability 0.0002,
-and less often above it, in crowded regions too.
+and less often above it. In a crowded region a pair of its own, close to nothing
+else above the threshold, must come to lie beside each other in one of the
+orders: README has the measured recall. Work stays linear in the crowd.
 
 Cases: a null or blank text has no shingles and is linked with nothing; equal
 texts and repeated rows are one component; a null doc_id is ignored as a
@@ -34,15 +38,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landflow.llm.columns import plain
 from landflow.session import bounded_broadcast, materialize
 
 WORDS, VALUES, TREES = 5, 128, 16
-#: Prefix length of regions.
-DEPTHS = (3,)
+#: Prefix length of regions, and of the orders in which crowded ones are sorted.
+DEPTH, LONGEST = 3, 20
 #: Nodes beside a region's largest component that are compared with all others in it.
 SMALL = 12
-#: Most larger sets of a shingle, about, that meet the smaller ones in one block.
-BLOCK = 4096
+#: Orders of crowded nodes, and following runs that a run is compared with.
+ORDERS, BESIDE = 64, 8
 #: Equal signature values under which a candidate is dropped: 0.55 of them.
 LEAST_EQUAL = 70
 _RNG = np.random.default_rng(97)
@@ -169,42 +174,67 @@ def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _postings(crowd: DataFrame, sets: DataFrame) -> DataFrame:
-    """s, node, label, n, i: the shingles at the first n / 4 + 1 places i of each
-    set of n, rare ones first. Two sets that pass the threshold share one of the
-    first n / 7 + 1 of the smaller and the first n / 4 + 1 of the larger."""
-    each = sets.join(crowd, "node", "left_semi").dropDuplicates(["node"]).select("node", F.explode("s").alias("s"))
-    # any one order is right; rare first makes the fewest pairs
-    often = bounded_broadcast(each.groupBy("s").agg(F.count("*").alias("c")).where("c > 4"))
-    order = each.join(often, "s", "left").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "s"))).alias("o"))
-    n = F.size("o")
-    first = order.select("node", n.alias("n"), F.slice("o", F.lit(1), F.floor(n / 4).cast("int") + 1).alias("o"))
-    return first.join(crowd, "node").select("node", "label", "n", F.posexplode("o").alias("i", "x")).select(
-        "x.s", "node", "label", "n", "i")
-
-
-def _settle(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The labels when no two components are left that a link between nodes of
-    ``crowd`` (node, key) joins."""
-    crowd = materialize(_named(crowd.select("node").distinct(), labels), "crowd")
-    posts = materialize(_postings(crowd, _whole(crowd, nodes, docs)), "postings")
-    by = posts.groupBy("s", "label").agg(F.count("*").alias("c")).groupBy("s").agg(
-        F.sum("c").alias("f"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
-    shared = by.where("labels > 1").select("s", F.ceil(F.col("f") / BLOCK).alias("blocks"), F.col("top.label").alias("main"))
-    posts = materialize(posts.join(shared, "s").withColumn("beside", F.col("label") != F.col("main")), "shared")
-    # each smaller set meets all blocks of a shingle's larger ones
-    part = lambda c, block: posts.select("s", block.alias("block"), *[F.col(x).alias(x + c) for x in ("node", "label", "n", "i", "beside")])
-    x = part("_x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("7 * i_x <= n_x")
-    y = part("_y", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    met = ("label_x != label_y and (n_x < n_y or n_x = n_y and node_x < node_y) and 4 * n_x >= 3 * n_y"
-           " and 7 * least(n_x - i_x, n_y - i_y) >= 3 * (n_x + n_y)")
-    # a shingle's largest component meets only the nodes beside it
-    pairs = x.where("beside_x").join(y, ["s", "block"]).where(met).unionByName(
-        x.where("not beside_x").join(y.where("beside_y"), ["s", "block"]).where(met))
-    found = _verified(materialize(pairs.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct(),
-                                  "pairs"), nodes, docs)
-    return labels if found.isEmpty() else components(materialize(links.unionByName(found), "links"))
+def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, node, label: each node's place in every order. A key is the order's
+    number and the signature from the order's start, as bytes that sort alike."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1000):
+            part = batch.slice(lo, 1000)
+            sig = np.array(part["sig"].to_pylist(), np.int32).reshape(-1, VALUES).view(np.uint32).astype(">u4")
+            twice = np.concatenate([sig, sig], 1)
+            node, label = part["node"].to_numpy(), part["label"].to_numpy()
+            for t in range(ORDERS):
+                at = t * VALUES // ORDERS
+                heads = np.ascontiguousarray(twice[:, at:at + LONGEST])
+                yield pa.record_batch([pa.array([bytes([t]) + h.tobytes() for h in heads], pa.binary()), pa.array(node), pa.array(label)],
+                                      ["key", "node", "label"])
+
+
+def _neighbours(depth: int):
+    return lambda batches: _candidates(batches, 1 + 4 * depth)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], head_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Candidates among sorted keys: the end of a run of one component with the
+    starts of the runs after it, within a region (the heads of keys)."""
+    region, runs, pairs = None, [], set()  # runs: [label, last node], latest last
+
+    def out() -> pa.RecordBatch:
+        got = pa.record_batch([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
+        pairs.clear()
+        return got
+
+    for batch in batches:
+        for key, node, label in zip(*(batch[c].to_pylist() for c in ("key", "node", "label"))):
+            head = key[:head_bytes]
+            if head != region:
+                region, runs = head, []
+            if runs and runs[-1][0] == label:
+                runs[-1][1] = node
+                continue
+            pairs.update((min(node, n), max(node, n)) for other, n in runs if other != label)
+            runs = [*runs[1 - BESIDE:], [label, node]]
+        if len(pairs) >= 200_000:
+            yield out()
+    yield out()
+
+
+def _deepen(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The labels after rounds over the sorted orders of the nodes of ``crowd``."""
+    mine = materialize(nodes.join(crowd.select("node").distinct(), "node", "left_semi").select("node", "sig"), "crowd")
+    parts = max(mine.sparkSession.sparkContext.defaultParallelism, -(-mine.count() * ORDERS // 500_000))
+    tested = None
+    while True:
+        keys = materialize(_named(mine, labels).mapInArrow(_ordered, "key binary, node long, label long"), "orders")
+        pairs = keys.repartitionByRange(int(parts), "key", "node").sortWithinPartitions("key", "node").mapInArrow(
+            _neighbours(DEPTH), "a long, b long").distinct()
+        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = _verified(pairs, nodes, docs)
+        if found.isEmpty():
+            return labels
+        tested = materialize(pairs if tested is None else tested.unionByName(pairs), "tested")
+        links = materialize(links.unionByName(found), "links")
+        labels = components(links)
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -213,7 +243,7 @@ def _placed(docs: DataFrame) -> DataFrame:
         _signed, "doc_id long, h long, n_shingles long, node long, sig array<int>"), "signed")
     nodes = materialize(signed.where("node is not null").groupBy("node").agg(
         F.min(_id()).alias("rep"), F.first("sig").alias("sig")), "nodes")
-    rows = materialize(_rows(nodes, DEPTHS[0]), "forest")
+    rows = materialize(_rows(nodes, DEPTH), "forest")
     regions = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     links = _verified(materialize(_stars(rows, regions).distinct(), "stars"), nodes, docs)
     labels = components(links)
@@ -233,7 +263,7 @@ def _placed(docs: DataFrame) -> DataFrame:
         labels = components(links)
     crowd = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi").select("node", "key")
     if not crowd.isEmpty():
-        labels = _settle(crowd, links, labels, nodes, docs)
+        labels = _deepen(crowd, links, labels, nodes, docs)
     return signed.select("doc_id", "h", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
@@ -254,10 +284,12 @@ def without_copies(docs: DataFrame) -> DataFrame:
     texts = materialize(_placed(docs).where("node is not null").groupBy("label", id_.alias("id")).agg(F.count("*").alias("c")), "texts")
     best = texts.groupBy("label").agg(F.min("id").alias("best"))
     told = materialize(texts.join(best, "label").select("id.doc_id", "id.h", (F.col("id") == F.col("best")).alias("best"), "c"), "told")
+    safe = plain(docs)
     own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"))
-    row = lambda t: t.select(F.struct("doc_id", "h").alias("__row"))
-    on = own.eqNullSafe(F.col("__row"))
-    single = docs.join(row(told.where("not best or c > 1")), on, "left_anti")
-    repeated = docs.join(row(told.where("best and c > 1")), on, "left_semi")
-    once = repeated.groupBy(own.alias("__row")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
-    return single.unionByName(once)
+    row = lambda t: t.select(F.struct("doc_id", "h").alias("row_key"))
+    on = own.eqNullSafe(F.col("row_key"))
+    single = safe.join(row(told.where("not best or c > 1")), on, "left_anti")
+    repeated = safe.join(row(told.where("best and c > 1")), on, "left_semi").withColumn("row_all", F.struct(*safe.columns))
+    # as text: maps have no order of their own
+    once = repeated.groupBy(own.alias("row_key")).agg(F.min_by("row_all", F.to_json("row_all")).alias("r")).select("r.*")
+    return single.unionByName(once).toDF(*docs.columns)

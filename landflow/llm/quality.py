@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landflow.llm.columns import plain
 from landflow.session import bounded_broadcast, materialize
 
 #: Least words, and the most percent of words in repeated 5-word windows.
@@ -169,6 +170,7 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
 
 def passed(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    bad = judge(docs, cutoff).where(~F.col("kept")).select(F.struct("doc_id", "h").alias("__row")).distinct()
+    safe = plain(docs)
+    bad = judge(safe, cutoff).where(~F.col("kept")).select(F.struct("doc_id", "h").alias("row_key")).distinct()
     own = F.struct(F.col("doc_id"), F.xxhash64("text", "lang", "source").alias("h"))
-    return docs.join(bad, own.eqNullSafe(F.col("__row")), "left_anti")
+    return safe.join(bad, own.eqNullSafe(F.col("row_key")), "left_anti").toDF(*docs.columns)

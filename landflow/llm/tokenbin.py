@@ -23,17 +23,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landflow.llm.files import opened, put
-from landflow.llm.tokens import encoder, tokenizer_path
+from landflow.llm.tokens import encoder, tokenizer_path, vocabulary_size
 from landflow.session import materialize, scratch_path
 
 MAGIC = b"TIDS0001"
-VOCABULARY, VOCABULARY_SIZE, END = "word_bpe_49k.json", 49_408, 2
+VOCABULARY, END = "word_bpe_49k.json", 2
+#: Bytes of encoded chunks that a worker keeps (nothing else runs beside it).
+CACHE_BYTES = 448 << 20
 #: Ids per block, and ids after which a new file is begun (bounds a task's memory).
 BLOCK, FILE_IDS = 8192, 8_000_000
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
-    """Ids in ``bits`` bits each, most significant first, padded to a byte."""
+    """Ids in ``bits`` bits each, most significant first, padded to a byte; an id
+    that needs more bits is refused."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {int(ids.max())} doesn't fit {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f">u{bits // 8}").tobytes()
     planes = (ids[:, None] >> np.arange(bits - 1, -1, -1, dtype=np.uint32)) & 1
@@ -88,12 +93,15 @@ class TokenFile:
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, end: int = END,
-                 size: int = VOCABULARY_SIZE, block: int = BLOCK, file_ids: int = FILE_IDS) -> DataFrame:
-    """Write the files in doc_id order; a row (part, file, path, ids) for each."""
-    path, bits = vocabulary or tokenizer_path(VOCABULARY), max(1, (size - 1).bit_length())
+                 size: int | None = None, block: int = BLOCK, file_ids: int = FILE_IDS) -> DataFrame:
+    """Write the files in doc_id order; a row (part, file, path, ids) for each.
+    The bits of an id come from the vocabulary's ``size``, that of the tokenizer
+    unless it is given."""
+    path = vocabulary or tokenizer_path(VOCABULARY)
+    bits = max(1, max(end, (size or vocabulary_size(path)) - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, tail = encoder(path), np.array([end], "<u4").tobytes()
+        enc, tail = encoder(path, CACHE_BYTES), np.array([end], "<u4").tobytes()
         part, made, held, total = TaskContext.get().partitionId(), 0, [], 0
 
         def flush() -> pa.RecordBatch:

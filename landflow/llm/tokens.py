@@ -28,8 +28,9 @@ _ODD = re.compile(
 # Trailing sentence marks are pre-tokens of their own after a letter.
 _TAIL = re.compile(r"(?s)(.*[A-Za-z])([.,;:!?]+)\Z")
 
-#: Distinct chunks a worker keeps; beyond it new chunks are encoded, not kept.
-CACHE_ENTRIES = 2_000_000
+#: Bytes of distinct chunks that a worker keeps, about; beyond it new chunks are
+#: encoded, not kept. A chunk takes some 210 bytes beside its text and ids.
+CACHE_BYTES, ENTRY_BYTES = 192 << 20, 210
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,15 +40,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id of a tokenizer."""
+    from tokenizers import Tokenizer
+
+    return 1 + max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
+
+
 class ChunkEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES) -> None:
+    def __init__(self, path: str, most: int = CACHE_BYTES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.entries = entries
+        self.left = most
         self.cache: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -73,8 +81,10 @@ class ChunkEncoder:
             got[p] = array("I", e.ids).tobytes()
         for p, (a, b) in split.items():
             got[p] = (got.get(a) or cache.get(a, b"")) + (got.get(b) or cache.get(b, b""))
-        if len(cache) + len(got) <= self.entries:
+        size = sum(map(len, got)) + sum(map(len, got.values())) + ENTRY_BYTES * len(got)
+        if size <= self.left:
             cache.update(got)
+            self.left -= size
         return got
 
     @staticmethod
@@ -117,10 +127,12 @@ class ChunkEncoder:
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder per worker and vocabulary; its cache outlives a task."""
+def encoder(path: str, most: int = CACHE_BYTES) -> ChunkEncoder:
+    """One encoder per worker, the one of the vocabulary used last; its cache
+    outlives a task."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS.clear()
+        _ENCODERS[path] = ChunkEncoder(path, most)
     return _ENCODERS[path]
 
 

@@ -108,8 +108,8 @@ def test_near_duplicates_pairs_of_one_template(spark):
 
 
 def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
-    """Regions that stay crowded at the greatest depth are still settled whole."""
-    monkeypatch.setattr(neardup, "DEPTHS", (1,))
+    """Crowded regions are compared in all their orders, in rounds."""
+    monkeypatch.setattr(neardup, "DEPTH", 1)
     monkeypatch.setattr(neardup, "SMALL", 2)
     rng = np.random.default_rng(5)
     shared, rows = [f"s{i}" for i in range(60)], []
@@ -122,8 +122,8 @@ def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
             rows.append((3 * base + copy, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     settled = []
-    settle = neardup._settle
-    monkeypatch.setattr(neardup, "_settle", lambda crowd, *rest: settled.append(crowd.count()) or settle(crowd, *rest))
+    deepen = neardup._deepen
+    monkeypatch.setattr(neardup, "_deepen", lambda crowd, *rest: settled.append(crowd.count()) or deepen(crowd, *rest))
     check_components(rows := df.collect(), neardup.near_duplicates(df).collect())
     assert settled and settled[0] > len(rows)
 
@@ -174,7 +174,7 @@ def test_encoder_equals_library():
     r = random.Random(5)
     parts = ["foo", "Bar", "don't", "'s", "..", "!?", "1234", "é", "\n", " ", "  ", "x,", "<|endoftext|>", "\t", "İ", "日本", "...\n", "\x00", " "]
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
-        e = tokens.ChunkEncoder(tokens.tokenizer_path(name), entries=50)
+        e = tokens.ChunkEncoder(tokens.tokenizer_path(name), most=50 * tokens.ENTRY_BYTES)
         for _ in range(1500):
             s = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
             assert e.ids(s) == e.whole(s), s
@@ -186,6 +186,32 @@ def test_bits(bits):
     assert (tokenbin.unpack_bits(tokenbin.pack_bits(ids, bits), 1000, bits) == ids).all()
 
 
+def test_larger_ids_are_refused():
+    with pytest.raises(ValueError, match="70000"):
+        tokenbin.pack_bits(np.array([1, 70_000], "<u4"), 16)
+    assert tokens.vocabulary_size(tokens.tokenizer_path(tokenbin.VOCABULARY)) <= 1 << 16
+
+
+def test_encoder_cache_is_bounded_in_bytes():
+    e = tokens.ChunkEncoder(tokens.tokenizer_path("byte_bpe_50k.json"), most=5000)
+    text = " ".join(f"word{i}" for i in range(400))
+    assert e.ids(text) == e.whole(text) and e.left >= 0 and len(e.cache) < 25
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, docs):
+    """Columns named like the stages' own come out of every stage as they went in."""
+    extra = [F.lit(0.25).alias("score"), F.lit(9).alias("predicted"), F.lit("h").alias("held_out"), F.lit(1).alias("a.b"), F.lit(2).alias("__row"),
+             F.lit(3).alias("__s"), F.create_map(F.lit("k"), F.col("doc_id")).alias("tags"), F.lit("n").alias("node"), F.lit(5).alias("own3")]
+    rows = docs.select("*", *extra).limit(60)
+    rows = rows.unionByName(rows.limit(5))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, SF)
+        assert out.columns == rows.columns and out.dtypes == rows.dtypes, name
+        got = out.collect()
+        assert got and all((r["score"], r["predicted"], r["held_out"], r["a.b"], r["__row"], r["__s"], r["tags"], r["own3"]) ==
+                           (0.25, 9, "h", 1, 2, 3, {"k": r.doc_id}, 5) for r in got), name
+
+
 def test_token_file_random_access(tmp_path):
     rng = np.random.default_rng(0)
     docs = [(i, rng.integers(0, 5000, int(rng.integers(1, 900))).astype("<u4").tobytes()) for i in range(50)]
