@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from landflow.llm import mixing, neardup, packing, quality, toxicity
-from landflow.session import configure, materialize
+from landflow.llm.columns import plain
+from landflow.session import configure, materialize, release
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.5 or more go."""
-    own = docs.columns
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("predicted = 0").select(own)
+    safe = plain(docs)  # a score column of the user's own stays as it is
+    model = toxicity.fit(safe, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(safe, model).where("predicted = 0").select(*safe.columns).toDF(*docs.columns)
 
 
 def drop_outliers(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,4 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release()  # the stage's small cached sides
     return docs
