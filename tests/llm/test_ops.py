@@ -203,7 +203,7 @@ def test_pipeline_keeps_columns_of_any_name(spark, docs):
     extra = [F.lit(0.25).alias("score"), F.lit(9).alias("predicted"), F.lit("h").alias("held_out"), F.lit(1).alias("a.b"), F.lit(2).alias("__row"),
              F.lit(3).alias("__s"), F.create_map(F.lit("k"), F.col("doc_id")).alias("tags"), F.lit("n").alias("node"), F.lit(5).alias("own3")]
     rows = docs.select("*", *extra).limit(60)
-    rows = rows.unionByName(rows.limit(5))
+    rows = neardup.materialize(rows.unionByName(rows.limit(5)), "rows")  # stages read written tables
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, rows, SF)
         assert out.columns == rows.columns and out.dtypes == rows.dtypes, name
