@@ -6,14 +6,12 @@ its own; nodes that share a prefix of three values form a region:
 
 1. every node of a region is a candidate of the region's smallest node; the
    candidates whose sets pass ``100 * common >= 75 * union`` are links;
-2. a region whose nodes are then all one component needs nothing more. In each
-   other one, if at most ``SMALL`` nodes lie beside its largest component, they
-   are compared with all nodes of other components there;
-3. the nodes of crowded regions are sorted by their whole signature order, in
-   ``ORDERS`` orders. Neighbours of one component form a run; a run's candidates
-   are the next ``BESIDE`` runs of its region, which share the longest prefixes
-   with it: the depth follows the crowd. Links merge components, so runs grow and
-   come to meet others; rounds go on until a round finds no link.
+2. a region whose nodes are then all one component needs nothing more. The nodes
+   of all others are sorted by their whole signature order, in ``ORDERS`` orders.
+   Neighbours of one component form a run; a run's candidates are the next
+   ``BESIDE`` runs of its region, which share the longest prefixes with it: the
+   depth follows the crowd. Links merge components, so runs grow and come to meet
+   others; rounds go on until a round finds no link.
 
 Links are confirmed on whole sets; estimates from signatures only drop
 candidates more than five standard deviations under the threshold. Sixteen
@@ -43,10 +41,8 @@ from landflow.session import bounded_broadcast, materialize
 
 WORDS, VALUES, TREES = 5, 128, 16
 #: Prefix length of regions, and of the orders in which crowded ones are sorted.
-DEPTH, LONGEST = 3, 20
-#: Nodes beside a region's largest component that are compared with all others in it.
-SMALL = 12
-#: Orders of crowded nodes, and following runs that a run is compared with.
+DEPTH, LONGEST = 3, 12
+#: Orders of the nodes of open regions, and following runs that a run is compared with.
 ORDERS, BESIDE = 64, 8
 #: Equal signature values under which a candidate is dropped: 0.55 of them.
 LEAST_EQUAL = 70
@@ -175,19 +171,21 @@ def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, node, label: each node's place in every order. A key is the order's
-    number and the signature from the order's start, as bytes that sort alike."""
+    """key, node, label, low: each node's place in every order. A key is the order's
+    number and the signature from the order's start, as bytes that sort alike;
+    ``low`` has the lowest four bits of each signature value."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 1000):
             part = batch.slice(lo, 1000)
-            sig = np.array(part["sig"].to_pylist(), np.int32).reshape(-1, VALUES).view(np.uint32).astype(">u4")
-            twice = np.concatenate([sig, sig], 1)
-            node, label = part["node"].to_numpy(), part["label"].to_numpy()
+            sig = np.array(part["sig"].to_pylist(), np.int32).reshape(-1, VALUES).view(np.uint32)
+            bits = sig.astype(np.uint8) & 15
+            low = pa.array([x.tobytes() for x in bits[:, ::2] << 4 | bits[:, 1::2]], pa.binary())
+            twice = np.concatenate([sig, sig], 1).astype(">u4")
             for t in range(ORDERS):
                 at = t * VALUES // ORDERS
                 heads = np.ascontiguousarray(twice[:, at:at + LONGEST])
-                yield pa.record_batch([pa.array([bytes([t]) + h.tobytes() for h in heads], pa.binary()), pa.array(node), pa.array(label)],
-                                      ["key", "node", "label"])
+                yield pa.record_batch([pa.array([bytes([t]) + h.tobytes() for h in heads], pa.binary()), part["node"], part["label"], low],
+                                      ["key", "node", "label", "low"])
 
 
 def _neighbours(depth: int):
@@ -196,27 +194,36 @@ def _neighbours(depth: int):
 
 def _candidates(batches: Iterator[pa.RecordBatch], head_bytes: int) -> Iterator[pa.RecordBatch]:
     """Candidates among sorted keys: the end of a run of one component with the
-    starts of the runs after it, within a region (the heads of keys)."""
-    region, runs, pairs = None, [], set()  # runs: [label, last node], latest last
-
-    def out() -> pa.RecordBatch:
-        got = pa.record_batch([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
-        pairs.clear()
-        return got
-
+    starts of the runs after it, within a region (the heads of keys). Pairs whose
+    lowest bits agree in too few values are not (equal values agree in them)."""
+    region, runs, rows = None, [], []  # runs: [label, place of its last row], latest last
     for batch in batches:
-        for key, node, label in zip(*(batch[c].to_pylist() for c in ("key", "node", "label"))):
-            head = key[:head_bytes]
-            if head != region:
+        # rows: node and low bits of those that runs still point at, then the batch's
+        rows, runs = [rows[at] for _, at in runs], [[label, k] for k, (label, _) in enumerate(runs)]
+        left, right = [], []
+        for key, node, label, low in zip(*(batch[c].to_pylist() for c in ("key", "node", "label", "low"))):
+            rows.append((node, low))
+            here = len(rows) - 1
+            if (head := key[:head_bytes]) != region:
                 region, runs = head, []
             if runs and runs[-1][0] == label:
-                runs[-1][1] = node
+                runs[-1][1] = here
                 continue
-            pairs.update((min(node, n), max(node, n)) for other, n in runs if other != label)
-            runs = [*runs[1 - BESIDE:], [label, node]]
-        if len(pairs) >= 200_000:
-            yield out()
-    yield out()
+            for other, at in runs:
+                if other != label:
+                    left.append(at)
+                    right.append(here)
+            runs = [*runs[1 - BESIDE:], [label, here]]
+        packed = np.frombuffer(b"".join(low for _, low in rows), np.uint8).reshape(-1, VALUES // 2)
+        node, i, j = np.array([n for n, _ in rows], np.int64), np.array(left, np.int64), np.array(right, np.int64)
+        keep = []
+        for lo in range(0, len(i), 20_000):
+            differ = packed[i[lo:lo + 20_000]] ^ packed[j[lo:lo + 20_000]]
+            keep.append(((differ < 16).sum(1) + (differ & 15 == 0).sum(1)) >= LEAST_EQUAL)
+        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+        pairs = np.sort(np.stack([node[i[keep]], node[j[keep]]], 1), axis=1)
+        pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
+        yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
 
 def _deepen(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -225,7 +232,7 @@ def _deepen(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFr
     parts = max(mine.sparkSession.sparkContext.defaultParallelism, -(-mine.count() * ORDERS // 500_000))
     tested = None
     while True:
-        keys = materialize(_named(mine, labels).mapInArrow(_ordered, "key binary, node long, label long"), "orders")
+        keys = _named(mine, labels).mapInArrow(_ordered, "key binary, node long, label long, low binary")
         pairs = keys.repartitionByRange(int(parts), "key", "node").sortWithinPartitions("key", "node").mapInArrow(
             _neighbours(DEPTH), "a long, b long").distinct()
         pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -248,20 +255,10 @@ def _placed(docs: DataFrame) -> DataFrame:
     links = _verified(materialize(_stars(rows, regions).distinct(), "stars"), nodes, docs)
     labels = components(links)
 
-    # regions of several components: the commonest label, and the nodes beside it;
-    # two nodes are settled by their one pair
+    # regions of several components; two nodes are settled by their one pair
     front = materialize(_named(rows.join(regions.where("n > 2").select("key"), "key", "left_semi"), labels), "front")
-    by = front.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(
-        F.sum("c").alias("n"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"))
-    open_ = materialize(by.where("labels > 1").select("key", (F.col("n") - F.col("top.c")).alias("beside"), F.col("top.label").alias("main")), "open")
-    beside = front.join(open_.where(F.col("beside") <= SMALL), "key").where("label != main").select(
-        "key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    pairs = front.join(beside, "key").where("label != lb").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-    again = _verified(materialize(pairs.distinct(), "pairs"), nodes, docs)
-    if not again.isEmpty():
-        links = materialize(links.unionByName(again), "links")
-        labels = components(links)
-    crowd = front.join(open_.where(F.col("beside") > SMALL).select("key"), "key", "left_semi").select("node", "key")
+    open_ = front.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    crowd = materialize(front.join(open_, "key", "left_semi").select("node").distinct(), "open")
     if not crowd.isEmpty():
         labels = _deepen(crowd, links, labels, nodes, docs)
     return signed.select("doc_id", "h", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
