@@ -501,5 +501,5 @@ def test_pipeline(spark, docs, tmp_path, monkeypatch):
 
 
 def test_registered(spark):
-    assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))[-1].startswith("op10_")
-    assert len(queries.QUERIES) == 10
+    assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))[-1].startswith("op13_")
+    assert len(queries.QUERIES) == 13
