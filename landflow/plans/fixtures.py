@@ -36,14 +36,14 @@ def s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def land(pages: DataFrame, name: str = "landing", dialect=None) -> DataFrame:
+def land(pages: DataFrame, name: str = "landing", dialect=None, count_items: bool = False) -> DataFrame:
     """Write built pages once to the shared folder (compacted Parquet
     landing) and read them back with ``read_pages``: every later pass reads
     files instead of rebuilding the pages. With ``dialect`` the envelope
     facts are landed as columns too."""
     spark = pages.sparkSession
     path = scratch_path(spark, name, track=True)
-    write_pages(pages, path, fmt="parquet", dialect=dialect)
+    write_pages(pages, path, fmt="parquet", dialect=dialect, count_items=count_items)
     return spread(read_pages(spark, path, fmt="parquet"))
 
 

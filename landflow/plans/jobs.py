@@ -2,8 +2,9 @@
 source's scheduled runs (which tables, which empty policy, which day).
 
 Landing layout: one folder of page lines per endpoint family under a root
-(names in ``LANDING``). Item contracts are declared (DDL per family) or,
-when absent, inferred from the landed items in one distributed aggregate.
+(names in ``LANDING``). Item contracts are declared (DDL per family) or, when
+absent, inferred once per run in one distributed aggregate over its complete
+chains and merged with those of earlier runs (``contract_store``).
 
     python -m landflow.plans.jobs activity --landing /lake/landing --table activity_events [--day 2024-01-15]
 """
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from landflow.functions.scalars import run_day
-from landflow.operators.aggregates import infer_item_schema
 from landflow.plans import pipelines as TP
+from landflow.plans.contract_store import Contracts, declared_types, sketch_from_inferred
 from landflow.session import configure, release
 from landflow.sinks.tables import write_full_refresh
-from landflow.sources.pages import ODATA, SETTINGS, Dialect, malformed_lines, read_pages, unnest_pages
+from landflow.sources.pages import ODATA, SETTINGS, malformed_lines, read_pages
 from landflow.sources.runs import latest_run, of_run
 
 # Landing folder per endpoint family.
@@ -44,28 +44,9 @@ LANDING = {
 
 
 def contract_from_inferred(ddl: str) -> StructType:
-    """The inferred variant type of the items as a Spark struct: objects become
-    structs, keys that only held null become text, and decimals, whose inferred
-    size follows the values of one run, become double. Only types are rewritten:
-    a type follows ``: `` or ``ARRAY<``, and quoted keys are left alone."""
-    fixed = {"OBJECT<": "STRUCT<", "VOID": "STRING"}
-    parts = re.split(r"(`(?:[^`]|``)*`)", ddl)
-    for i in range(0, len(parts), 2):
-        parts[i] = re.sub(r"(?:(?<=: )|(?<=ARRAY<)|^(?=OBJECT<))(OBJECT<|VOID|DECIMAL\(\d+, *\d+\))",
-                          lambda m: fixed.get(m[1], "DOUBLE"), parts[i])
-    text = "".join(parts)
-    if not text.startswith("STRUCT<"):
-        raise ValueError(f"items are not objects: {ddl}")
-    return StructType.fromDDL(text[len("STRUCT<"):-1])
-
-
-def contract(pages: DataFrame, dialect: Dialect, declared: StructType | str | None) -> StructType:
-    """The declared contract, or one inferred from the landed items."""
-    if isinstance(declared, StructType):
-        return declared
-    if isinstance(declared, str):
-        return StructType.fromDDL(declared)
-    return contract_from_inferred(infer_item_schema(unnest_pages(pages, dialect)))
+    """The inferred variant type of the items as a Spark struct; keys that only
+    held null become text."""
+    return declared_types(sketch_from_inferred(ddl))
 
 
 def _folder(landing: str, family: str) -> str:
@@ -127,8 +108,10 @@ def metadata_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SC
     run = run if run is not None else latest_run(*p.values())
     p = {f: of_run(pages, run) for f, pages in p.items()}  # contracts come from this run too
 
+    store = Contracts(spark, schema)
+
     def c(family: str) -> StructType:
-        return contract(p[family], ODATA, contracts.get(family))
+        return store.of(family, p[family], ODATA, run, contracts.get(family))
 
     tables: dict[str, DataFrame] = {}
     try:
@@ -144,7 +127,9 @@ def metadata_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SC
             reports = ws["reports"].select("workspace_id", "id", "name")
             tables.update(TP.build_access(*[p[f] for f in access], reports, {f: c(f) for f in access}, run_ts, include_access=True))
         _keep_malformed(spark, landing, schema, there, malformed)
-        return TP.save_metadata(tables, schema)
+        rows = TP.save_metadata(tables, schema)
+        store.save()
+        return rows
     finally:
         release(drop_files=True)
 
@@ -156,11 +141,15 @@ def settings_job(spark: SparkSession, landing: str, schema: str = TP.METADATA_SC
     table replaces the stored one with an empty table."""
     configure(spark)
     pages = _pages(spark, landing, "tenant_settings", malformed)
-    pages = of_run(pages, run if run is not None else latest_run(pages))
+    run = run if run is not None else latest_run(pages)
+    pages = of_run(pages, run)
+    store = Contracts(spark, schema)
     try:
-        tables = TP.build_settings(pages, contract(pages, SETTINGS, declared), run_ts or _now_utc())
+        tables = TP.build_settings(pages, store.of("tenant_settings", pages, SETTINGS, run, declared), run_ts or _now_utc())
         _keep_malformed(spark, landing, schema, ["tenant_settings"], malformed)
-        return TP.save_settings(tables, schema)
+        rows = TP.save_settings(tables, schema)
+        store.save()
+        return rows
     finally:
         release(drop_files=True)
 
@@ -174,13 +163,17 @@ def dataflow_sources_job(spark: SparkSession, landing: str, schema: str = TP.MET
     ``dataflow_sources_quarantine``."""
     configure(spark)
     pages = _pages(spark, landing, "dataflow_datasources", malformed)
-    pages = of_run(pages, run if run is not None else latest_run(pages))
+    run = run if run is not None else latest_run(pages)
+    pages = of_run(pages, run)
+    store = Contracts(spark, schema)
     try:
         out, quarantine = TP.build_dataflow_sources(spark, f"{schema}.dataflows", pages,
-                                                    contract(pages, ODATA, declared), run_ts or _now_utc())
+                                                    store.of("dataflow_datasources", pages, ODATA, run, declared), run_ts or _now_utc())
         _keep_malformed(spark, landing, schema, ["dataflow_datasources"], malformed)
         write_full_refresh(quarantine, f"{schema}.dataflow_sources_quarantine", "replace")
-        return TP.save_dataflow_sources(out, schema)
+        rows = TP.save_dataflow_sources(out, schema)
+        store.save()
+        return rows
     finally:
         release(drop_files=True)
 

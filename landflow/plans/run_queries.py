@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from landflow.plans import contract_store as CS
 from landflow.plans import fixtures as FX
 from landflow.plans import pipelines as TP
 from landflow.plans.fixtures import DAY, RUN_TS, s, table
@@ -201,3 +203,90 @@ def q_malformed_lines(spark, sf_dir):
     table(spark, sf_dir, "orders").select(text.alias("value")).write.text(path)
     pages = PG.read_pages(spark, path, malformed="skip").select(F.lit("page").alias("kind"), F.col("request_key").alias("text"))
     return pages.unionByName(PG.malformed_lines(spark, path).select(F.col("reason").alias("kind"), "text"))
+
+
+# sets of tables -----------------------------------------------------------
+@query("q_save_tables_failed", """
+select 'nation' as table_name, n_nationkey as key, n_name as name from nation
+union all select 'region', r_regionkey, r_name || ' 2' from region
+""")
+def q_save_tables_failed(spark, sf_dir):
+    """A set whose second table fails stores none of its tables; one that was
+    staged whole is put in place by the next save."""
+    db = _scratch_schema(spark, "save_failed")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    SK.save_tables({"nation": nation, "region": region}, db)
+    broken = region.withColumn("r_name", F.when(F.col("r_regionkey") == 3, F.raise_error(F.lit("no answer")).cast("string")).otherwise(F.lit("x")))
+    try:
+        SK.save_tables({"nation": nation.withColumn("n_name", F.lit("x")), "region": broken}, db)
+        raise AssertionError("a failed table must end the save")
+    except PySparkException:
+        pass
+    SK.save_tables({"region": region.withColumn("r_name", F.concat("r_name", F.lit(" 2")))}, db)
+    return spark.read.table(f"{db}.nation").select(F.lit("nation").alias("table_name"), F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")).unionByName(
+        spark.read.table(f"{db}.region").select(F.lit("region").alias("table_name"), F.col("r_regionkey").alias("key"), F.col("r_name").alias("name")))
+
+
+# contracts ----------------------------------------------------------------
+@query("q_infer_item_schema", """
+with o as (select *, o_orderkey % 2 as run from orders where o_orderkey % 7 <> 0)
+select 'key' as path, 'bigint' as type, count(*) as orders from o having count(*) > 0
+union all select 'price', case when bool_or(run = 1) then 'double' else 'bigint' end, count(*) from o having count(*) > 0
+union all select 'code', case when count(distinct run) = 2 then 'string' when bool_or(run = 1) then 'string' else 'bigint' end, count(*) from o having count(*) > 0
+union all select 'customer.id', 'bigint', count(*) from o having count(*) > 0
+union all select 'customer.open', 'boolean', count(*) from o where run = 1 and o_orderstatus = 'O' having count(*) > 0
+union all select 'tags[]', 'string', count(*) from o where run = 0 having count(*) > 0
+union all select 'never', 'string', count(*) from o having count(*) > 0
+""")
+def q_infer_item_schema(spark, sf_dir):
+    """The contract merged from two runs of one family, each inferred from its
+    complete chains (others would add a key), with the rows that hold the leaf's
+    top key under it, or for a leaf of one run only those with a value."""
+    o = table(spark, sf_dir, "orders", cpu_heavy=True)
+    odd = F.col("o_orderkey") % 2 == 1
+    lost = F.col("o_orderkey") % 7 == 0
+    customer = F.concat(F.lit('{"id":'), s("o_custkey"), F.when(odd & (F.col("o_orderstatus") == "O"), F.lit(',"open":true')).otherwise(F.lit("")), F.lit("}"))
+    # the price carries a half, so that it is no whole number in any engine
+    body = F.concat(F.lit('{"value":[{"key":'), s("o_orderkey"), F.lit(',"price":'), s(F.floor("o_totalprice")), F.when(odd, F.lit(".5")).otherwise(F.lit("")),
+                    F.lit(',"code":'), F.when(odd, F.lit('"A"')).otherwise(F.lit("7")), F.lit(',"customer":'), customer,
+                    F.when(~odd, F.lit(',"tags":["x"]')).otherwise(F.lit("")), F.lit(',"never":null'),
+                    F.when(lost, F.lit(',"lost":1')).otherwise(F.lit("")), F.lit("}]"), F.when(lost, F.lit(',"@odata.nextLink":"/more"')).otherwise(F.lit("")), F.lit("}"))
+    pages = FX.land(o.select(F.concat(F.lit("orders/"), s("o_orderkey")).alias("request_key"), F.lit(0).cast("long").alias("page_no"),
+                             F.lit(200).alias("status"), body.alias("raw")), dialect=PG.ODATA)
+    number = F.regexp_extract("request_key", r"(\d+)$", 1).cast("bigint")
+    db = _scratch_schema(spark, "contracts")
+    for run in ("0", "1"):
+        store = CS.Contracts(spark, db)
+        contract = store.of("orders", pages.where(number % 2 == int(run)), PG.ODATA, run)
+        store.save()
+    kept = PG.unnest_pages(pages.where(number % 7 != 0), PG.ODATA)
+    paths = CS.type_paths(contract)
+    # '$.customer.open' of 'customer.open'; a list counts where it is there
+    held = [F.struct(F.lit(p).alias("path"), F.lit(t).alias("type"),
+                     F.count(F.lit(1)).alias("orders") if p == "never" else F.count(F.try_variant_get("item", "$." + p.replace("[]", ""), "variant")).alias("orders"))
+            for p, t in paths]
+    return kept.agg(F.array(*held).alias("held")).select(F.inline("held"))
+
+
+# items --------------------------------------------------------------------
+@query("q_unfit_items", """
+select 'item' as kind, l_orderkey as order_key, l_linenumber as line from lineitem where not (l_orderkey % 3 = 0 and l_linenumber = 1)
+union all
+select 'item can''t be held as VARIANT', l_orderkey, l_linenumber from lineitem where l_orderkey % 3 = 0 and l_linenumber = 1
+""")
+def q_unfit_items(spark, sf_dir):
+    """Bodies that no VARIANT holds, because one item repeats a key: their other
+    items, and the quarantine."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    twice = F.when((key % 3 == 0) & (line == 1), F.lit(',"line":1')).otherwise(F.lit(""))
+    item = F.concat(F.lit('{"order":'), s(key), F.lit(',"line":'), s(line), twice, F.lit("}"))
+    li = table(spark, sf_dir, "lineitem").select(key.alias("k"), (line / F.lit(4)).cast("long").alias("page_no"), item.alias("item"))
+    pages = li.groupBy(F.concat(F.lit("orders/"), s("k"), F.lit("/lines")).alias("request_key"), "page_no").agg(
+        F.concat(F.lit('{"value":['), F.array_join(F.collect_list("item"), ","), F.lit("]}")).alias("raw")).withColumn("status", F.lit(200))
+    landed = FX.land(pages)
+    items = PG.items_as(PG.unnest_pages(landed, PG.ODATA, unfit="skip"), "struct<order:bigint,line:bigint>")
+    lost = PG.unfit_items(landed, PG.ODATA)
+    number = lambda name: F.regexp_extract("item_text", f'"{name}":(\\d+)', 1).cast("bigint")
+    return items.select(F.lit("item").alias("kind"), F.col("order").alias("order_key"), F.col("line")).unionByName(
+        lost.select(F.col("reason").alias("kind"), number("order").alias("order_key"), number("line").alias("line")))

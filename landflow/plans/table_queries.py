@@ -413,3 +413,6 @@ def q_load_activity_day(spark, sf_dir):
     t = f"{_scratch_schema(spark, 'activity_one')}.activity_events"
     TP.load_activity_day(FX.land(FX.activity_pages(spark, sf_dir), dialect=ACTIVITY), t, RUN_TS, DAY)
     return _activity_columns(spark.read.table(t))
+
+
+from landflow.plans import run_queries  # noqa: E402,F401  (registers its queries)

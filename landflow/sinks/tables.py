@@ -96,19 +96,28 @@ def write_full_refresh(df: DataFrame, table: str, schema_mode: str = "strict",
     ``strict`` refuses a frame whose schema differs from the stored table's;
     ``replace`` takes the new schema; ``evolve`` takes ``evolved``'s. Do not read ``table`` in ``df``'s plan.
     """
-    spark = df.sparkSession
     db = _schema_of(table)
     if db:
-        ensure_schema(spark, db)
-    if schema_mode == "strict" and spark.catalog.tableExists(table):
-        stored = spark.read.table(table).schema
-        if not _same_schema(stored, df.schema):
-            raise ValueError(f"schema of {table} is {stored.simpleString()}, frame has {df.schema.simpleString()}")
-    elif schema_mode == "evolve":
-        if spark.catalog.tableExists(table):
-            df = evolved(df, spark.read.table(table).schema)
-    elif schema_mode not in ("strict", "replace"):
+        ensure_schema(df.sparkSession, db)
+    return _written(_fitted(df, table, schema_mode), table, fmt)
+
+
+def _fitted(df: DataFrame, table: str, schema_mode: str) -> DataFrame:
+    """``df`` as ``schema_mode`` lets it replace the stored ``table``."""
+    if schema_mode not in ("strict", "replace", "evolve"):
         raise ValueError(f"unknown schema mode {schema_mode!r}")
+    spark = df.sparkSession
+    if schema_mode == "replace" or not spark.catalog.tableExists(table):
+        return df
+    stored = spark.read.table(table).schema
+    if schema_mode == "evolve":
+        return evolved(df, stored)
+    if not _same_schema(stored, df.schema):
+        raise ValueError(f"schema of {table} is {stored.simpleString()}, frame has {df.schema.simpleString()}")
+    return df
+
+
+def _written(df: DataFrame, table: str, fmt: str) -> int:
     obs = Observation()
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).saveAsTable(table)
     return int(obs.get["rows"])
@@ -200,10 +209,43 @@ def replace_partition(df: DataFrame, table: str, part_col: str, value: str | Non
 
 
 # SK5 ----------------------------------------------------------------------
+STAGED, READY = "landflow_staged_", "landflow_staged"
+
+
+def _staged(spark: SparkSession, schema: str) -> list[str]:
+    """Names of the tables of a set that is written but not yet in place."""
+    found = spark.sql(f"SHOW TABLES IN {_quoted(schema)} LIKE '{STAGED}*'").select("tableName").collect()
+    return sorted(r["tableName"][len(STAGED):] for r in found)
+
+
+def finish_save(spark: SparkSession, schema: str) -> list[str]:
+    """Settle a set that an earlier ``save_tables`` left behind; returns the tables
+    put in place. A set written whole (its marker is there) is moved into place, a
+    set that wasn't is dropped. Repeating it changes nothing."""
+    ready = spark.catalog.tableExists(f"{schema}.{READY}")
+    names, db = _staged(spark, schema), _quoted(schema)
+    for name in names:
+        new = f"{db}.{_quoted(STAGED + name)}"
+        if ready:
+            spark.sql(f"DROP TABLE IF EXISTS {db}.{_quoted(name)}")
+            spark.sql(f"ALTER TABLE {new} RENAME TO {db}.{_quoted(name)}")
+        else:
+            spark.sql(f"DROP TABLE {new}")
+    spark.sql(f"DROP TABLE IF EXISTS {db}.{_quoted(READY)}")
+    return names if ready else []
+
+
 def save_tables(tables: dict[str, DataFrame], schema: str, policy: str = "skip",
                 schema_mode: str = "replace", shared: tuple[DataFrame, ...] = (),
                 fmt: str = "parquet") -> dict[str, int | None]:
-    """Save a set of tables in turn; the first error ends the run.
+    """Save a set of tables: all of them or none.
+
+    Every frame is written to a staged table first; an error in any of them (a
+    failed read, a refused schema, the ``stop`` policy) leaves every stored table
+    as it was. Then a marker is set and the staged tables are renamed into place. A
+    run that dies among the renames is finished, not undone, by the next
+    ``save_tables`` of the schema or by ``finish_save``: the new set is whole.
+    A rename moves a folder, which an object store does by copying it.
 
     Returns rows written per table (None when skipped). Frames in ``shared``
     (a parent parsed once and read by several tables) are persisted for the
@@ -216,6 +258,7 @@ def save_tables(tables: dict[str, DataFrame], schema: str, policy: str = "skip",
         return result
     spark = next(iter(tables.values())).sparkSession
     ensure_schema(spark, schema)
+    finish_save(spark, schema)
     for s in shared:
         s.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -224,8 +267,14 @@ def save_tables(tables: dict[str, DataFrame], schema: str, policy: str = "skip",
             if action == "skip":
                 result[name] = None
                 continue
-            result[name] = write_full_refresh(sink_cast(df), f"{schema}.{name}", schema_mode, fmt)
+            fitted = _fitted(sink_cast(df), f"{schema}.{name}", schema_mode)
+            result[name] = _written(fitted, f"{schema}.{STAGED}{name}", fmt)
+        spark.sql(f"CREATE TABLE {_quoted(schema)}.{_quoted(READY)} (at STRING) USING {fmt}")
+    except BaseException:
+        finish_save(spark, schema)
+        raise
     finally:
         for s in shared:
             s.unpersist()
+    finish_save(spark, schema)
     return result

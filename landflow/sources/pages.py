@@ -106,6 +106,8 @@ def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 ENVELOPE_COLUMNS = ("terminal", "valid")
+#: Items of a page, where the landing counted them.
+COUNT_COLUMN = "n_items"
 #: Partition columns of a landing that holds several runs or days.
 LANDING_COLUMNS = ("run_id", "day")
 
@@ -117,14 +119,20 @@ def page_columns(pages: DataFrame) -> list[str]:
     return base + [c for c in (*ENVELOPE_COLUMNS, *LANDING_COLUMNS) if c in pages.columns]
 
 
-def write_pages(pages: DataFrame, path: str, fmt: str = "json", dialect: Dialect | str | None = None) -> None:
+def write_pages(pages: DataFrame, path: str, fmt: str = "json", dialect: Dialect | str | None = None,
+                count_items: bool = False) -> None:
     """Land pages (the inverse of ``read_pages``). With ``dialect`` (columnar
     formats) the envelope facts are stored as columns ``terminal`` and
-    ``valid``, so the chain status never has to read the bodies again."""
+    ``valid``, so the chain status never has to read the bodies again;
+    ``count_items`` stores ``n_items`` too, for ``page_audit``."""
     cols = [F.col(f.name) for f in PAGE_SCHEMA.fields]
+    if count_items and dialect is None:
+        raise ValueError("items are counted under a dialect")
     if dialect is not None:
         env = light_envelope(F.col("raw"), dialect)
         cols += [env["terminal"].alias("terminal"), env["valid"].alias("valid")]
+    if count_items:
+        cols.append(item_count(F.col("raw"), dialect).alias(COUNT_COLUMN))
     pages.select(*cols).write.mode("overwrite").format(fmt).save(path)
 
 
@@ -189,33 +197,83 @@ def page_envelope(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
 
 
 # SC2 ----------------------------------------------------------------------
+def _texts(raw: Column, dialect: Dialect | str) -> Column:
+    """The payload's elements as JSON text, split by one streaming ``from_json``; a
+    lone object is taken whole, anything else has none (null)."""
+    key = _dialect(dialect).payload
+    as_list = F.from_json(raw, StructType([StructField(key, ArrayType(StringType()))])).getField(key)
+    probe = F.from_json(raw, StructType([StructField(key, StructType([]))])).getField(key)
+    lone = F.array(F.get_json_object(raw, f"$['{key}']"))
+    return F.when(as_list.isNotNull(), as_list).when(probe.isNotNull(), lone)
+
+
+def item_count(raw: Column, dialect: Dialect | str) -> Column:
+    """Items of a page without a parse tree: elements of a list payload, 1 for
+    a lone object, else 0."""
+    return F.coalesce(F.size(_texts(raw, dialect)), F.lit(0)).cast("long")
+
+
+def _unfit(doc: Column, raw: Column) -> Column:
+    """A body that is JSON but too large (or otherwise unfit) for a VARIANT."""
+    return doc.isNull() & body_ok(raw)
+
+
+def _alone(text: Column) -> Column:
+    """An item parsed from its own text, null if no VARIANT holds it. The split
+    takes the quotes off a plain string, so one that reads as JSON is taken so."""
+    plain = text.cast("variant")
+    return F.coalesce(_doc(text), F.when(text.isNull(), F.parse_json(F.lit("null"))).when(~text.rlike(r"^[{\[]"), plain))
+
+
+def unfit_items(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
+    """``(request_key, page_no, position, item_text, reason)`` of the items that
+    can't be held as VARIANT, for the quarantine; ``position`` is the item's place
+    in its page, from 0."""
+    d = pages.select("request_key", "page_no", "raw", _doc(F.col("raw")).alias("_doc"))
+    d = d.where(_unfit(F.col("_doc"), F.col("raw")))
+    items = d.select("request_key", "page_no", F.posexplode(_texts(F.col("raw"), dialect)).alias("position", "item_text"))
+    return items.where(_alone(F.col("item_text")).isNull()).select("*", F.lit("item can't be held as VARIANT").alias("reason"))
+
+
 def unnest_pages(
-    pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = (), with_terminal: bool = False
+    pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...] = (), with_terminal: bool = False,
+    unfit: str = "stop",
 ) -> DataFrame:
     """One row per payload item: ``(request_key, page_no, item VARIANT)``.
 
+    A body that a VARIANT can't hold as a whole (over its size limit, say) is split
+    into its items' texts and each is parsed alone. An item that can't be held
+    either ends the job (``stop``) or is left to ``unfit_items`` (``skip``).
+
     A list payload gives one row per element, a lone object gives one row, a
     missing or null payload gives none. ``with_terminal`` also keeps pages
     that have no items (item null) together with their ``terminal`` flag so
     that ``keep_until_terminal`` can run on the items in the same pass.
     """
-    doc = _doc(F.col("raw"))
+    if unfit not in ("stop", "skip"):
+        raise ValueError(f"unknown choice {unfit!r}")
     env = envelope_columns(F.col("_doc"), dialect)
     payload = env["payload"]
     kind = env["payload_kind"]
-    # a body that is JSON but too large (or otherwise unfit) for a VARIANT must
-    # not pass for a page without items
-    unfit = F.col("_doc").isNull() & body_ok(F.col("raw"))
+    split = _unfit(F.col("_doc"), F.col("raw"))
+
+    def alone(text: Column) -> Column:
+        if unfit == "skip":
+            return _alone(text)
+        return F.coalesce(_alone(text), F.raise_error(F.concat(F.lit("page item can't be held as VARIANT: "), F.col("request_key"))).cast("variant"))
+
+    texts = F.transform(_texts(F.col("raw"), dialect), alone)
     items = (
-        F.when(unfit, F.raise_error(F.concat(F.lit("page body can't be held as VARIANT: "), F.col("request_key"))))
+        F.when(split, F.filter(texts, lambda x: x.isNotNull()) if unfit == "skip" else texts)
         .when(kind.startswith("ARRAY"), F.try_variant_get(payload, "$", "array<variant>"))
         .when(kind.startswith("OBJECT"), F.array(payload))
     )
-    base = pages.select("request_key", "page_no", *keep, "raw", doc.alias("_doc"))
+    base = pages.select("request_key", "page_no", *keep, "raw", _doc(F.col("raw")).alias("_doc"))
     if with_terminal:
+        end = F.when(split, light_envelope(F.col("raw"), dialect)["terminal"]).otherwise(env["terminal"])
         return base.select(
             "request_key", "page_no", *keep,
-            env["terminal"].alias("terminal"),
+            end.alias("terminal"),
             F.explode_outer(items).alias("item"),
         )
     return base.select("request_key", "page_no", *keep, F.explode(items).alias("item"))
@@ -226,12 +284,7 @@ def unnest_texts(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...]
     with its keys in the record's own order: the payload is split by one
     streaming ``from_json`` into text elements; a lone object is taken
     whole."""
-    d = _dialect(dialect)
-    as_list = F.from_json(F.col("raw"), StructType([StructField(d.payload, ArrayType(StringType()))])).getField(d.payload)
-    probe = F.from_json(F.col("raw"), StructType([StructField(d.payload, StructType([]))])).getField(d.payload)
-    lone = F.array(F.get_json_object(F.col("raw"), f"$['{d.payload}']"))
-    items = F.when(as_list.isNotNull(), as_list).when(probe.isNotNull(), lone)
-    return pages.select("request_key", "page_no", *keep, F.explode(items).alias("item_text"))
+    return pages.select("request_key", "page_no", *keep, F.explode(_texts(F.col("raw"), dialect)).alias("item_text"))
 
 
 def items_as(df: DataFrame, schema: StructType | str, item_col: str = "item", drop: bool = True) -> DataFrame:
@@ -427,9 +480,12 @@ def without_failed_chains(pages: DataFrame, key: str = "request_key") -> DataFra
 
 # WN1 ----------------------------------------------------------------------
 def page_audit(pages: DataFrame, dialect: Dialect | str) -> DataFrame:
-    """Items per page and the running total of items along each chain."""
-    env = page_envelope(pages, dialect).select("request_key", "page_no", "n_items")
-    return running_total(env, "request_key", "page_no", "n_items", "items_so_far")
+    """Items per page and the running total of items along each chain. Counts come
+    from the landing where it stored them, and no body is read; else from a
+    streaming split of the payload."""
+    count = F.col(COUNT_COLUMN) if COUNT_COLUMN in pages.columns else item_count(F.col("raw"), dialect)
+    counted = pages.select("request_key", "page_no", count.alias("n_items"))
+    return running_total(counted, "request_key", "page_no", "n_items", "items_so_far")
 
 
 # SO1 ----------------------------------------------------------------------

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Row
 
+from landflow.session import scratch_path
 from landflow.sources import pages as PG
 
 
@@ -79,10 +80,35 @@ def test_latest_complete_run_counts(spark):
     assert sorted(r.id for r in items.collect()) == ["a", "b", "c"]
 
 
-def test_a_body_unfit_for_variant_is_not_an_empty_page(spark):
-    pages = _pages(spark, [("a", 0, 200, '{"value":[{"id":"1","id":"2"}]}')])  # a repeated key
+def test_a_body_unfit_for_variant_is_split_into_items(spark):
+    pages = _pages(spark, [("a", 0, 200, '{"value":[{"id":"1"},{"id":"2","id":"3"},null,4,"x"],"@odata.nextLink":"n"}'),  # a repeated key
+                           ("b", 0, 200, '{"value":{"id":"5"},"value2":{"k":1,"k":2}}'), ("c", 0, 200, '{"value":[{"id":"6"}]}')])
     with pytest.raises(Exception, match="VARIANT"):
         PG.unnest_pages(pages, PG.ODATA).collect()
+    with pytest.raises(ValueError):
+        PG.unnest_pages(pages, PG.ODATA, unfit="drop")
+    items = PG.unnest_pages(pages, PG.ODATA, with_terminal=True, unfit="skip")
+    got = items.select("request_key", "terminal", F.to_json("item").alias("j")).collect()
+    assert sorted(tuple(r) for r in got) == [("a", False, '"x"'), ("a", False, "4"), ("a", False, "null"), ("a", False, '{"id":"1"}'),
+                                             ("b", True, '{"id":"5"}'), ("c", True, '{"id":"6"}')]
+    lost = PG.unfit_items(pages, PG.ODATA).collect()
+    assert [(r.request_key, r.position, r.item_text) for r in lost] == [("a", 1, '{"id":"2","id":"3"}')]
+
+
+def test_landed_counts_need_no_body(spark):
+    rows = [("a", 0, 200, '{"value":[{"i":[1,2]},null,"x"],"@odata.nextLink":"n"}'), ("a", 1, 200, '{"value":{"i":1}}'),
+            ("b", 0, 200, '{"value":[]}'), ("c", 0, 200, '{"value":"[1,2]"}'), ("d", 0, 500, "busy"), ("e", 0, 200, None), ("f", 0, 200, '{"value":null}')]
+    pages = _pages(spark, rows)
+    path = scratch_path(spark, "counted")
+    PG.write_pages(pages, path, fmt="parquet", dialect=PG.ODATA, count_items=True)
+    landed = PG.page_audit(PG.read_pages(spark, path, fmt="parquet"), PG.ODATA)
+    want = [("a", 0, 3, 3), ("a", 1, 1, 4), *[(k, 0, 0, 0) for k in "bcdef"]]
+    for audit in (landed, PG.page_audit(pages, PG.ODATA)):
+        assert sorted((r.request_key, r.page_no, r.n_items, r.items_so_far) for r in audit.collect()) == want
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "raw" not in plan and "json" not in plan
+    with pytest.raises(ValueError):
+        PG.write_pages(pages, path, count_items=True)
 
 
 def test_failed_chain_is_left_out_and_quarantined(spark):

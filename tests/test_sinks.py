@@ -101,3 +101,40 @@ def test_bounded_broadcast_respects_bounds(spark):
     wide = S.bounded_broadcast(spark.range(100).selectExpr("id", "repeat('x', 10) as s"), max_bytes=100)
     assert wide.storageLevel.useMemory is False
     S.release()
+
+
+def test_a_failed_set_leaves_every_table(spark, db):
+    old = spark.createDataFrame([(1,)], "k int")
+    SK.save_tables({"a": old, "b": old, "c": old}, db)
+    new = spark.createDataFrame([(2,)], "k int")
+    broken = new.withColumn("k", F.raise_error(F.lit("gone")).cast("int"))
+    with pytest.raises(Exception, match="gone"):
+        SK.save_tables({"a": new, "b": new, "c": broken}, db)
+    with pytest.raises(SK.EmptyInput):
+        SK.save_tables({"a": new, "b": new.limit(0)}, db, policy="stop")
+    with pytest.raises(ValueError):
+        SK.save_tables({"a": new, "b": new.withColumn("k", F.lit("x"))}, db, schema_mode="strict")
+    assert [spark.read.table(f"{db}.{t}").first().k for t in "abc"] == [1, 1, 1]
+    assert sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary) == ["a", "b", "c"]
+
+
+def test_a_save_that_dies_among_its_renames_is_finished(spark, db, monkeypatch):
+    old, new = (spark.createDataFrame([(k,)], "k int") for k in (1, 2))
+    SK.save_tables({"a": old, "b": old}, db)
+    whole = SK.finish_save
+    calls = []
+
+    def dies(s, schema):
+        calls.append(schema)
+        if len(calls) < 2:
+            return whole(s, schema)  # the settling at the start
+        s.sql(f"DROP TABLE {db}.a")  # the run ends within the first rename
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(SK, "finish_save", dies)
+    with pytest.raises(KeyboardInterrupt):
+        SK.save_tables({"a": new, "b": new}, db)
+    monkeypatch.undo()
+    assert SK.finish_save(spark, db) == ["a", "b"] and SK.finish_save(spark, db) == []
+    assert [spark.read.table(f"{db}.{t}").first().k for t in "ab"] == [2, 2]
+    assert sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary) == ["a", "b"]
