@@ -4,7 +4,13 @@ source that reads them.
 The reader plans one partition per file, takes equality predicates on the
 record type and on headers, parses a record's headers first and skips the block
 of a record that the predicates reject, or whose payload isn't asked for, by a
-seek.
+seek. Spark hands predicates to Python sources only where
+``spark.sql.python.filterPushdown.enabled`` is set; elsewhere it filters the rows
+itself.
+
+A folder of archives has a manifest, which Spark commits: an archive that a lost or
+repeated task left behind isn't in it and isn't read. Without one, every archive of
+the folder is read.
 
 Cases: a null html is an empty payload, a null url has no target header, and
 control characters and non-ASCII letters of a url are percent-encoded; pages of
@@ -18,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -35,6 +42,7 @@ FILE_BYTES = 32 << 20
 #: A payload of fewer bytes is never a revisit.
 LEAST_BYTES = 0
 VERSION = b"WARC/1.1"
+MANIFEST = "manifest"
 
 
 def digest_of(payload: bytes) -> str:
@@ -103,19 +111,15 @@ class _Reader(DataSourceReader):
     HEADERS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri",
                "digest": "warc-payload-digest", "refers_to": "warc-refers-to"}
 
-    def __init__(self, options: dict, columns: list[str]) -> None:
-        self.folder, self.columns, self.equal = options["path"], columns, []
+    def __init__(self, options: dict) -> None:
+        self.folder, self.equal = options["path"], []
         self.payloads = options.get("payloads", "true").lower() == "true"
 
-    def pushFilters(self, filters):  # noqa: N802 - the data source's interface
-        for f in filters:
-            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in self.HEADERS:
-                self.equal.append((self.HEADERS[f.attribute[0]], f.value))
-            else:
-                yield f
-
     def partitions(self):
-        return [_File(uri) for uri, _ in listed(self.folder, ".warc")]
+        committed = listed(f"{self.folder.rstrip('/')}/{MANIFEST}", ".parquet")
+        if not committed:
+            return [_File(uri) for uri, _ in listed(self.folder, ".warc")]
+        return [_File(uri) for uri in sorted(p for part, _ in committed for p in _paths(part))]
 
     def read(self, partition):
         if not isinstance(partition, _File):  # an empty folder
@@ -126,8 +130,27 @@ class _Reader(DataSourceReader):
                        head.get("warc-payload-digest"), head.get("warc-refers-to"), int(http.get("content-length", 0)), body)
 
 
+class _PushingReader(_Reader):
+    """Takes predicates; Spark refuses such a reader where it hands over none."""
+
+    def pushFilters(self, filters):  # noqa: N802 - the data source's interface
+        for f in filters:
+            if isinstance(f, EqualTo) and len(f.attribute) == 1 and f.attribute[0] in self.HEADERS:
+                self.equal.append((self.HEADERS[f.attribute[0]], f.value))
+            else:
+                yield f
+
+
+def _paths(part: str) -> list[str]:
+    import pyarrow.parquet as pq
+
+    with opened(part) as f:
+        return pq.read_table(f, columns=["path"])["path"].to_pylist()
+
+
 class WarcSource(DataSource):
-    """``spark.read.format("warc").option("payloads", "false").load(folder)``."""
+    """``spark.read.format("warc").option("payloads", "false").load(folder)``;
+    ``option("pushdown", "true")`` where the session hands over predicates."""
 
     @classmethod
     def name(cls) -> str:
@@ -138,11 +161,12 @@ class WarcSource(DataSource):
                 "http_length long, payload binary")
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options, schema.names)
+        pushing = self.options.get("pushdown", "false").lower() == "true"
+        return (_PushingReader if pushing else _Reader)(self.options)
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = LEAST_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write the archives; a row (path, records) for each."""
+    """Write the archives and their manifest; a row (path, records) for each."""
     body = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(body).alias("sha"), F.length(body).alias("n"))
     first = rows.where(F.col("n") >= least).groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("times"))
@@ -152,10 +176,12 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_BYTES, file
     known = rows.join(twice, (F.col("sha") == F.col("s")) & (F.col("n") >= least), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, count, data = TaskContext.get().partitionId(), 0, 0, bytearray()
+        # an attempt's own names: one that was given up can't replace a committed archive
+        task = TaskContext.get()
+        part, made, count, data = f"{task.partitionId():06d}-{task.taskAttemptId()}", 0, 0, bytearray()
 
         def flush() -> pa.RecordBatch:
-            uri = f"{folder}/part-{part:06d}-{made:06d}.warc"
+            uri = f"{folder}/part-{part}-{made:06d}.warc"
             put(uri, bytes(data))
             return pa.record_batch([pa.array([uri]), pa.array([count], pa.int64())], ["path", "records"])
 
@@ -171,12 +197,30 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_BYTES, file
         if count:
             yield flush()
 
-    return materialize(known.select("page_id", "url", "html", "s", "first").mapInArrow(run, "path string, records long"), "archives")
+    made = known.select("page_id", "url", "html", "s", "first").mapInArrow(run, "path string, records long")
+    made.write.mode("overwrite").parquet(f"{folder}/{MANIFEST}")
+    return pages.sparkSession.read.parquet(f"{folder}/{MANIFEST}")
+
+
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
 def read_archives(spark, folder: str, payloads: bool = True) -> DataFrame:
+    """The records of a folder of archives. Run the result under the same setting
+    of ``PUSHDOWN`` (see ``pushdown``) that it was made under."""
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("payloads", str(payloads).lower()).load(folder)
+    return spark.read.format("warc").options(payloads=str(payloads).lower(), pushdown=spark.conf.get(PUSHDOWN, "false")).load(folder)
+
+
+@contextmanager
+def pushdown(spark):
+    """Predicates go to Python sources within it; the session's setting comes back."""
+    before = spark.conf.get(PUSHDOWN, None)
+    spark.conf.set(PUSHDOWN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(PUSHDOWN) if before is None else spark.conf.set(PUSHDOWN, before)
 
 
 @F.pandas_udf(LongType())
@@ -192,16 +236,14 @@ def _sha(payloads):
 def round_trip(pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, read back:
     a response's from its payload, a revisit's from its headers."""
-    folder = scratch_path(pages.sparkSession, "warc", track=True)
-    write_archives(pages, folder)
     spark = pages.sparkSession
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    full = read_archives(spark, folder).where(F.col("record_type") == "response").select(
-        _page("record_id").alias("page_id"), F.length("payload").cast("long").alias("payload_bytes"),
-        _sha("payload").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
-    again = read_archives(spark, folder, payloads=False).where(F.col("record_type") == "revisit").select(
-        _page("record_id").alias("page_id"), F.col("http_length").alias("payload_bytes"),
-        F.regexp_replace("digest", "^sha1:", "").alias("payload_digest"), "record_type", _page("refers_to").alias("refers_to"))
-    return full.unionByName(again)
-
-
+    folder = scratch_path(spark, "warc", track=True)
+    write_archives(pages, folder)
+    with pushdown(spark):
+        full = read_archives(spark, folder).where(F.col("record_type") == "response").select(
+            _page("record_id").alias("page_id"), F.length("payload").cast("long").alias("payload_bytes"),
+            _sha("payload").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+        again = read_archives(spark, folder, payloads=False).where(F.col("record_type") == "revisit").select(
+            _page("record_id").alias("page_id"), F.col("http_length").alias("payload_bytes"),
+            F.regexp_replace("digest", "^sha1:", "").alias("payload_digest"), "record_type", _page("refers_to").alias("refers_to"))
+        return materialize(full.unionByName(again), "warc-rows")
