@@ -15,7 +15,7 @@
 
 Labels, from rows whose crc32(doc_id) mod 5 is not 0, choose the lexicons and
 set the class share; the sample for both fits is at most SAMPLE labelled rows,
-by hash of the id. Scores see texts only.
+by hash of the id, then, where ids repeat, of id and text; equal rows count once. Scores see texts only.
 
 Cases: null and empty texts get the score of a text without features; repeated
 rows are scored each; without training labels every score is 0; an empty table
@@ -181,12 +181,24 @@ def _fit_linear(rows: list[np.ndarray], target: np.ndarray, n: int) -> tuple[np.
     return w, b
 
 
+def _sample(marked: DataFrame, sample: int) -> DataFrame:
+    """text, toxic: at most ``sample`` distinct rows (an id may have many), those of
+    the smallest hashes."""
+    place = F.xxhash64("__id", "text").alias("place")
+    once = marked.groupBy("__id", place).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    once = materialize(once.select("place", "text", "toxic"), "toxic-rows")
+    if once.count() <= sample:
+        return once.select("text", "toxic")
+    last = once.select("place").orderBy("place").limit(sample).agg(F.max("place")).first()[0]
+    return materialize(once.where(F.col("place") <= last).select("text", "toxic"), "toxic-sample")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     marks = labels.where("toxic is not null").where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"))
     known = marks.count()
     if known > sample:
         marks = marks.where(F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(1_000_000)) < int(1e6 * sample / known))
-    texts = materialize(docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__id")).select("text", "toxic"), "toxic-sample")
+    texts = _sample(docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__id")), sample)
     top, size, toxic = _association(texts)
     share = min(max((toxic + 1) / (size + 2), 0.01), 0.99)
     vocabulary = {f: k for k, (f, *_) in enumerate(top)}
