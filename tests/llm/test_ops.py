@@ -379,15 +379,66 @@ def test_warc(spark, pages):
 def test_warc_filters_are_pushed(spark, pages, tmp_path):
     folder = f"file://{tmp_path}/w"
     warc.write_archives(pages, folder)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    got = warc.read_archives(spark, folder, payloads=False).where("record_type = 'revisit'")
-    assert got.where("payload is not null").count() == 0 and got.count() == 5
-    r = warc._Reader({"path": folder}, [])
+    before = spark.conf.get(warc.PUSHDOWN, None)
+    rows = warc.read_archives(spark, folder, payloads=False).where("record_type = 'revisit'")
+    assert rows.count() == 5  # in a session as it comes
+    with warc.pushdown(spark):
+        got = warc.read_archives(spark, folder, payloads=False).where("record_type = 'revisit'")
+        assert got.where("payload is not null").count() == 0 and got.count() == 5
+    assert spark.conf.get(warc.PUSHDOWN, None) == before
+    r = warc._PushingReader({"path": folder})
     from pyspark.sql.datasource import EqualTo
     assert list(r.pushFilters([EqualTo(("record_type",), "revisit"), EqualTo(("http_length",), 1)])) == [EqualTo(("http_length",), 1)]
     assert r.equal == [("warc-type", "revisit")]
 
 
+def test_warc_reads_committed_archives_only(spark, pages, tmp_path):
+    folder = f"file://{tmp_path}/w"
+    made = warc.write_archives(pages, folder)
+    n = pages.count()
+    assert made.agg(F.sum("records")).first()[0] == n
+    lost = tmp_path / "w" / "part-000000-9999-000000.warc"  # of a task that was given up
+    lost.write_bytes(warc.record(1, None, b"x", warc.digest_of(b"x"), None, False))
+    assert warc.read_archives(spark, folder).count() == n
+    bare = tmp_path / "bare"
+    bare.mkdir()
+    (bare / "a.warc").write_bytes(lost.read_bytes())
+    assert [r.payload for r in warc.read_archives(spark, f"file://{bare}").collect()] == [b"x"]
+
+
+def test_mixing_splits_equal_rows(spark):
+    rows = [(1, " ".join("w" * 11), "a")] * 500 + [(k, "x y", "b") for k in range(2500)] + [(9, "z " * 7, None)] * 300
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    by = defaultdict(lambda: [0, 0.0])
+    for r in mixing.mix(table).collect():
+        of = {11: "a", 2: "b", 7: None}[r.size]
+        by[of][0] += r.taken
+        by[of][1] = r.target
+        assert r.taken % r.size == 0 and r.taken <= 3 * r.size
+    for of, size in (("a", 11), ("b", 2), (None, 7)):
+        assert abs(by[of][0] - by[of][1]) <= size / 2 + 1e-6, (of, by[of])
+    words = Counter()
+    for r in mixing.mixed(table).collect():
+        words[r.source] += len(r.text.split())
+    assert {k: v[0] for k, v in by.items()} == dict(words)
+    import duckdb
+
+    con = duckdb.connect()
+    documents = table.toPandas()  # noqa: F841 - read by name
+    want = Counter(con.execute(mixing.ORACLE).fetchall())
+    assert Counter(tuple(r) for r in mixing.mix(table).collect()) == want
+
+
+def test_toxicity_sample_bounds_rows(spark):
+    rows = [(k % 40, f"text {k % 3 if k % 40 else k}") for k in range(3000)]
+    marks = spark.createDataFrame([(k, 1) for k in range(40)], "__id long, toxic int")
+    marked = spark.createDataFrame(rows, "doc_id long, text string").join(marks, F.col("doc_id") == F.col("__id"))
+    whole = toxicity._sample(marked, 10_000).collect()
+    assert len(whole) == len(set(rows))
+    got = toxicity._sample(marked, 50).collect()
+    assert len(got) == 50 and sorted(got) == sorted(toxicity._sample(marked.repartition(5), 50).collect())
+
+
 def test_search(spark):
     vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
     bad = [(10_000, None), (10_001, []), (10_050, [0.0] * 64), (10_002, [float("nan")] * 64), (10_003, [None] * 64), (10_100, [1.0, 2.0])]
