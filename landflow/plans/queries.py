@@ -19,6 +19,7 @@ from landflow.operators import filters as FL
 from landflow.operators import links as JN
 from landflow.operators import shape as PR
 from landflow.plans import fixtures as FX
+from landflow.plans.contracts import ACTIVITY_SCHEMA
 from landflow.plans.fixtures import DAY, RUN_TS, s, table
 from landflow.session import configure, scratch_path, track_schema, unique_name
 from landflow.sinks import tables as SK
@@ -348,21 +349,26 @@ def q_explode_many(spark, sf_dir):
         kids["suppliers"].select(F.lit("suppliers").alias("child"), "*"))
 
 
-@query("q_conform", """
+_GIVEN = ["Id", "RecordType", "CreationTime", "Operation", "UserId", "IsSuccess", "HasFullReportAttachment",
+          "ExportedArtifactInfo"]
+_ABSENT_SQL = ", ".join(f'cast(null as varchar) as "{f.name}"' for f in ACTIVITY_SCHEMA if f.name not in _GIVEN)
+
+
+@query("q_conform", f"""
 select 'ev-' || event_id as Id,
        case when event_type = 'error' then null else cast(user_id as integer) end as RecordType,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as CreationTime,
        event_type as Operation,
        'user-' || user_id as UserId,
-       json(props)::varchar as ExportedArtifactInfo,
-       cast(null as varchar) as Activity
+       case when event_type in ('error', 'click') then false when event_type = 'purchase' then true end as IsSuccess,
+       case event_type when 'purchase' then 'TRUE' when 'view' then 'no' when 'click' then ''
+            when 'signup' then 'true' end as HasFullReportAttachment,
+       json(props)::varchar as ExportedArtifactInfo, {_ABSENT_SQL}
 from events
 """)
 def q_conform(spark, sf_dir):
-    from landflow.plans.contracts import ACTIVITY_SCHEMA
     rec = FX.activity_records(spark, sf_dir).select(F.parse_json("raw").alias("doc"))
-    out = PR.conform(rec, "doc", ACTIVITY_SCHEMA)
-    return out.select("Id", "RecordType", "CreationTime", "Operation", "UserId", "ExportedArtifactInfo", "Activity")
+    return PR.conform(rec, "doc", ACTIVITY_SCHEMA)
 
 
 @query("q_rest_map", """

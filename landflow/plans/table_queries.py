@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from landflow.plans import fixtures as FX
 from landflow.plans import pipelines as TP
+from landflow.plans.contracts import ACTIVITY_COLUMNS, CATCH_ALL
 from landflow.plans.fixtures import DAY, PAGE, RUN_TS, s, table
 from landflow.plans.queries import RUN_EPOCH_SQL, _scratch_schema, query
 from landflow.sinks import tables as SK
@@ -15,11 +18,10 @@ from landflow.sources.runs import request_keys
 TS_SQL = f"TIMESTAMP '{RUN_TS}'"
 
 
-def _labelled(label: str, df, **cols):
-    return df.select(F.lit(label).alias("table_name"),
-                     *[(F.col(v) if isinstance(v, str) else v).cast("string").alias(k) if v is not None
-                       else F.lit(None).cast("string").alias(k) for k, v in cols.items()],
-                     "extraction_timestamp")
+def _whole(tables):
+    """All rows and columns of all tables, by name, with their table's name."""
+    named = [df.select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), named)
 
 
 # TP1 ----------------------------------------------------------------------
@@ -51,25 +53,24 @@ SETTING = ("struct<settingName:string,title:string,enabled:boolean,tenantSetting
 
 
 @query("q_tp_settings", f"""
-select 'tenant_settings' as table_name, r_name as settingName, 'Setting ' || r_name as item_key,
-       case when r_regionkey % 2 = 0 then 'true' else 'false' end as item_value, {TS_SQL} as extraction_timestamp
+select 'tenant_settings' as table_name, r_name as settingName, 'Setting ' || r_name as title,
+       r_regionkey % 2 = 0 as enabled, 'Region' as tenantSettingGroup, {TS_SQL} as extraction_timestamp
 from region
-union all
-select 'enabled_security_groups', r_name, cast(n_nationkey as varchar), n_name, {TS_SQL}
+union all by name
+select 'enabled_security_groups' as table_name, r_name as settingName, cast(n_nationkey as varchar) as graphId,
+       n_name as name, {TS_SQL} as extraction_timestamp
 from region join nation on n_regionkey = r_regionkey
-union all
-select 'properties', r_name, 'key', cast(r_regionkey as varchar), {TS_SQL} from region
-union all
-select 'properties', r_name, 'label', r_name, {TS_SQL} from region
+union all by name
+select 'properties' as table_name, r_name as settingName, 'key' as name, cast(r_regionkey as varchar) as value,
+       'Integer' as type, {TS_SQL} as extraction_timestamp
+from region
+union all by name
+select 'properties' as table_name, r_name as settingName, 'label' as name, r_name as value,
+       'String' as type, {TS_SQL} as extraction_timestamp
+from region
 """)
 def q_tp_settings(spark, sf_dir):
-    t = TP.build_settings(FX.land(_setting_pages(spark, sf_dir)), SETTING, RUN_TS)
-    return (_labelled("tenant_settings", t["tenant_settings"], settingName="settingName", item_key="title",
-                      item_value="enabled")
-            .unionByName(_labelled("enabled_security_groups", t["enabled_security_groups"],
-                                   settingName="settingName", item_key="graphId", item_value="name"))
-            .unionByName(_labelled("properties", t["properties"], settingName="settingName", item_key="name",
-                                   item_value="value")))
+    return _whole(TP.build_settings(FX.land(_setting_pages(spark, sf_dir)), SETTING, RUN_TS))
 
 
 def _setting_pages(spark, sf_dir):
@@ -176,34 +177,26 @@ def _gateway_pages(spark, sf_dir):
 
 
 @query("q_tp_gateways", f"""
-select 'gateways' as table_name, cast(null as varchar) as gatewayId, cast(null as varchar) as datasourceId,
-       cast(r_regionkey as varchar) as id, r_name as name, cast(null as varchar) as detail,
+select 'gateways' as table_name, cast(r_regionkey as varchar) as id, r_name as name,
        {RUN_EPOCH_SQL} as extraction_timestamp
 from region
-union all
-select 'gateway_datasources', cast(r_regionkey as varchar), null, cast(n_nationkey as varchar), n_name,
-       case when n_nationkey % 2 = 0 then 'Basic' else 'Windows' end || '|' ||
-       case when n_nationkey % 3 = 0 then 'true' else 'false' end || '|' || n_name || '|' || cast(n_regionkey as varchar),
-       {RUN_EPOCH_SQL}
+union all by name
+select 'gateway_datasources' as table_name, cast(n_nationkey as varchar) as id, n_name as datasourceName,
+       cast(r_regionkey as varchar) as gatewayId,
+       case when n_nationkey % 2 = 0 then 'Basic' else 'Windows' end as credentialDetails_credentialType,
+       n_nationkey % 3 = 0 as credentialDetails_useEndUserOAuth2Credentials,
+       n_name as details_server, cast(n_regionkey as varchar) as details_location_regionId,
+       {RUN_EPOCH_SQL} as extraction_timestamp
 from nation join region on n_regionkey = r_regionkey
-union all
-select 'gateway_datasource_users', cast(n_regionkey as varchar), cast(n_nationkey as varchar),
-       'supp-' || s_suppkey, s_name, 'Read', {RUN_EPOCH_SQL}
+union all by name
+select 'gateway_datasource_users' as table_name, 'supp-' || s_suppkey as emailAddress, s_name as displayName,
+       'Read' as datasourceAccessRight, cast(n_regionkey as varchar) as gatewayId,
+       cast(n_nationkey as varchar) as datasourceId, {RUN_EPOCH_SQL} as extraction_timestamp
 from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """)
 def q_tp_gateways(spark, sf_dir):
     gw, ds, us = _gateway_pages(spark, sf_dir)
-    t = TP.build_gateways(FX.land(gw), FX.land(ds), FX.land(us), GATEWAY_SCHEMAS, RUN_TS)
-    d = t["gateway_datasources"]
-    detail = F.concat_ws("|", "credentialDetails_credentialType",
-                         F.col("credentialDetails_useEndUserOAuth2Credentials").cast("string"),
-                         "details_server", "details_location_regionId")
-    return (_labelled("gateways", t["gateways"], gatewayId=None, datasourceId=None, id="id", name="name", detail=None)
-            .unionByName(_labelled("gateway_datasources", d, gatewayId="gatewayId", datasourceId=None, id="id",
-                                   name="datasourceName", detail=detail))
-            .unionByName(_labelled("gateway_datasource_users", t["gateway_datasource_users"],
-                                   gatewayId="gatewayId", datasourceId="datasourceId", id="emailAddress",
-                                   name="displayName", detail="datasourceAccessRight")))
+    return _whole(TP.build_gateways(FX.land(gw), FX.land(ds), FX.land(us), GATEWAY_SCHEMAS, RUN_TS))
 
 
 # TP3 ----------------------------------------------------------------------
@@ -256,38 +249,34 @@ _WS = "from orders join lineitem on l_orderkey = o_orderkey where o_orderstatus
 
 
 @query("q_tp_workspaces", f"""
-select 'workspaces' as table_name, cast(null as varchar) as workspace_id, cast(null as varchar) as workspace_name,
-       cast(o_orderkey as varchar) as id, 'ws-' || o_orderkey as name, cast(o_custkey as varchar) as detail,
-       {RUN_EPOCH_SQL} as extraction_timestamp
+select 'workspaces' as table_name, cast(o_orderkey as varchar) as id, 'ws-' || o_orderkey as name,
+       o_orderpriority in ('1-URGENT', '2-HIGH') as isOnDedicatedCapacity, cast(o_custkey as varchar) as capacityId,
+       'Workspace' as type, 'Active' as state, {RUN_EPOCH_SQL} as extraction_timestamp
 from orders where o_orderstatus = 'F'
-union all
-select 'workspaces_users', cast(o_orderkey as varchar), 'ws-' || o_orderkey, 'cust-' || o_custkey, 'customer',
-       cast(o_custkey as varchar), {RUN_EPOCH_SQL}
+union all by name
+select 'workspaces_users' as table_name, 'cust-' || o_custkey as identifier, 'Admin' as groupUserAccessRight,
+       cast(o_orderkey as varchar) as workspace_id, 'ws-' || o_orderkey as workspace_name,
+       cast(o_custkey as varchar) as profile_id, 'customer' as profile_kind, {RUN_EPOCH_SQL} as extraction_timestamp
 from orders where o_orderstatus = 'F'
-union all
-select 'reports', cast(o_orderkey as varchar), 'ws-' || o_orderkey, o_orderkey || '-' || l_linenumber,
-       'report-' || o_orderkey || '-' || l_linenumber, null, {RUN_EPOCH_SQL} {_WS} and l_returnflag = 'R'
-union all
-select 'datasets', cast(o_orderkey as varchar), 'ws-' || o_orderkey, o_orderkey || '-' || l_linenumber,
-       'dataset-' || o_orderkey || '-' || l_linenumber, '["' || l_partkey || '"]', {RUN_EPOCH_SQL}
+union all by name
+select 'reports' as table_name, o_orderkey || '-' || l_linenumber as id,
+       'report-' || o_orderkey || '-' || l_linenumber as name, cast(o_orderkey as varchar) as workspace_id,
+       'ws-' || o_orderkey as workspace_name, {RUN_EPOCH_SQL} as extraction_timestamp
+{_WS} and l_returnflag = 'R'
+union all by name
+select 'datasets' as table_name, o_orderkey || '-' || l_linenumber as id,
+       'dataset-' || o_orderkey || '-' || l_linenumber as name, '["' || l_partkey || '"]' as qnaQuestions,
+       cast(o_orderkey as varchar) as workspace_id, 'ws-' || o_orderkey as workspace_name,
+       {RUN_EPOCH_SQL} as extraction_timestamp
 {_WS} and l_returnflag = 'A'
-union all
-select 'dataflows', cast(o_orderkey as varchar), 'ws-' || o_orderkey, 'df-' || o_orderkey || '-' || l_linenumber,
-       'dataflow-' || o_orderkey || '-' || l_linenumber, null, {RUN_EPOCH_SQL} {_WS} and l_returnflag = 'N'
+union all by name
+select 'dataflows' as table_name, 'df-' || o_orderkey || '-' || l_linenumber as objectId,
+       'dataflow-' || o_orderkey || '-' || l_linenumber as name, cast(o_orderkey as varchar) as workspace_id,
+       'ws-' || o_orderkey as workspace_name, {RUN_EPOCH_SQL} as extraction_timestamp
+{_WS} and l_returnflag = 'N'
 """)
 def q_tp_workspaces(spark, sf_dir):
-    t = TP.build_workspaces(FX.land(_workspace_pages(spark, sf_dir), dialect=ODATA), WORKSPACE, RUN_TS)
-    return (_labelled("workspaces", t["workspaces"], workspace_id=None, workspace_name=None, id="id", name="name",
-                      detail="capacityId")
-            .unionByName(_labelled("workspaces_users", t["workspaces_users"], workspace_id="workspace_id",
-                                   workspace_name="workspace_name", id="identifier", name="profile_kind",
-                                   detail="profile_id"))
-            .unionByName(_labelled("reports", t["reports"], workspace_id="workspace_id",
-                                   workspace_name="workspace_name", id="id", name="name", detail=None))
-            .unionByName(_labelled("datasets", t["datasets"], workspace_id="workspace_id",
-                                   workspace_name="workspace_name", id="id", name="name", detail="qnaQuestions"))
-            .unionByName(_labelled("dataflows", t["dataflows"], workspace_id="workspace_id",
-                                   workspace_name="workspace_name", id="objectId", name="name", detail=None)))
+    return _whole(TP.build_workspaces(FX.land(_workspace_pages(spark, sf_dir), dialect=ODATA), WORKSPACE, RUN_TS))
 
 
 # TP4 ----------------------------------------------------------------------
@@ -299,18 +288,21 @@ ACCESS_SCHEMAS = {
 
 
 @query("q_tp_access", f"""
-select 'apps' as table_name, cast(null as varchar) as scope, cast(null as varchar) as parent_id,
-       cast(null as varchar) as parent_name, cast(n_nationkey as varchar) as id, n_name as detail,
+select 'apps' as table_name, cast(n_nationkey as varchar) as id, n_name as name,
        case when n_nationkey % 5 = 0 then null
-            else TIMESTAMP '2024-01-01 10:00:00' + n_nationkey * INTERVAL 1 DAY end as updated,
+            else TIMESTAMP '2024-01-01 10:00:00' + n_nationkey * INTERVAL 1 DAY end as lastUpdateDateTime,
        {RUN_EPOCH_SQL} as extraction_timestamp
 from nation
-union all
-select 'app_users', null, cast(n_nationkey as varchar), n_name, 'cust-' || c_custkey, c_mktsegment, null, {RUN_EPOCH_SQL}
+union all by name
+select 'app_users' as table_name, 'cust-' || c_custkey as emailAddress, 'Viewer' as appUserAccessRight,
+       cast(n_nationkey as varchar) as app_id, n_name as app_name, c_name as profile_displayName,
+       c_mktsegment as profile_segment, {RUN_EPOCH_SQL} as extraction_timestamp
 from customer join nation on c_nationkey = n_nationkey
-union all
-select 'report_users', cast(s_nationkey as varchar), cast(s_suppkey as varchar), s_name,
-       'line-' || l_orderkey || '-' || l_linenumber, l_returnflag, null, {RUN_EPOCH_SQL}
+union all by name
+select 'report_users' as table_name, 'line-' || l_orderkey || '-' || l_linenumber as identifier,
+       'Viewer' as reportUserAccessRight, cast(s_nationkey as varchar) as workspace_id,
+       cast(s_suppkey as varchar) as report_id, s_name as report_name, l_returnflag as profile_flag,
+       {RUN_EPOCH_SQL} as extraction_timestamp
 from lineitem join supplier on l_suppkey = s_suppkey
 """)
 def q_tp_access(spark, sf_dir):
@@ -337,17 +329,8 @@ def q_tp_access(spark, sf_dir):
     reports = sp.select(s("s_nationkey").alias("workspace_id"), s("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     au = FX.answered(au, request_keys(n, F.concat(F.lit("apps/"), s("n_nationkey"), F.lit("/users"))), ODATA)
     ru = FX.answered(ru, request_keys(reports, F.concat(F.lit("groups/"), F.col("workspace_id"), F.lit("/reports/"), F.col("id"), F.lit("/users"))), ODATA)
-    t = TP.build_access(FX.land(apps), FX.land(au), FX.land(ru), reports, ACCESS_SCHEMAS, RUN_TS, include_access=True)
-    none_ts = F.lit(None).cast("timestamp_ntz")
-    a = _labelled("apps", t["apps"], scope=None, parent_id=None, parent_name=None, id="id", detail="name")
-    a = a.join(t["apps"].select(F.col("id").alias("_id"), F.col("lastUpdateDateTime").alias("updated")),
-               F.col("id") == F.col("_id")).drop("_id")
-    return (a.unionByName(_labelled("app_users", t["app_users"], scope=None, parent_id="app_id",
-                                    parent_name="app_name", id="emailAddress", detail="profile_segment")
-                          .withColumn("updated", none_ts))
-             .unionByName(_labelled("report_users", t["report_users"], scope="workspace_id", parent_id="report_id",
-                                    parent_name="report_name", id="identifier", detail="profile_flag")
-                          .withColumn("updated", none_ts)))
+    return _whole(TP.build_access(FX.land(apps), FX.land(au), FX.land(ru), reports, ACCESS_SCHEMAS, RUN_TS,
+                                  include_access=True))
 
 
 # TP5 ----------------------------------------------------------------------
@@ -377,6 +360,9 @@ def q_tp_dataflow_sources(spark, sf_dir):
 
 
 # TP7 ----------------------------------------------------------------------
+_GIVEN = ["Id", "RecordType", "CreationTime", "Operation", "UserId", "IsSuccess", "HasFullReportAttachment",
+          "ExportedArtifactInfo"]
+_ABSENT_SQL = ", ".join(f'cast(null as varchar) as "{c}"' for c in ACTIVITY_COLUMNS if c not in _GIVEN)
 _ACTIVITY_SQL = f"""
 select 'ev-' || event_id as Id,
        case when event_type = 'error' then null else cast(user_id as integer) end as RecordType,
@@ -385,8 +371,9 @@ select 'ev-' || event_id as Id,
        event_type in ('click', 'purchase') as IsSuccess,
        case event_type when 'purchase' then 'true' when 'view' then 'false' when 'signup' then 'true' end
          as HasFullReportAttachment,
-       json(props)::varchar as ExportedArtifactInfo,
-       event_type as extra_kind,
+       json(props)::varchar as ExportedArtifactInfo, {_ABSENT_SQL},
+       'Flag,Kind,Props,Value' as extra_keys, value as extra_value, event_type as extra_kind,
+       value > 50 as extra_flag, json(props)::varchar as extra_props,
        strftime(ts, '%Y-%m-%d') as LoadDate,
        {TS_SQL} as ProcessingTimestamp
 from events
@@ -394,10 +381,12 @@ from events
 
 
 def _activity_columns(stored):
-    return stored.select(
-        "Id", "RecordType", "CreationTime", "Operation", "UserId", "IsSuccess", "HasFullReportAttachment",
-        "ExportedArtifactInfo", F.get_json_object("AdditionalInfo", "$.Kind").alias("extra_kind"),
-        "LoadDate", "ProcessingTimestamp")
+    """All stored columns, the catch-all as its keys (in the landed record's order, which the
+    fixture's VARIANT sorts) and values."""
+    rest = F.from_json(CATCH_ALL, "struct<Value:double,Kind:string,Flag:boolean,Props:string>")
+    return stored.withColumns({
+        "extra_keys": F.array_join(F.json_object_keys(CATCH_ALL), ","), "extra_value": rest["Value"],
+        "extra_kind": rest["Kind"], "extra_flag": rest["Flag"], "extra_props": rest["Props"]}).drop(CATCH_ALL)
 
 
 @query("q_tp_activity_day", _ACTIVITY_SQL)
