@@ -8,19 +8,22 @@ that has room, and what fits nowhere is cut over the room that is left. A block
 of ``t`` tokens takes ``ceil(t / length)`` sequences, so only its last tokens
 can be padded.
 
+``pack_documents`` gives the pieces with their token ids, ``sequences`` joins them
+to padded training sequences (a group holds at most ``length`` pieces).
+
 Cases: a null or empty text is its end id alone; equal documents are packed
 each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from landflow.llm.tokens import encoder, tokenizer_path
 
@@ -30,8 +33,11 @@ BLOCK_TOKENS = 4_000_000
 #: Cost of a token, and of a pair of tokens that attend to each other.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 VOCABULARY, END = "byte_bpe_50k.json", 1
-SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-          "sequence_id long, offset long")
+#: ``ids``: little-endian unsigned 32-bit ids of the piece.
+SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
+          "offset long, ids binary")
+#: Pieces a record batch.
+PIECES = 1024
 
 
 def pack(lengths: list[int], length: int = LENGTH, linear: float = LINEAR,
@@ -81,18 +87,19 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
         ids: list[bytes] = []
         keys: list[int | None] = []
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal made
             sizes = [len(b) // 4 for b in ids]
             out = pack(sizes, length)
-            rows = [(keys[i], s, n, zlib.crc32(ids[i][4 * s:4 * (s + n)]), sizes[i], made + q, o)
-                    for i, s, n, q, o in out]
+            for at in range(0, len(out), PIECES):
+                rows = [(keys[i], s, n, sizes[i], made + q, o, ids[i][4 * s:4 * (s + n)])
+                        for i, s, n, q, o in out[at:at + PIECES]]
+                cols = list(zip(*rows))
+                yield pa.record_batch([*[pa.array(c, pa.int64()) for c in cols[:-1]], pa.array(cols[-1], pa.binary())],
+                                      ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
             made += 1 + max((q for _, _, _, q, _ in out), default=-1)
             ids.clear()
             keys.clear()
-            cols = list(zip(*rows)) or [[]] * 7
-            return pa.record_batch([pa.array(c, pa.int64()) for c in cols],
-                                   ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         held = 0
         for batch in batches:
@@ -101,9 +108,19 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
                 keys.append(key)
                 held += len(ids[-1]) // 4
                 if held >= block_tokens:
-                    yield flush()
+                    yield from flush()
                     held = 0
         if keys:
-            yield flush()
+            yield from flush()
 
     return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, SCHEMA)
+
+
+def sequences(pieces: DataFrame, pad: int = 0, length: int = LENGTH) -> DataFrame:
+    """sequence_id, n_tokens, ids: a sequence's ids, padded to ``length`` (a full
+    row for a trainer), as little-endian unsigned 32-bit ids."""
+    tail = F.lit(np.full(length, pad, "<u4").tobytes())
+    joined = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    rows = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), joined.alias("parts"))
+    ids = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"]))
+    return rows.select("sequence_id", "n_tokens", F.substring(F.concat(ids, tail), 1, 4 * length).alias("ids"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landflow.llm import ann, maxent, mixing, neardup, packing, quality, sharding, spelling, tokenbin, toxicity, turntrie, urlfilter, warc
 from landflow.session import configure
@@ -47,7 +48,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+    return packing.pack_documents(_table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op10_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

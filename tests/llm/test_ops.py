@@ -245,20 +245,34 @@ def test_packing(docs, odd, empty):
         got = packing.pack_documents(table).collect()
         pieces, seqs = defaultdict(list), defaultdict(list)
         for r in got:
-            assert any(zlib.crc32(t[4 * r.start:4 * (r.start + r.length)]) == r.ids_crc32 for t in texts[r.doc_id])
+            assert any(t[4 * r.start:4 * (r.start + r.length)] == r.ids and len(t) == 4 * r.doc_tokens for t in texts[r.doc_id])
             pieces[r.doc_id].append((r.start, r.length))
-            seqs[r.sequence_id].append((r.offset, r.length))
+            seqs[r.sequence_id].append((r.offset, r.length, bytes(r.ids)))
         for k, t in texts.items():
             assert sum(n for _, n in pieces[k]) == sum(len(x) // 4 for x in t)
         for s in seqs.values():
             at = 0
-            for offset, n in sorted(s):
+            for offset, n, _ in sorted(s):
                 assert offset == at
                 at += n
             assert at <= 2048
         total = sum(n for p in pieces.values() for _, n in p)
         assert len(seqs) <= total / 2048 + 8
-    assert packing.pack_documents(empty).count() == 0
+        rows = packing.sequences(packing.pack_documents(table), pad=7).collect()
+        assert len(rows) == len({r.sequence_id for r in rows}) == len(seqs)
+        for r in rows:
+            whole = b"".join(b for _, _, b in sorted(seqs[r.sequence_id]))
+            assert len(whole) == 4 * r.n_tokens
+            assert r.ids == whole + np.full(2048 - r.n_tokens, 7, "<u4").tobytes()
+    assert packing.pack_documents(empty).count() == packing.sequences(packing.pack_documents(empty)).count() == 0
+
+
+def test_packing_yields_many_pieces_in_batches(spark, monkeypatch):
+    """More pieces than a record batch holds, in several blocks."""
+    df = spark.range(3000).selectExpr("id AS doc_id", "'word ' || id AS text").coalesce(1)
+    got = packing.pack_documents(df, block_tokens=5000).collect()
+    assert sorted(r.doc_id for r in got if r.start == 0) == list(range(3000))
+    assert sum(r.length for r in got) == sum(r.doc_tokens for r in got if r.start == 0)
 
 
 def test_mixing(spark, docs, odd, empty):
@@ -309,6 +323,41 @@ def test_sharding(docs, odd, empty):
     assert sharding.shard(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", ["docs", "odd", "empty"])
+def test_shard_files_are_pruned(spark, name, tmp_path, request):
+    """All rows come back whole; asked ranges open few shards and lose no row."""
+    table = request.getfixturevalue(name).withColumn("_shard", F.lit("own")).withColumn("a.b", F.lit(1))
+    path = str(tmp_path / name)
+    sharding.write_shards(table, path, shards=16)
+    rows = Counter(map(tuple, table.collect()))
+    got = sharding.read_shards(spark, path)
+    assert got.columns == table.columns and Counter(map(tuple, got.collect())) == rows
+    asked = [{"lang": ("de", "de")}, {"source": (None, "s1")}, {"doc_id": (5, 9)}, {"size": (1, 40)}, {"size": (5000, None)},
+             {"lang": ("en", "en"), "doc_id": (None, 60)}, {"lang": ("zz", None)}]
+    opened = []
+    for ranges in asked:
+        want = Counter()
+        for r, n in rows.items():
+            value = dict(zip(table.columns, r)) | {"size": len((r[table.columns.index("text")] or "").encode()) + 1}
+            if all(value[c] is not None and (low is None or value[c] >= low) and (high is None or value[c] <= high)
+                   for c, (low, high) in ranges.items()):
+                want[r] += n
+        assert Counter(map(tuple, sharding.read_shards(spark, path, **ranges).collect())) == want
+        opened.append(len(sharding.matching(spark, path, ranges)))
+    assert opened[-1] == 0
+    if name == "docs":
+        assert sum(opened) < len(asked) * 16 * 0.6 and max(opened) < 16
+    with pytest.raises(ValueError):
+        sharding.read_shards(spark, path, text=(None, "a"))
+
+
+def test_shards_quantise_sources_of_one_head(spark):
+    """Sources that share their first characters still order the rows."""
+    df = spark.range(1000).selectExpr("id AS doc_id", "'x' AS text", "'en' AS lang", "concat('https://corpus/', id % 4) AS source")
+    cuts = sharding._text_cuts(df, "source", [0.25, 0.5, 0.75])
+    assert cuts == ["https://corpus/0", "https://corpus/1", "https://corpus/2"]
+
+
 def test_hilbert_curve_visits_neighbours():
     points = np.stack(np.meshgrid(*[np.arange(4)] * 3, indexing="ij"), -1).reshape(-1, 3)
     index = sharding.hilbert_index(points, bits=2)
