@@ -267,6 +267,17 @@ def test_packing(docs, odd, empty):
     assert packing.pack_documents(empty).count() == packing.sequences(packing.pack_documents(empty)).count() == 0
 
 
+def test_packing_digest(spark, docs):
+    """The query's digests are those of the library's own ids."""
+    e = tokens.encoder(tokens.tokenizer_path("byte_bpe_50k.json"))
+    texts = {r.doc_id: (e.whole(r.text) if r.text else b"") + b"\1\0\0\0" for r in docs.collect()}
+    got = queries.op9_cost_packing(spark, SF).collect()
+    assert len(texts) == docs.count() and {r.doc_id for r in got} == set(texts)
+    for r in got:
+        assert r.ids_crc32 == zlib.crc32(texts[r.doc_id][4 * r.start:4 * (r.start + r.length)])
+    assert set(got[0].asDict()) == {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}
+
+
 def test_packing_yields_many_pieces_in_batches(spark, monkeypatch):
     """More pieces than a record batch holds, in several blocks."""
     df = spark.range(3000).selectExpr("id AS doc_id", "'word ' || id AS text").coalesce(1)
