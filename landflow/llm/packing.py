@@ -36,6 +36,8 @@ VOCABULARY, END = "byte_bpe_50k.json", 1
 #: ``ids``: little-endian unsigned 32-bit ids of the piece.
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, "
           "offset long, ids binary")
+#: Bytes of distinct chunks that a worker keeps: less only costs time.
+CACHE_BYTES = 448 << 20
 #: Pieces a record batch.
 PIECES = 1024
 
@@ -76,13 +78,14 @@ def pack(lengths: list[int], length: int = LENGTH, linear: float = LINEAR,
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = END,
-                   length: int = LENGTH, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                   length: int = LENGTH, block_tokens: int = BLOCK_TOKENS,
+                   cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """One row per piece, as in SCHEMA. A sequence id is the partition's number
     and a count within it."""
     path = vocabulary or tokenizer_path(VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, tail = encoder(path), np.array([end], "<u4").tobytes()
+        enc, tail = encoder(path, cache_bytes), np.array([end], "<u4").tobytes()
         made = TaskContext.get().partitionId() << 33
         ids: list[bytes] = []
         keys: list[int | None] = []
