@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from landflow.operators.aggregates import running_total
-from landflow.session import bounded_broadcast
+from landflow.session import bounded_broadcast, dealt
 
 PAGE_SCHEMA = StructType(
     [
@@ -344,6 +344,10 @@ def light_envelope(raw: Column, dialect: Dialect | str) -> dict[str, Column]:
     return {"valid": body_ok(raw), "terminal": terminal}
 
 
+#: Places of a chain that are grouped together.
+CHAIN_BLOCK = 1024
+
+
 class IncompleteChain(RuntimeError):
     """Raised where a job must not load from a failed or unfinished chain."""
 
@@ -369,8 +373,9 @@ def chain_status(pages: DataFrame, dialect: Dialect | str, by: tuple[str, ...] =
     ``complete``: not failed, and pages 0 to ``cut`` are all there, once each.
 
     Every page also marks the place after its own, so the first place that is
-    marked but has no page is the first gap. Both aggregates work on narrow
-    rows, the first by page, so a long chain is spread.
+    marked but has no page is the first gap. The aggregates work on narrow rows,
+    those by place on blocks of places, so a long chain is spread; the tasks grow
+    in number with the pages (counted first), not in memory.
     """
     if all(c in pages.columns for c in ENVELOPE_COLUMNS):
         # facts recorded at landing: a column read, the bodies stay untouched
@@ -384,13 +389,18 @@ def chain_status(pages: DataFrame, dialect: Dialect | str, by: tuple[str, ...] =
     places = facts.select(*keys, F.inline(F.array(
         F.struct(F.col("page_no").alias("place"), F.lit(1).alias("n"), "bad", "end"),
         F.struct((F.col("page_no") + 1).alias("place"), F.lit(0).alias("n"), F.lit(False).alias("bad"), F.lit(False).alias("end")))))
-    places = places.groupBy(*keys, "place").agg(F.sum("n").alias("n"), F.max("bad").alias("bad"), F.max("end").alias("end"))
-    chains = places.groupBy(*keys).agg(
+    rows = pages.count()
+    places = dealt(places.withColumn("_blk", F.floor(F.col("place") / CHAIN_BLOCK)), 2 * rows, *keys, "_blk")
+    places = places.groupBy(*keys, "_blk", "place").agg(F.sum("n").alias("n"), F.max("bad").alias("bad"), F.max("end").alias("end"))
+    blocks = places.groupBy(*keys, "_blk").agg(
         F.max("bad").alias("failed"),
         F.min(F.when(F.col("end"), F.col("place"))).alias("cut"),
         F.min("place").alias("_first"),
         F.min(F.when(F.col("n") != 1, F.col("place"))).alias("_odd"),
     )
+    # by request: the runs of one are compared next
+    chains = dealt(blocks, 2 * rows, "request_key").groupBy(*keys).agg(
+        F.max("failed").alias("failed"), F.min("cut").alias("cut"), F.min("_first").alias("_first"), F.min("_odd").alias("_odd"))
     whole = ~F.col("failed") & F.col("cut").isNotNull() & (F.col("_first") == 0) & (F.col("_odd") > F.col("cut"))
     return chains.select(*keys, "failed", "cut", F.coalesce(whole, F.lit(False)).alias("complete"))
 
@@ -505,6 +515,7 @@ def pack_pages(
     status: Column | None = None,
     object_when_single: bool = False,
     renumber: bool = False,
+    places: DataFrame | None = None,
 ) -> DataFrame:
     """Build landed pages from rows (the inverse of ``unnest_pages``).
 
@@ -513,10 +524,16 @@ def pack_pages(
     is omitted on a chain's last page: ``is_last`` (an expression over the
     item rows, evaluated per page with ``max``) says which page that is.
     ``renumber`` numbers each chain's pages from 0 without gaps and ends it at
-    its last one, in one window per chain: for chains of few pages.
+    its last one, in one window per chain: for chains of few pages, whose items
+    are dealt by chain. ``places`` (``request_key, page_no, _no, _closes``) gives
+    the pages' numbers and ends instead; it is joined to whole pages.
     """
     d = _dialect(dialect)
     last_expr = F.max(is_last) if is_last is not None else F.lit(False)
+    if renumber:
+        rows = items.count()
+        items = dealt(items.withColumns({"_rk": request_key, "_pn": page_no.cast("long")}), rows, "_rk")
+        request_key, page_no = F.col("_rk"), F.col("_pn")
     grouped = (
         items.groupBy(request_key.alias("request_key"), page_no.cast("long").alias("page_no"))
         .agg(
@@ -528,6 +545,9 @@ def pack_pages(
     if renumber:
         chain = Window.partitionBy("request_key").orderBy("page_no")
         grouped = grouped.withColumns({"page_no": F.row_number().over(chain).cast("long") - 1, "_last": F.lead("page_no").over(chain).isNull()})
+    if places is not None:
+        grouped = grouped.drop("_last").join(places, ["request_key", "page_no"]).withColumns(
+            {"page_no": F.col("_no"), "_last": F.col("_closes")})
     payload = F.col("_items")
     if object_when_single:
         payload = F.when(F.size("_items") == 1, F.to_json(F.col("_items")[0])).otherwise(F.to_json(payload))

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Row
 
+from landflow import session
 from landflow.session import scratch_path
 from landflow.sources import pages as PG
 
@@ -209,3 +210,31 @@ def test_landed_envelope_facts_spare_the_bodies(spark, tmp_path):
     assert scan and all("raw" not in ln.split("ReadSchema")[1] for ln in scan)
     got = PG.items_as(PG.usable_items(landed, PG.ODATA), "struct<id:string>")
     assert sorted(r.id for r in got.collect()) == ["1", "2"]
+
+
+def test_chain_status_deals_many_pages_over_more_tasks(spark, monkeypatch):
+    """Tasks follow the rows; a chain of several blocks, a gap and a double at a block's edge."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    edge = PG.CHAIN_BLOCK
+
+    def chain(key, nos, last):
+        return [(key, n, 200, '{"value":[]%s}' % ("" if n == last else ',"@odata.nextLink":"x"')) for n in nos]
+
+    rows = [*chain("whole", range(edge + 50), edge + 49), *chain("gap", [n for n in range(edge + 50) if n != edge], edge + 49),
+            *chain("gap before", [n for n in range(edge + 50) if n != edge - 1], edge + 49),
+            *chain("twice", [*range(edge + 5), edge], edge + 4), *chain("after the end", [*range(edge + 5), edge + 9], edge + 4),
+            *[r for k in range(300) for r in chain(f"k{k}", range(2), 1)]]
+    status = PG.chain_status(spark.createDataFrame(rows, PG.PAGE_SCHEMA), PG.ODATA)
+    got = {r.request_key: (r.cut, r.complete) for r in status.collect()}
+    assert got == {"whole": (edge + 49, True), "gap": (edge + 49, False), "gap before": (edge + 49, False),
+                   "twice": (edge + 4, False), "after the end": (edge + 4, True), **{f"k{k}": (1, True) for k in range(300)}}
+    assert status.rdd.getNumPartitions() >= 2 * len(rows) // 100
+
+
+def test_short_chains_are_dealt_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    items = spark.range(3000).select((F.col("id") / 5).cast("long").alias("k"), "id")
+    pages = PG.pack_pages(items, F.concat(F.lit("k/"), F.col("k")), F.col("id") % 5 * 2, F.struct("id"), PG.ODATA, renumber=True)
+    assert pages.rdd.getNumPartitions() >= 30
+    status = PG.chain_status(pages, PG.ODATA)
+    assert {(r.cut, r.complete) for r in status.collect()} == {(4, True)} and status.count() == 600
