@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from landflow import session
 from landflow.plans import jobs as J
 from landflow.plans import pipelines as TP
 from landflow.session import scratch_path, unique_name
@@ -167,3 +168,16 @@ def test_jobs_read_one_run_of_a_landing(spark):
         PG.write_pages(spark.createDataFrame(rows, PG.PAGE_SCHEMA), f"{root}/capacities/run_id={run}")
     assert J.metadata_job(spark, root, db, {"capacities": CAP}) == {"capacities": 1}
     assert J.metadata_job(spark, root, db, {"capacities": CAP}, run="9") == {"capacities": 2}
+
+
+def test_runs_of_a_request_are_compared_where_its_chains_are(spark, monkeypatch):
+    """Many relanded requests: the latest complete run counts, in tasks by rows, with
+    no shuffle between the chains and the choice of a run."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    rows = [(f"k{k}", 0, 500 if run == "2" and k % 3 == 0 else 200, _value(f"{k}-{run}"), run) for k in range(1000) for run in "12"]
+    pages = spark.createDataFrame(rows, RUN)
+    status = PG.chain_status(pages, PG.ODATA)
+    best = status.where("complete").groupBy("request_key").agg(F.max("run_id").alias("run"))
+    assert best.rdd.getNumPartitions() >= 40
+    got = {r[0] for r in PG.items_as(PG.usable_items(pages, PG.ODATA), CAP).select("id").collect()}
+    assert got == {f"{k}-{1 if k % 3 == 0 else 2}" for k in range(1000)}
