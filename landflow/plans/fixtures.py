@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landflow.operators.aggregates import running_total
-from landflow.session import scratch_path, spread
+from landflow.session import materialize, scratch_path, spread
 from landflow.sources.pages import ACTIVITY, ODATA, pack_pages, read_pages, write_pages
 
 RUN_TS = "2024-06-01 12:00:00"     # fixed run stamp so results repeat
@@ -55,12 +55,13 @@ def chained(items: DataFrame, request_key: Column, page_no: Column, item: Column
     if short:
         return pack_pages(items, request_key, page_no, item, dialect, status=status, renumber=True)
     keyed = items.withColumns({"_rk": request_key, "_pn": page_no.cast("long")})
-    places = running_total(keyed.select("_rk", "_pn", F.lit(1).alias("_one")).distinct(), "_rk", "_pn", "_one", "_place")
+    once = materialize(keyed.select("_rk", "_pn").distinct(), "places").withColumn("_one", F.lit(1))  # read four times
+    places = running_total(once, "_rk", "_pn", "_one", "_place")
     ends = places.groupBy("_rk").agg(F.max("_place").alias("_end"))
     places = places.join(ends, "_rk").select("_rk", "_pn", F.col("_place") - 1, (F.col("_place") == F.col("_end")))
-    places = places.toDF("_rk", "_pn", "_no", "_closes")
-    return pack_pages(keyed.join(places, ["_rk", "_pn"]), F.col("_rk"), F.col("_no"), item, dialect,
-                      is_last=F.col("_closes"), status=status)
+    # joined to whole pages: the items are shuffled once
+    return pack_pages(keyed, F.col("_rk"), F.col("_pn"), item, dialect, status=status,
+                      places=places.toDF("request_key", "page_no", "_no", "_closes"))
 
 
 def answered(pages: DataFrame, expected: DataFrame, dialect) -> DataFrame:
