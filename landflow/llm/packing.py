@@ -106,13 +106,15 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end: int = EN
 
         held = 0
         for batch in batches:
-            for key, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                ids.append(enc.ids(text.as_py()) + tail)
-                keys.append(key)
-                held += len(ids[-1]) // 4
-                if held >= block_tokens:
-                    yield from flush()
-                    held = 0
+            for lo in range(0, batch.num_rows, 200):
+                rows = batch.slice(lo, 200)
+                for key, found in zip(rows["doc_id"].to_pylist(), enc.many(rows["text"].to_pylist())):
+                    ids.append(found + tail)
+                    keys.append(key)
+                    held += len(ids[-1]) // 4
+                    if held >= block_tokens:
+                        yield from flush()
+                        held = 0
         if keys:
             yield from flush()
 

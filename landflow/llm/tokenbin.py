@@ -111,12 +111,14 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str | None = None, en
                                     pa.array([total], pa.int64())], ["part", "file", "path", "ids"])
 
         for batch in batches:
-            for key, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                held.append((key, enc.ids(text.as_py()) + tail))
-                total += len(held[-1][1]) // 4
-                if total >= file_ids:
-                    yield flush()
-                    held, total, made = [], 0, made + 1
+            for lo in range(0, batch.num_rows, 200):
+                rows = batch.slice(lo, 200)
+                for key, ids in zip(rows["doc_id"].to_pylist(), enc.many(rows["text"].to_pylist())):
+                    held.append((key, ids + tail))
+                    total += len(held[-1][1]) // 4
+                    if total >= file_ids:
+                        yield flush()
+                        held, total, made = [], 0, made + 1
         if held:
             yield flush()
 

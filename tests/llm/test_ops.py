@@ -614,3 +614,26 @@ def test_pipeline(spark, docs, tmp_path, monkeypatch):
 def test_registered(spark):
     assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))[-1].startswith("op13_")
     assert len(queries.QUERIES) == 13
+
+
+def test_texts_share_the_encoding_of_their_new_chunks(monkeypatch):
+    """Ids of many texts, odd ones between them, equal the library's; a chunk that
+    several texts of a group hold is encoded once, kept or not."""
+    texts = [None, "", "one two three", "two  three", "x\ny two", " lead two", "two end\n", "é two three", "a ́b two", "one\ttwo",
+             "tail two", *[f"t{k} two w{k}, w{k % 7}." for k in range(500)]]
+    for most in (0, 1 << 20):
+        e = tokens.ChunkEncoder(tokens.tokenizer_path("word_bpe_49k.json"), most=most)
+        asked, learn = Counter(), e._learn
+        monkeypatch.setattr(e, "_learn", lambda new: asked.update(new) or learn(new))
+        assert e.many(texts) == [e.whole(t) if t else b"" for t in texts]
+        assert asked["two"] == 1 and not e.cache.new
+
+
+def test_odd_white_space_is_told():
+    """The shape that may be cut into chunks, character by character."""
+    before = ("[ \n][ \n]|[\\x00\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0  -     　]"
+              "|[ \n][̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-゙゚︯]|\\A[ \n]|[ \n]\\Z")
+    import re
+    for c in map(chr, [*range(0x3100), *range(0xFE00, 0xFF00)]):
+        for text in (f"a{c}b", f"a {c}b", f"a\n{c}b", f"{c}b", f"a{c}", c):
+            assert tokens.odd(text) == bool(re.search(before, text)), ascii(text)
