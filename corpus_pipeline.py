@@ -34,8 +34,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all sequences. Executors hold what earlier stages left, so the
-    tokenizer's cache is smaller than when packing runs alone."""
-    return packing.pack_documents(docs, cache_bytes=192 << 20)
+    tokenizer's cache is smaller than when packing runs alone; its workers keep it
+    while the next run's stages begin."""
+    return packing.pack_documents(docs, cache_bytes=64 << 20)
 
 
 STAGES = [

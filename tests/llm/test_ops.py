@@ -637,3 +637,11 @@ def test_odd_white_space_is_told():
     for c in map(chr, [*range(0x3100), *range(0xFE00, 0xFF00)]):
         for text in (f"a{c}b", f"a {c}b", f"a\n{c}b", f"{c}b", f"a{c}", c):
             assert tokens.odd(text) == bool(re.search(before, text)), ascii(text)
+
+
+def test_packing_in_the_pipeline_leaves_memory(monkeypatch):
+    """Workers keep their tokenizer's cache into the next run: six of them at most 384 MB."""
+    seen = []
+    monkeypatch.setattr(packing, "pack_documents", lambda docs, cache_bytes: seen.append(cache_bytes))
+    corpus_pipeline.pack_sequences(None, None, "")
+    assert seen and seen[0] * 6 <= 384 << 20
