@@ -14,7 +14,8 @@ its own; nodes that share a prefix of three values form a region:
    others; rounds go on until a round finds no link.
 
 Links are confirmed on whole sets; estimates from signatures only drop
-candidates more than five standard deviations under the threshold. Sixteen
+candidates more than five standard deviations under the threshold, and a bound on
+the common shingles, from one bitmap a set, only those that can't be links. Sixteen
 trees at depth three miss a pair at the threshold with probability 0.0002,
 and less often above it. In a crowded region a pair of its own, close to nothing
 else above the threshold, must come to lie beside each other in one of the
@@ -46,6 +47,8 @@ DEPTH, LONGEST = 3, 12
 ORDERS, BESIDE = 64, 8
 #: Equal signature values under which a candidate is dropped: 0.55 of them.
 LEAST_EQUAL = 70
+#: Bits of a set's bitmap: a power of two.
+BITS = 1024
 _RNG = np.random.default_rng(97)
 _MUL = _RNG.integers(1, 1 << 62, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 62, VALUES, dtype=np.uint64)
@@ -79,6 +82,16 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def bitmap(s: np.ndarray) -> tuple[np.ndarray, int]:
+    """The bits that the shingles set, and how many shingles share a bit with one before.
+
+    A common shingle sets a common bit, so two sets have at most as many in common
+    as common bits, and the spare shingles of either."""
+    at = np.zeros(BITS, bool)
+    at[s >> np.uint64(65 - BITS.bit_length())] = True
+    return np.packbits(at).view(np.int64), len(s) - int(at.sum())
+
+
 def _node(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
@@ -87,14 +100,18 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 2000):
             part = batch.slice(lo, 2000)
-            sizes, nodes, sigs = [], [], []
+            sizes, nodes, sigs, maps, spares = [], [], [], [], []
             for text in part["text"]:
                 s = shingles(text.as_py())
                 sizes.append(len(s))
                 nodes.append(_node(s) if len(s) else None)
                 sigs.append(signature(s) if len(s) else None)
+                bits, spare = bitmap(s) if len(s) else (None, None)
+                maps.append(bits)
+                spares.append(spare)
             yield pa.record_batch([part["doc_id"], part["h"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                                   pa.array(sigs, pa.list_(pa.int32()))], ["doc_id", "h", "n_shingles", "node", "sig"])
+                                   pa.array(sigs, pa.list_(pa.int32())), pa.array(maps, pa.list_(pa.int64())), pa.array(spares, pa.int64())],
+                                  ["doc_id", "h", "n_shingles", "node", "sig", "bits", "spare"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,9 +137,12 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links."""
     needed = bounded_broadcast(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     part = nodes.join(needed, "node", "left_semi")
-    sig = lambda c, s: part.select(F.col("node").alias(c), F.col("sig").alias(s))
-    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda z: z))
-    near = materialize(pairs.join(sig("a", "sa"), "a").join(sig("b", "sb"), "b").where(same >= LEAST_EQUAL)
+    told = lambda c, s: part.select(F.col("node").alias(c), F.struct("sig", "bits", "spare", "n").alias(s))
+    same = F.size(F.filter(F.zip_with("x.sig", "y.sig", lambda x, y: x == y), lambda z: z))
+    shared = F.aggregate(F.zip_with("x.bits", "y.bits", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda t, x: t + x)
+    most = shared + F.least("x.spare", "y.spare")
+    may = 100 * most >= 75 * (F.col("x.n") + F.col("y.n") - most)
+    near = materialize(pairs.join(told("a", "x"), "a").join(told("b", "y"), "b").where((same >= LEAST_EQUAL) & may)
                        .select("a", "b"), "near")
     sets = _whole(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, docs)
     one = lambda c, s: sets.select(F.col("node").alias(c), F.col("s").alias(s))
@@ -150,6 +170,19 @@ def components(links: DataFrame) -> DataFrame:
             return state
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: only the components that they join are
+    gone through again, each as one node."""
+    of = lambda c, name: labels.select(F.col("node").alias(c), F.col("label").alias(name))
+    ends = links.join(of("a", "la"), "a", "left").join(of("b", "lb"), "b", "left").select(
+        F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    joins = materialize(ends.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "joins")
+    new = components(joins).select(F.col("node").alias("label"), F.col("label").alias("low"))
+    alone = new.select(F.col("label").alias("node")).join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))
+    every = labels.unionByName(alone).join(new, "label", "left")
+    return materialize(every.select("node", F.coalesce("low", "label").alias("label")), "labels")
+
+
 def _keys(depth: int):
     """One (tree, prefix) key per tree."""
     twice = F.concat("sig", "sig")
@@ -173,13 +206,19 @@ def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key, node, label, low: each node's place in every order. A key is the order's
     number and the signature from the order's start, as bytes that sort alike;
-    ``low`` has the lowest four bits of each signature value."""
+    ``low`` has the lowest four bits of each signature value, the bitmap folded to
+    half, the set's size and its spare shingles."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 1000):
             part = batch.slice(lo, 1000)
             sig = np.array(part["sig"].to_pylist(), np.int32).reshape(-1, VALUES).view(np.uint32)
             bits = sig.astype(np.uint8) & 15
-            low = pa.array([x.tobytes() for x in bits[:, ::2] << 4 | bits[:, 1::2]], pa.binary())
+            half = np.array(part["bits"].to_pylist(), np.int64).reshape(-1, 2, BITS // 128)
+            half = half[:, 0] | half[:, 1]
+            n = np.array(part["n"].to_pylist(), np.int64)
+            sizes = np.stack([n, n - np.bitwise_count(half.view(np.uint64)).sum(1, dtype=np.int64)], 1)
+            low = np.concatenate([bits[:, ::2] << 4 | bits[:, 1::2], half.view(np.uint8), sizes.view(np.uint8)], 1)
+            low = pa.array([x.tobytes() for x in low], pa.binary())
             twice = np.concatenate([sig, sig], 1).astype(">u4")
             for t in range(ORDERS):
                 at = t * VALUES // ORDERS
@@ -195,7 +234,8 @@ def _neighbours(depth: int):
 def _candidates(batches: Iterator[pa.RecordBatch], head_bytes: int) -> Iterator[pa.RecordBatch]:
     """Candidates among sorted keys: the end of a run of one component with the
     starts of the runs after it, within a region (the heads of keys). Pairs whose
-    lowest bits agree in too few values are not (equal values agree in them)."""
+    lowest bits agree in too few values are not (equal values agree in them), nor
+    are those whose bitmaps leave too few common shingles."""
     region, runs, rows = None, [], []  # runs: [label, place of its last row], latest last
     for batch in batches:
         # rows: node and low bits of those that runs still point at, then the batch's
@@ -214,21 +254,25 @@ def _candidates(batches: Iterator[pa.RecordBatch], head_bytes: int) -> Iterator[
                     left.append(at)
                     right.append(here)
             runs = [*runs[1 - BESIDE:], [label, here]]
-        packed = np.frombuffer(b"".join(low for _, low in rows), np.uint8).reshape(-1, VALUES // 2)
+        told = np.frombuffer(b"".join(low for _, low in rows), np.uint8).reshape(-1, VALUES // 2 + BITS // 16 + 16)
+        packed, half, sizes = (np.ascontiguousarray(x) for x in np.split(told, [VALUES // 2, VALUES // 2 + BITS // 16], axis=1))
+        half, (n, spare) = half.view(np.uint64), sizes.view(np.int64).reshape(-1, 2).T
         node, i, j = np.array([n for n, _ in rows], np.int64), np.array(left, np.int64), np.array(right, np.int64)
         keep = []
         for lo in range(0, len(i), 20_000):
-            differ = packed[i[lo:lo + 20_000]] ^ packed[j[lo:lo + 20_000]]
-            keep.append(((differ < 16).sum(1) + (differ & 15 == 0).sum(1)) >= LEAST_EQUAL)
+            x, y = i[lo:lo + 20_000], j[lo:lo + 20_000]
+            differ = packed[x] ^ packed[y]
+            most = np.bitwise_count(half[x] & half[y]).sum(1, dtype=np.int64) + np.minimum(spare[x], spare[y])
+            keep.append((((differ < 16).sum(1) + (differ & 15 == 0).sum(1)) >= LEAST_EQUAL) & (100 * most >= 75 * (n[x] + n[y] - most)))
         keep = np.concatenate(keep) if keep else np.zeros(0, bool)
         pairs = np.sort(np.stack([node[i[keep]], node[j[keep]]], 1), axis=1)
         pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
         yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
 
-def _deepen(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _deepen(crowd: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The labels after rounds over the sorted orders of the nodes of ``crowd``."""
-    mine = materialize(nodes.join(crowd.select("node").distinct(), "node", "left_semi").select("node", "sig"), "crowd")
+    mine = materialize(nodes.join(crowd.select("node").distinct(), "node", "left_semi").select("node", "sig", "bits", "n"), "crowd")
     parts = max(mine.sparkSession.sparkContext.defaultParallelism, -(-mine.count() * ORDERS // 500_000))
     tested = None
     while True:
@@ -240,27 +284,26 @@ def _deepen(crowd: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFr
         if found.isEmpty():
             return labels
         tested = materialize(pairs if tested is None else tested.unionByName(pairs), "tested")
-        links = materialize(links.unionByName(found), "links")
-        labels = components(links)
+        labels = merged(labels, found)
 
 
 def _placed(docs: DataFrame) -> DataFrame:
     """doc_id, h (of the text), n_shingles, node, label of each row."""
     signed = materialize(docs.select(docs["doc_id"].cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(
-        _signed, "doc_id long, h long, n_shingles long, node long, sig array<int>"), "signed")
+        _signed, "doc_id long, h long, n_shingles long, node long, sig array<int>, bits array<long>, spare long"), "signed")
     nodes = materialize(signed.where("node is not null").groupBy("node").agg(
-        F.min(_id()).alias("rep"), F.first("sig").alias("sig")), "nodes")
+        F.min(_id()).alias("rep"), F.first(F.struct("sig", "bits", "spare", F.col("n_shingles").alias("n"))).alias("own")).select(
+        "node", "rep", "own.*"), "nodes")
     rows = materialize(_rows(nodes, DEPTH), "forest")
     regions = rows.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    links = _verified(materialize(_stars(rows, regions).distinct(), "stars"), nodes, docs)
-    labels = components(links)
+    labels = components(_verified(materialize(_stars(rows, regions).distinct(), "stars"), nodes, docs))
 
     # regions of several components; two nodes are settled by their one pair
     front = materialize(_named(rows.join(regions.where("n > 2").select("key"), "key", "left_semi"), labels), "front")
     open_ = front.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     crowd = materialize(front.join(open_, "key", "left_semi").select("node").distinct(), "open")
     if not crowd.isEmpty():
-        labels = _deepen(crowd, links, labels, nodes, docs)
+        labels = _deepen(crowd, labels, nodes, docs)
     return signed.select("doc_id", "h", "n_shingles", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 

@@ -127,6 +127,50 @@ def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
     assert settled and settled[0] == len(rows)
 
 
+def test_bitmaps_bound_common_shingles():
+    rng = np.random.default_rng(11)
+    for size in (1, 40, 400, 4000):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            a = np.unique(rng.integers(0, 1 << 64, size, np.uint64))
+            b = np.unique(np.concatenate([a[:int(share * len(a))], rng.integers(0, 1 << 64, size // 3, np.uint64)]))
+            if not len(b):
+                continue
+            (x, p), (y, q) = neardup.bitmap(a), neardup.bitmap(b)
+            shared = sum(int(v).bit_count() for v in (x & y).view(np.uint64))
+            assert shared + min(p, q) >= len(np.intersect1d(a, b))
+
+
+def test_pairs_under_the_threshold_meet_no_whole_sets(spark, monkeypatch):
+    """A crowd of texts that share a passage, none of them links: whole sets are
+    joined for few of its pairs."""
+    made = {}
+    whole = neardup.materialize
+
+    def counted(df, name="stage"):
+        out = whole(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "materialize", counted)
+    rows = [(i, " ".join([f"s{k}" for k in range(84)] + [f"t{i}x{k}" for k in range(25)])) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_components(rows := df.collect(), neardup.near_duplicates(df).collect())
+    assert made["open"] == 150 and made["stars"] > 150
+    assert made.get("pairs", 0) < 150 and made["near"] < 150
+
+
+def test_more_links_join_components(spark, monkeypatch):
+    """Links found later go through components as one node each, not through all links."""
+    made = []
+    whole = neardup.materialize
+    monkeypatch.setattr(neardup, "materialize", lambda df, name="stage": made.append((name, df.count())) or whole(df, name))
+    old = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (5, 5), (6, 5), (7, 7), (11, 7)], "node long, label long")
+    more = spark.createDataFrame([(2, 6), (3, 5), (8, 9), (1, 2), (9, 10), (0, 11)], "a long, b long")
+    got = {tuple(r) for r in neardup.merged(old, more).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (7, 0), (11, 0), (0, 0), (8, 8), (9, 8), (10, 8)}
+    assert ("edges", 8) in made
+
+
 def test_drop_copies_of_null_and_repeated_ids(spark):
     """Rows of one id with other texts stay, equal rows stay once."""
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
