@@ -423,7 +423,8 @@ def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...]
     A request without a complete chain is left out (``skip``) or ends the job
     (``stop``): part of a chain never replaces stored data. The pages are cut
     before their bodies are unnested; the size-checked chain table is broadcast,
-    so the bodies are not shuffled.
+    so the bodies are not shuffled; beyond that size both are dealt to tasks by
+    the rows of the pages.
     """
     if on_incomplete not in ("skip", "stop"):
         raise ValueError(f"unknown choice {on_incomplete!r}")
@@ -433,12 +434,18 @@ def usable_items(pages: DataFrame, dialect: Dialect | str, keep: tuple[str, ...]
         best = F.max(F.when(F.col("complete"), F.struct(run_order("run_id").alias("o"), "run_id", "cut")))
         status = status.groupBy("request_key").agg(best.alias("best")).select(
             "request_key", "best.run_id", "best.cut", F.col("best").isNotNull().alias("complete"))
-    status = bounded_broadcast(status.select(*keys, "cut", "complete"))
+    told = status.select(*keys, "cut", "complete")
+    status = bounded_broadcast(told)
+    wide = status is told
     if on_incomplete == "stop":
         lost = status.where(~F.col("complete")).select("request_key").take(3)
         if lost:
             raise IncompleteChain(f"failed, unfinished or gapped requests, nothing loaded: {[r[0] for r in lost]}")
-    return chain_items(pages, dialect, status.where("complete").drop("complete"), keep, as_text)
+    chains = status.where("complete").drop("complete")
+    if wide:
+        rows = pages.count()
+        pages, chains = dealt(pages, rows, *keys), dealt(chains, rows, *keys)
+    return chain_items(pages, dialect, chains, keep, as_text)
 
 
 def incomplete_chains(pages: DataFrame, dialect: Dialect | str) -> DataFrame:

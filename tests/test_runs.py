@@ -181,3 +181,20 @@ def test_runs_of_a_request_are_compared_where_its_chains_are(spark, monkeypatch)
     assert best.rdd.getNumPartitions() >= 40
     got = {r[0] for r in PG.items_as(PG.usable_items(pages, PG.ODATA), CAP).select("id").collect()}
     assert got == {f"{k}-{1 if k % 3 == 0 else 2}" for k in range(1000)}
+
+
+def test_bodies_of_many_chains_are_joined_in_tasks_by_rows(spark, monkeypatch):
+    """Chains too many to broadcast: their pages are dealt by rows, not by the shuffle's bytes."""
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    monkeypatch.setattr(PG, "bounded_broadcast", lambda df: df)
+    rows = [(f"k{k}", 0, 500 if run == "2" and k % 3 == 0 else 200, _value(f"{k}-{run}"), run) for k in range(1000) for run in "12"]
+    pages = spark.createDataFrame(rows, RUN)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = PG.usable_items(pages, PG.ODATA)
+        assert items.rdd.getNumPartitions() >= 20
+        got = sorted(r[0] for r in PG.items_as(items, CAP).select("id").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted(f"{k}-{1 if k % 3 == 0 else 2}" for k in range(1000))
