@@ -202,9 +202,12 @@ def rows(context: np.ndarray, cls: np.ndarray | None = None) -> np.ndarray:
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, where: np.ndarray) -> np.ndarray:
-    z = bias + weights[where[0]]
+    # all rows are in range: "clip" only spares the check, and one buffer takes them
+    z = np.take(weights, where[0], axis=0, mode="clip")
+    z += bias
+    more = np.empty_like(z)
     for r in where[1:]:
-        z += weights[r]
+        z += np.take(weights, r, axis=0, mode="clip", out=more)
     return z
 
 

@@ -183,6 +183,15 @@ def test_model_is_a_distribution(spark, docs):
     assert known.all() and np.exp(p).sum() + np.exp(unseen).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_logits_are_sums_of_rows():
+    rng = np.random.default_rng(4)
+    weights, where = rng.normal(size=(1 << maxent.ROW_BITS, maxent.WIDTH)).astype(np.float32), rng.integers(0, 1 << maxent.ROW_BITS, (3, 200)).astype(np.uint16)
+    before = weights.copy()
+    for bias in (np.full(maxent.WIDTH, -np.inf, np.float32), rng.normal(size=(200, maxent.WIDTH)).astype(np.float32)):
+        assert np.array_equal(maxent.logits(weights, bias, where), bias + weights[where[0]] + weights[where[1]] + weights[where[2]])
+    assert np.array_equal(weights, before)
+
+
 def test_long_texts_in_pieces(monkeypatch):
     text = " ".join(f"word{i}" for i in range(500))
     whole = next(maxent.chunks([text]))
