@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from landflow.llm import mixing, neardup, packing, quality, toxicity
 from landflow.llm.columns import plain
-from landflow.session import configure, materialize, release
+from landflow.session import configure, materialize, release, small_batches
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stages share executors: what one stage's record batches leave in a JVM and
+    its Python workers lies beside the next stage's heap, so batches are small."""
+    @wraps(stage)
+    def small(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(small_batches(spark), docs, sf_dir)
+
+    return small
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,11 +55,11 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
+    ("toxicity", in_small_batches(drop_toxic)),
     ("quality rules", drop_outliers),
-    ("near-duplicates", drop_copies),
+    ("near-duplicates", in_small_batches(drop_copies)),
     ("mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("packing", in_small_batches(pack_sequences)),
 ]
 
 #: The classifier and the estimates can't be said in SQL; a run is tested stage by

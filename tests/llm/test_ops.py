@@ -689,3 +689,20 @@ def test_packing_in_the_pipeline_leaves_memory(monkeypatch):
     monkeypatch.setattr(packing, "pack_documents", lambda docs, cache_bytes: seen.append(cache_bytes))
     corpus_pipeline.pack_sequences(None, None, "")
     assert seen and seen[0] * 6 <= 384 << 20
+
+
+def test_pipeline_passes_texts_in_small_batches(spark, tmp_path, monkeypatch):
+    """What goes to a Python worker at once is bounded in bytes, however long the texts."""
+    def sizes(docs, *_, **__):
+        told = lambda batches: (b.from_pylist([{"doc_id": b.nbytes, "text": "", "predicted": 0}]) for b in batches)
+        return docs.mapInArrow(told, "doc_id long, text string, predicted long")
+
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(toxicity, "fit", lambda *_: None)
+    for module, name in ((toxicity, "score"), (neardup, "without_copies"), (packing, "pack_documents")):
+        monkeypatch.setattr(module, name, sizes)
+    for name in ("toxicity", "near-duplicates", "packing"):
+        own = spark.newSession()  # with settings of its own
+        long = own.range(0, 200, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 10000) AS text")
+        found = [r.doc_id for r in dict(corpus_pipeline.STAGES)[name](own, long, str(tmp_path)).collect()]
+        assert sum(found) > 20_000_000 and max(found) < 4_000_000, name
