@@ -10,8 +10,10 @@ its own; nodes that share a prefix of three values form a region:
    of all others are sorted by their whole signature order, in ``ORDERS`` orders.
    Neighbours of one component form a run; a run's candidates are the next
    ``BESIDE`` runs of its region, which share the longest prefixes with it: the
-   depth follows the crowd. Links merge components, so runs grow and come to meet
-   others; rounds go on until a round finds no link.
+   depth follows the crowd. A run stands there by its end, and by the centre of its
+   component's nodes in the region, the one closest to their majority: copies of one
+   text are often closer to it than to each other. Links merge components, so runs
+   grow and come to meet others; rounds go on until a round finds no link.
 
 Links are confirmed on whole sets; estimates from signatures only drop
 candidates more than five standard deviations under the threshold, and a bound on
@@ -45,6 +47,8 @@ WORDS, VALUES, TREES = 5, 128, 16
 DEPTH, LONGEST = 3, 12
 #: Orders of the nodes of open regions, and following runs that a run is compared with.
 ORDERS, BESIDE = 64, 8
+#: Rows of one component in a batch whose centre goes on through their region.
+CROWD = 64
 #: Equal signature values under which a candidate is dropped: 0.55 of them.
 LEAST_EQUAL = 70
 #: Bits of a set's bitmap: a power of two.
@@ -231,21 +235,56 @@ def _neighbours(depth: int):
     return lambda batches: _candidates(batches, 1 + 4 * depth)
 
 
+def _equal(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the four-bit values of each row, packed in words, are equal."""
+    differ = x ^ y
+    differ |= differ >> np.uint64(1)
+    differ |= differ >> np.uint64(2)
+    return VALUES - np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64)
+
+
+def _centres(region: np.ndarray, label: np.ndarray, node: np.ndarray, packed: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's centre, and how many rows have it: of the rows of its region and label the
+    one that agrees most with their majority, bit by bit: in signature values, then in the
+    bitmap (close copies have equal signatures). Where there are one or two, each is its own."""
+    centre, size = np.arange(len(node)), np.ones(len(node), np.int64)
+    order = np.lexsort((label, region))
+    first = np.flatnonzero(np.r_[True, (np.diff(region[order]) != 0) | (np.diff(label[order]) != 0)])
+    sizes = np.diff(np.r_[first, len(order)])
+    rows = order[np.repeat(sizes > 2, sizes)]
+    if not len(rows):
+        return centre, size
+    sizes = sizes[sizes > 2]
+    first, group = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes)), sizes)
+
+    def most(words: np.ndarray) -> np.ndarray:
+        ones = np.add.reduceat(np.unpackbits(words.view(np.uint8), axis=1), first, axis=0, dtype=np.int32)
+        return np.packbits(2 * ones > sizes[:, None], axis=1).view(np.uint64)[group]
+
+    equal = _equal(packed[rows], most(packed[rows]))
+    apart = np.bitwise_count(half[rows] ^ most(half[rows])).sum(1, dtype=np.int64)
+    best = np.lexsort((node[rows], apart, -equal, group))[first]
+    centre[rows], size[rows] = rows[best][group], sizes[group]
+    return centre, size
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], head_bytes: int) -> Iterator[pa.RecordBatch]:
     """Candidates among sorted keys: the end of a run of one component with the
-    starts of the runs after it, within a region (the heads of keys). Pairs whose
-    lowest bits agree in too few values are not (equal values agree in them), nor
-    are those whose bitmaps leave too few common shingles."""
-    region, runs, rows = None, [], []  # runs: [label, place of its last row], latest last
+    starts of the runs after it, within a region (the heads of keys), and in place of
+    either the centre of its component there. Pairs whose lowest bits agree in too few
+    values are not (equal values agree in them), nor are those whose bitmaps leave too
+    few common shingles."""
+    region, runs, rows, centres = None, [], [], []  # runs: [label, place of its last row], latest last; centres: places
     for batch in batches:
-        # rows: node and low bits of those that runs still point at, then the batch's
-        rows, runs = [rows[at] for _, at in runs], [[label, k] for k, (label, _) in enumerate(runs)]
+        # rows: node, low bits, label and number of the region; those that runs and centres still point at, then the batch's
+        rows = [(*rows[at][:3], 0) for at in [*(at for _, at in runs), *centres]]
+        runs, number, begun = [[label, k] for k, (label, _) in enumerate(runs)], 0, 0
         left, right = [], []
         for key, node, label, low in zip(*(batch[c].to_pylist() for c in ("key", "node", "label", "low"))):
-            rows.append((node, low))
-            here = len(rows) - 1
+            here = len(rows)
             if (head := key[:head_bytes]) != region:
-                region, runs = head, []
+                region, runs, number, begun = head, [], number + 1, here
+            rows.append((node, low, label, number))
             if runs and runs[-1][0] == label:
                 runs[-1][1] = here
                 continue
@@ -254,16 +293,21 @@ def _candidates(batches: Iterator[pa.RecordBatch], head_bytes: int) -> Iterator[
                     left.append(at)
                     right.append(here)
             runs = [*runs[1 - BESIDE:], [label, here]]
-        told = np.frombuffer(b"".join(low for _, low in rows), np.uint8).reshape(-1, VALUES // 2 + BITS // 16 + 16)
+        told = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(-1, VALUES // 2 + BITS // 16 + 16)
         packed, half, sizes = (np.ascontiguousarray(x) for x in np.split(told, [VALUES // 2, VALUES // 2 + BITS // 16], axis=1))
-        half, (n, spare) = half.view(np.uint64), sizes.view(np.int64).reshape(-1, 2).T
-        node, i, j = np.array([n for n, _ in rows], np.int64), np.array(left, np.int64), np.array(right, np.int64)
+        packed, half, (n, spare) = packed.view(np.uint64), half.view(np.uint64), sizes.view(np.int64).reshape(-1, 2).T
+        node, label, number = (np.array([r[k] for r in rows], np.int64) for k in (0, 2, 3))
+        centre, of = _centres(number, label, node, packed, half)
+        # the last region goes on in the next batch, with the centres of its crowds
+        centres = np.unique(centre[begun:][of[begun:] >= CROWD]).tolist()
+        i, j = np.array(left, np.int64), np.array(right, np.int64)
+        both = np.unique(np.concatenate([x * len(node) + y for x in (i, centre[i]) for y in (j, centre[j])]))
+        i, j = both // len(node), both % len(node)
         keep = []
         for lo in range(0, len(i), 20_000):
             x, y = i[lo:lo + 20_000], j[lo:lo + 20_000]
-            differ = packed[x] ^ packed[y]
             most = np.bitwise_count(half[x] & half[y]).sum(1, dtype=np.int64) + np.minimum(spare[x], spare[y])
-            keep.append((((differ < 16).sum(1) + (differ & 15 == 0).sum(1)) >= LEAST_EQUAL) & (100 * most >= 75 * (n[x] + n[y] - most)))
+            keep.append((100 * most >= 75 * (n[x] + n[y] - most)) & (_equal(packed[x], packed[y]) >= LEAST_EQUAL))
         keep = np.concatenate(keep) if keep else np.zeros(0, bool)
         pairs = np.sort(np.stack([node[i[keep]], node[j[keep]]], 1), axis=1)
         pairs = np.unique(pairs, axis=0) if len(pairs) else pairs

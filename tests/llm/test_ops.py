@@ -127,6 +127,41 @@ def test_near_duplicates_settled_in_rounds(spark, monkeypatch):
     assert settled and settled[0] == len(rows)
 
 
+def copies_of_one(n, words, edits, seed):
+    """A text of ``words`` words, and ``n`` copies with that many words of their own at random places."""
+    rng, text = np.random.default_rng(seed), [f"w{i}" for i in range(words)]
+    rows = [" ".join(text)]
+    for copy in range(n):
+        own = list(text)
+        for at in rng.choice(words // 5, edits, replace=False):
+            own[5 * at + 2] = f"c{copy}x{at}"
+        rows.append(" ".join(own))
+    return rows
+
+
+def test_near_duplicates_of_one_original_in_a_large_group(spark):
+    """Copies that are links of their original only: each meets it, however many there are."""
+    texts = copies_of_one(2500, 200, 5, 13)
+    first = shingle_set(texts[0])
+    assert all(100 * len(first & s) >= 75 * len(first | s) for s in map(shingle_set, texts))
+    order = np.random.default_rng(2).permutation(len(texts))
+    df = spark.createDataFrame([(int(i), texts[k]) for i, k in enumerate(order)], "doc_id long, text string")
+    assert {r.component_id for r in neardup.near_duplicates(df).collect()} == {0}
+
+
+def test_centres():
+    """The centre of a component in a region is the row closest to its rows' majority."""
+    sets = [neardup.shingles(t) for t in copies_of_one(40, 200, 3, 1)]
+    sigs = np.stack([neardup.signature(s) for s in sets]).view(np.uint32).astype(np.uint8) & 15
+    packed = np.ascontiguousarray(sigs[:, ::2] << 4 | sigs[:, 1::2]).view(np.uint64)
+    for x, y in ((0, 1), (1, 2), (3, 40)):
+        assert neardup._equal(packed[x:x + 1], packed[y:y + 1])[0] == (sigs[x] == sigs[y]).sum()
+    half = np.stack([np.bitwise_or.reduce(neardup.bitmap(s)[0].reshape(2, -1)) for s in sets]).view(np.uint64)
+    region, label, node = np.repeat([1, 2], [39, 2]), np.full(41, 7), np.arange(41)
+    centre, size = neardup._centres(region, label, node, packed, half)
+    assert centre.tolist() == [0] * 39 + [39, 40] and size.tolist() == [39] * 39 + [1, 1]
+
+
 def test_bitmaps_bound_common_shingles():
     rng = np.random.default_rng(11)
     for size in (1, 40, 400, 4000):
